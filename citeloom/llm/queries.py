@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import spans
+from citeloom.llm import neardup, spans, visual
 from citeloom.sources import read_table
 
 QUERIES = {}
@@ -29,3 +29,24 @@ def p1_shared_report(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p1_longest_level(spark: SparkSession, d: str) -> DataFrame:
     return spans.longest_shared(read_table(spark, d, "risk_instance"), read_table(spark, d, "risk_citation"))
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.found_pairs(read_table(spark, d, "risk_instance"))
+
+
+@query
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.groups(read_table(spark, d, "risk_instance"))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return visual.found_when_folded(read_table(spark, d, "risk_instance"), read_table(spark, d, "page_text"))
+
+
+@query
+def p5_folded_spans(spark: SparkSession, d: str) -> DataFrame:
+    spans_ = read_table(spark, d, "risk_instance").selectExpr("id", "verbatim_span")
+    return visual.fold_columns(spans_, ["verbatim_span"]).select("id", "verbatim_span_folded")
