@@ -8,8 +8,9 @@ deviations below the threshold) are dropped inside the join, before any text is
 alignment (Levenshtein distance within a band, in the JVM); pairs that the band rejects because parts changed places
 are decided by their k-mers alone. For ``found_pairs`` the exact share of distinct k-mers follows.
 
-A pair at the threshold of 0.7 shares one sketch with a probability of about 0.34 when the order is kept, and 0.09
-when two halves are swapped; with 48 sketches it is missed about twice in 10**9, and once in 90 for swapped halves.
+A pair at the threshold of 0.7 shares one sketch with a probability of about 0.34 when the order is kept, 0.09 when
+two halves are swapped and 0.04 when three parts are turned round. With 112 sketches it is practically never missed
+when the order is kept, about once in 24,000 for swapped halves and once in 100 for three parts turned round.
 
 Identical texts are one class from the start: sketches, joins and checks run over classes, and only the result of
 ``found_pairs`` spells out the pairs of records. A hot sketch is a hot join key, which adaptive execution splits.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from citeloom.plans.staging import staged
 
-K, SMALLEST, SKETCHES, THRESHOLD = 5, 3, 48, 0.7
+K, SMALLEST, SKETCHES, THRESHOLD = 5, 3, 112, 0.7
 SIGNATURE_BITS = 192
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Cells of one hash matrix; longer texts are hashed in blocks of columns.
