@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import neardup, spans, visual
+from citeloom.llm import mixing, neardup, packing, spans, visual
 from citeloom.sources import read_table
 
 QUERIES = {}
@@ -50,3 +50,24 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_folded_spans(spark: SparkSession, d: str) -> DataFrame:
     spans_ = read_table(spark, d, "risk_instance").selectExpr("id", "verbatim_span")
     return visual.fold_columns(spans_, ["verbatim_span"]).select("id", "verbatim_span_folded")
+
+
+@query
+def p6_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(read_table(spark, d, "documents"), read_table(spark, d, "pack_spec"))
+
+
+@query
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    specs = read_table(spark, d, "pack_spec")
+    return packing.fill_report(packing.packed(read_table(spark, d, "documents"), specs), specs)
+
+
+@query
+def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(mixing.sized_documents(read_table(spark, d, "documents")), read_table(spark, d, "mix_target"))
+
+
+@query
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(mixing.sized_documents(read_table(spark, d, "documents")), read_table(spark, d, "mix_target"))
