@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeloom.llm import mixing, neardup, packing, spans, visual
+from citeloom.llm import mixing, neardup, packing, sentences, spans, visual
 from citeloom.sources import read_table
 
 QUERIES = {}
@@ -71,3 +72,16 @@ def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.sized_documents(read_table(spark, d, "documents")), read_table(spark, d, "mix_target"))
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.record_sentences(read_table(spark, d, "risk_instance"))
+
+
+@query
+def p4_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences and their length per record and field."""
+    units = sentences.record_sentences(read_table(spark, d, "risk_instance"))
+    size = F.col("end_pos") - F.col("start_pos")
+    return units.groupBy("risk_instance_id", "field").agg(F.count("*").alias("sentences"), F.max(size).alias("longest"), F.sum(size).alias("chars"))
