@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import mixing, neardup, packing, sentences, spans, visual
+from citeloom.llm import mixing, neardup, packing, replies, sentences, spans, visual
 from citeloom.sources import read_table
 
 QUERIES = {}
@@ -85,3 +85,15 @@ def p4_lengths(spark: SparkSession, d: str) -> DataFrame:
     units = sentences.record_sentences(read_table(spark, d, "risk_instance"))
     size = F.col("end_pos") - F.col("start_pos")
     return units.groupBy("risk_instance_id", "field").agg(F.count("*").alias("sentences"), F.max(size).alias("longest"), F.sum(size).alias("chars"))
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return replies.defects(read_table(spark, d, "calls"))
+
+
+@query
+def p2_defect_counts(spark: SparkSession, d: str) -> DataFrame:
+    found = replies.defects(read_table(spark, d, "calls"))
+    kind = F.split_part("call_id", F.lit("-"), F.lit(1))
+    return found.groupBy(kind.alias("kind"), "defect").agg(F.count("*").alias("n_calls"))
