@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import mixing, neardup, packing, replies, sentences, spans, visual
+from citeloom.llm import mixing, neardup, packing, replies, sentences, spam, spans, visual
 from citeloom.sources import read_table
 
 QUERIES = {}
@@ -97,3 +97,13 @@ def p2_defect_counts(spark: SparkSession, d: str) -> DataFrame:
     found = replies.defects(read_table(spark, d, "calls"))
     kind = F.split_part("call_id", F.lit("-"), F.lit(1))
     return found.groupBy(kind.alias("kind"), "defect").agg(F.count("*").alias("n_calls"))
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.spam_pages(read_table(spark, d, "documents"))
+
+
+@query
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return spam.page_scores(read_table(spark, d, "documents"))
