@@ -107,3 +107,26 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p8_scores(spark: SparkSession, d: str) -> DataFrame:
     return spam.page_scores(read_table(spark, d, "documents"))
+
+
+# --- SQL that checks whole results ----------------------------------------------------------------------------------
+
+ORACLES["p1_found"] = """WITH u AS (
+  SELECT id AS r, 'description' AS field, page, description AS t FROM risk_instance UNION ALL SELECT id, 'verbatim_span', page, verbatim_span FROM risk_instance
+  UNION ALL SELECT risk_instance_id, 'span', page, span FROM (SELECT DISTINCT risk_instance_id, page, span FROM risk_citation)),
+n AS (SELECT *, row_number() OVER () AS k FROM u WHERE length(t) >= 120),
+w AS (SELECT k, r, p, substr(t, p + 1, 120) AS s FROM (SELECT k, r, t, unnest(range(0, length(t) - 119)) AS p FROM n)),
+h AS (SELECT s FROM w GROUP BY s HAVING min(r) < max(r)),
+x AS (SELECT k, p, CASE WHEN p - lag(p) OVER (PARTITION BY k ORDER BY p) <= 120 THEN 0 ELSE 1 END AS fresh FROM w WHERE s IN (FROM h)),
+g AS (SELECT k, p, sum(fresh) OVER (PARTITION BY k ORDER BY p) AS run FROM x)
+SELECT r AS risk_instance_id, field, page, CAST(min(p) AS INT) AS start_pos, CAST(max(p) + 120 AS INT) AS end_pos FROM g JOIN n USING (k) GROUP BY k, run, r, field, page"""
+
+ORACLES["p3_found"] = """WITH t AS (SELECT id, trim(regexp_replace(lower(coalesce(title, '')) || ' ' || lower(coalesce(description, '')), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM (SELECT DISTINCT id, title, description FROM risk_instance)),
+g AS (SELECT DISTINCT id, substr(t, p, 5) AS s FROM (SELECT id, t, unnest(range(1, length(t) - 3)) AS p FROM t)), n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT a.id AS x, b.id AS y, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
+SELECT x AS id_a, y AS id_b FROM c JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE k >= 0.7 * (a.n + b.n - k)"""
+
+_BLANKS = "trim(regexp_replace({}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
+ORACLES["p5_found"] = f"""WITH j AS (SELECT DISTINCT id, {_BLANKS.format('verbatim_span')} AS s, {_BLANKS.format('text')} AS t FROM risk_instance r JOIN page_text p ON p.report_id = r.report_id AND p.page = r.page)
+SELECT DISTINCT id AS risk_instance_id FROM (SELECT id, {visual.fold_sql('s')} AS a, {visual.fold_sql('t')} AS b FROM j WHERE s <> '' AND NOT contains(t, s)) WHERE a <> '' AND contains(b, a)"""
+ORACLES["p5_folded_spans"] = f"SELECT id, {visual.fold_sql('verbatim_span')} AS verbatim_span_folded FROM risk_instance"
