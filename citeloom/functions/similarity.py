@@ -5,9 +5,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Order of the arguments matters; texts of 200 characters and more leave out very frequent characters; null for null."""
     kept: dict[tuple[str, str], float] = {}

@@ -148,7 +148,7 @@ def question_key(c: Column) -> Column:
 
 def block_heading(c: Column) -> Column:
     """The second line of a block that is not blank (the first where it has no second), at most 80 characters."""
-    lines = F.filter(F.transform(F.split(c, "\n"), F.trim), lambda s: s != "")
+    lines = F.filter(F.transform(F.split(c, "\n"), lambda s: F.trim(s)), lambda s: s != "")
     return F.substring(F.coalesce(F.try_element_at(lines, F.lit(2)), F.try_element_at(lines, F.lit(1))), 1, 80)
 
 

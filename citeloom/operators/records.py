@@ -89,7 +89,7 @@ def paragraph_after(text: Column, heading: str) -> Column:
     """The paragraph below a heading line: lines until a short one without end mark that follows a finished sentence,
     joined across line ends and hyphens, cut at the last sentence end within ``PARAGRAPH_LONGEST``; null without it."""
     below = F.regexp_extract(text, rf"(?ms)^[ \t]*{heading}[ \t]*$\n(.*)", 1)
-    lines = F.filter(F.transform(F.split(below, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(below, "\n"), lambda s: F.trim(s)), lambda x: x != "")
     start = F.struct(F.lit("").alias("kept"), F.lit(False).alias("over"))
 
     def step(s: Column, line: Column) -> Column:

@@ -45,4 +45,7 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/citeloom/{name}-{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)  # when the driver ends
     return spark.read.schema(df.schema).parquet(path)
