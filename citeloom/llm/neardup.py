@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from citeloom.plans.staging import staged
 
 K, SMALLEST, SKETCHES, THRESHOLD = 5, 3, 112, 0.7
-SIGNATURE_BITS = 192
+SIGNATURE_BITS = 320
+_WORDS = SIGNATURE_BITS // 64
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Cells of one hash matrix; longer texts are hashed in blocks of columns.
 _CELLS = 4_000_000
@@ -101,7 +102,7 @@ def sketch(text: str) -> tuple[np.ndarray, np.ndarray] | None:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "tkey", "b0", "b1", "b2"]
+    names = ["key", "tkey", *(f"b{i}" for i in range(_WORDS))]
     for batch in batches:
         tkeys, keys, words, rows = batch.column("tkey"), [], [], []
         for row, text in enumerate(batch.column("text").to_pylist()):
@@ -111,7 +112,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = np.repeat(np.array(rows), SKETCHES)
             wide = np.repeat(np.array(words), SKETCHES, axis=0).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), tkeys.take(pa.array(take)), *(pa.array(wide[:, i].copy()) for i in range(3))], names=names
+                [pa.array(np.concatenate(keys).view(np.int64)), tkeys.take(pa.array(take)), *(pa.array(wide[:, i].copy()) for i in range(_WORDS))], names=names
             )
 
 
@@ -141,11 +142,11 @@ def class_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``edit_similarity`` is 1 - distance / longer length, null where the alignment left its band.
     """
-    sketches = texts.mapInArrow(_sketches, "key long, tkey binary, b0 long, b1 long, b2 long")
-    a, b = (sketches.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("tkey", "b0", "b1", "b2"))) for s in "ab")
+    sketches = texts.mapInArrow(_sketches, "key long, tkey binary, " + ", ".join(f"b{i} long" for i in range(_WORDS)))
+    a, b = (sketches.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("tkey", *(f"b{i}" for i in range(_WORDS))))) for s in "ab")
     p = (1 + threshold) / 2
     least = int(SIGNATURE_BITS * (p - 6.2 * (p * (1 - p) / SIGNATURE_BITS) ** 0.5))
-    apart = sum((F.bit_count(F.col(f"b{i}_a").bitwiseXOR(F.col(f"b{i}_b"))) for i in range(3)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"b{i}_a").bitwiseXOR(F.col(f"b{i}_b"))) for i in range(_WORDS)), F.lit(0))
     candidates = a.join(b, "key").where((F.col("tkey_a") < F.col("tkey_b")) & (apart <= SIGNATURE_BITS - least)).select("tkey_a", "tkey_b").distinct()
     with_texts = candidates.join(texts.select(F.col("tkey").alias("tkey_a"), F.col("text").alias("text_a")), "tkey_a").join(
         texts.select(F.col("tkey").alias("tkey_b"), F.col("text").alias("text_b")), "tkey_b"

@@ -95,7 +95,7 @@ def _folding(out: T.StructType, sql: str):
         con = _connection()
         for batch in batches:
             con.register("batch", pa.Table.from_batches([batch]))
-            table = con.execute(sql).to_arrow_table()
+            table = con.sql(sql).to_arrow_table()
             con.unregister("batch")
             yield from table.cast(schema).to_batches()
 
