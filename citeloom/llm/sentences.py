@@ -77,13 +77,20 @@ def _visible(text: str) -> tuple[str, list[int]]:
 _PERIOD = re.compile(r"(?<=\S)\.(?=[\s“”«»„」』（）()\"'’,;:]|$)")
 
 
+def _word_before(s: str, at: int) -> str:
+    """The word before the period at ``at``; of two that lost the blank between them, the second."""
+    m = _WORD_BEFORE.search(s, max(0, at - 40), at)
+    word = m[0] if m else ""
+    head, _, tail = word.rpartition(".")
+    return tail if len(head.rpartition(".")[2]) >= 3 and tail and not tail[0].isdigit() else word
+
+
 def _context(s: str, at: int) -> tuple[str, str, str]:
     """The word before the period at ``at``, the kind of what follows and the next word.
 
     Kinds: ``cont`` (the period ends no sentence), ``start`` (a capitalised word, ambiguous), ``other``, ``end``.
     """
-    m = _WORD_BEFORE.search(s, max(0, at - 40), at)
-    word = m[0] if m else ""
+    word = _word_before(s, at)
     rest = s[at + 1 : at + 60]
     if rest[:1] in (",", ";", ":"):
         return word, "cont", ""
@@ -212,8 +219,7 @@ def _ends_at(s: str, at: int, here: Counter, corpus: dict) -> bool:
         return False
     if rest[:1] and not rest[0].isspace() and rest[0] not in _CLOSE:
         # No blank after the period: a lost blank between two sentences, or a figure, an initial, an address.
-        m = _WORD_BEFORE.search(s, max(0, at - 40), at)
-        word = m[0] if m else ""
+        word = _word_before(s, at)
         after = re.match(r"[^\W\d_]{2,}|[^\W\d_](?=\s)", rest.lstrip(_OPEN + "¿¡"))
         if rest[0] in _OPEN + "¿¡" or rest[0].isupper():
             if len(word) < 2 or re.search(r"[^\W\d_]\.", word):
@@ -368,8 +374,9 @@ def _after_quote(s: str, i: int, stop: int, here: Counter, corpus: dict) -> bool
     if "぀" <= c <= "ゟ":
         return False  # a particle goes on with the sentence
     if c.isupper() or c in _OPEN + "¿¡" or _CJK.match(c):
-        if s[i] in "」』" and _CJK.match(c) and s[i - 1] not in _ENDS:
-            return False
+        word = re.match(r"[“«„¿¡(]*([^\W\d_][\w’'-]*)", rest)
+        if word and word[1].isupper() and (len(word[1]) > 1 or rest[:12].isupper()):  # in capitals, case tells nothing
+            return _starts_sentence(word[1], here, corpus)
         return True
     return not _thai(c)
 
