@@ -32,8 +32,9 @@ _REFERENCE = re.compile(r"^\s*(?:\[\d+\]|\(\d+\)|\d+\.|[*†‡]|[⁰¹²³⁴-
 _DENSE = re.compile("[一-鿿぀-ヿก-๛]")
 #: Words (or characters of a script without blanks) from which a phrase counts as a clause.
 CLAUSE_WORDS, CLAUSE_DENSE = 6, 12
-#: Words from which a line without any end of a sentence may be a run of keywords, and hash tags that make a tag line.
-RUN_WORDS, HASH_TAGS = 20, 8
+#: Words from which a line without any end of a sentence may be a run of keywords, hash tags that make a tag line, and
+#: arrows that make a menu.
+RUN_WORDS, HASH_TAGS, MENU_MARKS = 20, 8, 5
 #: Covered share of a line from which it is made of repetitions, and of a page's characters from which it is spam.
 REPEATED, SPAM = 0.5, 0.5
 
@@ -99,7 +100,7 @@ def _visible(s: str) -> int:
 
 def line_kinds(text: str) -> list[tuple[int, int, str]]:
     """(start, visible characters, kind) of each line: ``clause``, ``list`` (contents, references, nothing to judge),
-    ``link`` (also lines of hash tags), ``price``, ``items`` (several short phrases), ``run`` (long, without an end) or ``short``."""
+    ``link`` (also lines of hash tags and menus), ``price``, ``items`` (several short phrases), ``run`` (long, without an end) or ``short``."""
     out, at = [], 0
     for line in text.split("\n"):
         size = _visible(line)
@@ -128,7 +129,7 @@ def _kind(line: str, size: int) -> str:
     clause = sum(len(p) - p.count(" ") for p in phrases if len(p.split()) >= CLAUSE_WORDS or len(_DENSE.findall(p)) >= CLAUSE_DENSE)
     if joined < 0.5 * size and (clause >= 0.5 * (size - joined) or sentences and ends):
         return "clause" if ends or words < RUN_WORDS or _DENSE.search(line) else "run"
-    if links or line.count("#") >= HASH_TAGS:
+    if links or line.count("#") >= HASH_TAGS or "«" not in line and line.count(" » ") >= MENU_MARKS:
         return "link"
     return "items" if len(phrases) >= 4 else "clause" if ends else "short"
 
