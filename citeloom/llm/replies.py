@@ -197,9 +197,16 @@ def evidence(text: str, finished: bool) -> Counter:
     return out
 
 
+def _left_open(clause: str) -> bool:
+    """Whether a quotation or bracket opened in the clause is not closed in it."""
+    n = clause.count
+    german = n("„")
+    return n("«") > n("»") or n("(") > n(")") or n("「") > n("」") or (german > n("“") if german else n("“") > n("”"))
+
+
 def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict) -> np.ndarray:
     """One row per clause: bias, echoed, language differs, language unknown, declines, last without stop, last with an
-    ellipsis, and two log odds that a clause of this shape ends here."""
+    ellipsis or an open quotation, and two log odds that a clause of this shape ends here."""
     out = np.zeros((len(parts), 9))
     whole = language(" ".join(parts))
     for i, clause in enumerate(parts):
@@ -215,6 +222,7 @@ def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict)
         tokens = shape(clause)
         core = clause.rstrip().rstrip(_CLOSERS)
         dots = core.endswith(("...", "…"))
+        dots = dots or last and _left_open(clause)
         if last and (dots or core[-1:] not in _STOPS) and tokens:
             k, tail, head, both = _ends(tokens)
             longer = " ".join(tokens[-2 * k :])
