@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,9 +22,11 @@ def message_text(messages: Column) -> Column:
 
 
 def last_recorded(calls: DataFrame) -> DataFrame:
-    """One recording per request hash: the last one, by time and then by content."""
-    order = Window.partitionBy("request_hash").orderBy(F.desc("created_at"), F.desc("call_id"), F.desc("response_content"))
-    return calls.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    """One recording per request hash: the last one, by time and then by content. It is an aggregation that combines
+    before the shuffle: a request that was repeated very often is no hot group."""
+    rest = [c for c in calls.columns if c != "request_hash"]
+    last = calls.groupBy("request_hash").agg(F.max_by(F.struct(*rest), F.struct("created_at", "call_id", "response_content")).alias("__r"))
+    return last.select(*(F.col(c) if c == "request_hash" else F.col(f"__r.{c}").alias(c) for c in calls.columns))
 
 
 def replayed(requests: DataFrame, calls: DataFrame) -> DataFrame:

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 SEVERITY = ("ok", "warning", "error")
 
 
-def check_key() -> list[Column]:
-    """What identifies a check within its run: phase, check and the section its detail names (null is a value)."""
-    return [F.col("run_id"), F.col("phase"), F.col("check_id"), F.get_json_object("detail", "$.section").alias("section")]
-
-
 def last_wins(checks: DataFrame) -> DataFrame:
-    """The last row of each check, by time and then by content."""
+    """The last row of each check (run, phase, check and the section its detail names; null is a
+    value), by time and then by content (an aggregation that combines before the shuffle, so a
+    check that was made very often is no hot group)."""
+    rest = ["created_at", *(c for c in checks.columns if c not in ("run_id", "phase", "check_id", "created_at"))]
     keyed = checks.withColumn("section", F.get_json_object("detail", "$.section"))
-    order = Window.partitionBy("run_id", "phase", "check_id", "section").orderBy(F.desc("created_at"), F.desc("report_id"), F.desc("outcome"), F.desc("count"), F.desc("strategy"), F.desc("detail"))
-    return keyed.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    last = keyed.groupBy("run_id", "phase", "check_id", "section").agg(F.max(F.struct(*rest)).alias("__r"))
+    of = lambda c: F.col(c) if c in ("run_id", "phase", "check_id") else F.col(f"__r.{c}")
+    return last.select(*(of(c).alias(c) for c in checks.columns), "section")
 
 
 def severity(outcome: Column) -> Column:

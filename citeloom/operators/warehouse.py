@@ -53,8 +53,8 @@ def upserted(stored: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
 
 def first_title_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key, the first in order."""
-    first = Window.partitionBy(key).orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*(c for c in rows.columns if c != key)), F.struct(*order)).alias("__r"))
+    return first.select(*(F.col(c) if c == key else F.col(f"__r.{c}").alias(c) for c in rows.columns))
 
 
 def write_reports(loaded: DataFrame, path: str) -> None:
