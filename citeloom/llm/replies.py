@@ -31,6 +31,8 @@ from citeloom.plans.staging import staged
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 TRAINING_CALLS, MIN_SHARE = 500, 2e-6
+#: Letters from which a clause that stands in the prompt counts as echoed.
+LEAST_ECHO = 8
 
 #: Frequent small words of the languages in Latin letters.
 _SMALL = {
@@ -75,7 +77,7 @@ _REFUSALS = [
 ]
 _STOPS = ".!?。！？।॥؟｡"
 _CLOSERS = "”»」』》）)]\"'’“"
-_CLAUSE = re.compile(r"(?<=[!?。！？।॥؟])(?=[^”»」』)\]\"’])|(?<=[.!?؟।])\s+(?=\W*[^\W\da-zа-яß-ÿ])|\n+")
+_CLAUSE = re.compile(r"(?<=[!?。！？।॥؟])(?=[^”»」』)\]\"’])|(?<=[.!?؟।])(?<!\b\w\.)\s+(?=\W*[^\W\da-zа-яß-ÿ])|\n+")
 
 
 def language(text: str) -> str | None:
@@ -215,7 +217,7 @@ def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict)
         own = language(clause) or whole
         row = out[i]
         row[0] = 1
-        row[1] = bool(bare) and bare in user_bare
+        row[1] = len(bare) >= LEAST_ECHO and bare in user_bare
         row[2] = bool(wanted and own and own != wanted)
         row[3] = own is None
         row[4] = bool(_DECLINES.search(clause))
@@ -351,8 +353,8 @@ def defect(kind: str, user: str, reply: str | None, field: ChainField | None, co
     total = sum(share.values())
     if share["refusal"] >= 0.5 * total:
         return "refusal"
-    if share["echo"] >= 0.999 * total:
-        return "copy"
+    if share["echo"] >= 0.999 * total and all(_bare(p) in bare for p in parts):
+        return "copy"  # and nothing of its own
     if final == "unfinished":
         return "truncated"
     if kind != "intent" and share["foreign"] > 0.5 * total:
