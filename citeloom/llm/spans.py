@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from citeloom.plans.staging import staged
 
 MIN_LEN = 120
+#: Characters worked on at a time in a task (a longer text is taken whole).
+CHARACTERS = 500_000
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -72,10 +74,9 @@ def _sliding(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
     return op(out[:-rest], out[rest:]) if rest else out
 
 
-def _chosen(codes: np.ndarray, starts_ok: np.ndarray, length: int, min_len: int) -> np.ndarray:
-    """Positions of windows of ``length`` that are least in some allowed stretch of ``min_len``; ``starts_ok`` marks
-    the allowed stretch starts (one per start, ``len(codes) - min_len + 1`` of them)."""
-    hashes = _window_hashes(codes, length, _B1)
+def _chosen(hashes: np.ndarray, starts_ok: np.ndarray, length: int, min_len: int) -> np.ndarray:
+    """Positions of windows of ``length`` (by their ``hashes``) that are least in some allowed stretch of ``min_len``;
+    ``starts_ok`` marks the allowed stretch starts, so stretches that run over the end of a text are never looked at."""
     width = min_len - length + 1
     keys = np.minimum(hashes, _TOP - np.uint64(1)) + np.uint64(1)
     least = np.where(starts_ok, _sliding(keys, width, np.minimum), np.uint64(0))
@@ -83,66 +84,62 @@ def _chosen(codes: np.ndarray, starts_ok: np.ndarray, length: int, min_len: int)
     return np.flatnonzero(_sliding(padded, width, np.maximum) == keys)
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _starts_around(hits: np.ndarray, length: int, min_len: int, n: int) -> np.ndarray:
-    """Which stretch starts have a whole hit window of ``length`` inside."""
-    steps = np.zeros(n - min_len + 2, np.int32)
-    np.add.at(steps, np.clip(hits + length - min_len, 0, n - min_len + 1), 1)
-    np.add.at(steps, np.clip(hits + 1, 0, n - min_len + 1), -1)
-    return np.cumsum(steps[:-1]) > 0
+def _positions(codes: np.ndarray, sizes: np.ndarray, hits: list | None, length: int, previous: int, min_len: int) -> np.ndarray:
+    """Starts of the windows of ``length`` to count in texts laid end to end, given the hits of the previous length."""
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    if hits is not None:
+        own = np.array([len(h) for h in hits])
+        at = np.concatenate(hits).astype(np.int64) + np.repeat(begins, own)
+        if length > min_len:  # both halves are repeated
+            return np.intersect1d(at, at - previous)
+        low = np.maximum(at + previous - min_len, np.repeat(begins, own))
+        high = np.minimum(at, np.repeat(ends, own) - min_len)
+        low, high = low[low <= high], high[low <= high]
+        steps = np.bincount(low, minlength=len(codes) + 1) - np.bincount(high + 1, minlength=len(codes) + 1)
+        ok = np.cumsum(steps)[: len(codes) - min_len + 1] > 0
+    else:
+        ok = np.arange(len(codes) - min_len + 1) + min_len <= np.repeat(ends, sizes)[: len(codes) - min_len + 1]
+    return _chosen(_window_hashes(codes, length, _B1), ok, length, min_len) if length < min_len else np.flatnonzero(ok)
 
 
 def _level(length: int, previous: int, min_len: int):
-    """Batches of (tkey, text, lo, hi, hits) to windows (h1, h2, tkey, pos, lo, hi) of ``length``."""
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("tkey", pa.binary()), ("pos", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64())])
+    """Batches of (tkey, text, lo, hi, hits) to windows (h1, h2, tkey, pos, lo, hi) of ``length``.
+
+    Texts are laid end to end, up to ``CHARACTERS`` at a time, so that each step is one array operation.
+    """
+    names = ["h1", "h2", "tkey", "pos", "lo", "hi"]
+
+    def part(batch: pa.RecordBatch, rows: list[int], texts: list[str]) -> pa.RecordBatch:
+        codes, sizes = _codes("".join(texts)), np.array([len(t) for t in texts])
+        hits = [batch.column("hits")[r].values.to_numpy(zero_copy_only=False) for r in rows] if previous else None
+        at = _positions(codes, sizes, hits, length, previous, min_len)
+        h1 = _window_hashes(codes, length, _B1)[at]
+        h2 = _window_hashes(codes, length, _B2)[at] if length >= min_len else h1
+        text = np.searchsorted(np.cumsum(sizes), at, side="right")
+        take = pa.array(np.array(rows)[text], pa.int64())
+        pos = pa.array((at - (np.cumsum(sizes) - sizes)[text]).astype(np.int32))
+        of = lambda c: batch.column(c).take(take)
+        return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), of("tkey"), pos, of("lo"), of("hi")], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = {n: batch.column(n) for n in batch.schema.names}
-            keys, los, his = cols["tkey"].to_pylist(), cols["lo"].to_pylist(), cols["hi"].to_pylist()
-            h1s, h2s, poss, rows = [], [], [], []
-            for row, text in enumerate(cols["text"].to_pylist()):
-                codes = _codes(text)
-                n = len(codes)
-                if n < min_len:
-                    continue
-                hits = cols["hits"][row].values.to_numpy(zero_copy_only=False) if previous else None
-                if length > min_len:  # both halves are repeated
-                    pos = np.intersect1d(hits, hits - previous)
-                else:
-                    ok = np.ones(n - min_len + 1, bool) if hits is None else _starts_around(hits, previous, min_len, n)
-                    pos = _chosen(codes, ok, length, min_len) if length < min_len else np.flatnonzero(ok)
-                if not len(pos):
-                    continue
-                h1 = _window_hashes(codes, length, _B1)[pos]
-                h2 = _window_hashes(codes, length, _B2)[pos] if length >= min_len else h1
-                h1s.append(h1), h2s.append(h2), poss.append(pos), rows.append(np.full(len(pos), row))
-                if sum(map(len, poss)) > 200_000:
-                    yield _emit(schema, h1s, h2s, poss, rows, keys, los, his)
-                    h1s, h2s, poss, rows = [], [], [], []
-            if poss:
-                yield _emit(schema, h1s, h2s, poss, rows, keys, los, his)
+            rows, texts, size = [], [], 0
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                if len(text) >= max(length, min_len):
+                    rows.append(row), texts.append(text)
+                    size += len(text)
+                if size >= CHARACTERS:
+                    yield part(batch, rows, texts)
+                    rows, texts, size = [], [], 0
+            if rows:
+                yield part(batch, rows, texts)
 
     return run
 
 
-def _emit(schema, h1s, h2s, poss, rows, keys, los, his) -> pa.RecordBatch:
-    row = np.concatenate(rows)
-    take = pa.array(row, pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate(h1s).view(np.int64)),
-            pa.array(np.concatenate(h2s).view(np.int64)),
-            pa.array(keys, pa.binary()).take(take),
-            pa.array(np.concatenate(poss).astype(np.int32)),
-            pa.array(los, pa.int64()).take(take),
-            pa.array(his, pa.int64()).take(take),
-        ],
-        schema=schema,
-    )
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def distinct_texts(units: DataFrame, min_len: int) -> DataFrame:
