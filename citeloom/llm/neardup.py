@@ -13,7 +13,8 @@ two halves are swapped and 0.04 when three parts are turned round. With 112 sket
 when the order is kept, about once in 24,000 for swapped halves and once in 100 for three parts turned round.
 
 Identical texts are one class from the start: sketches, joins and checks run over classes, and only the result of
-``found_pairs`` spells out the pairs of records. A hot sketch is a hot join key, which adaptive execution splits.
+``found_pairs`` spells out the pairs of records, a class of many copies in parts. A hot sketch is a hot key of an equi
+join, which adaptive execution splits.
 
 Defined results: a null title or description counts as empty; texts of fewer than ``K`` characters have no k-mers and
 are in no pair; repeated rows of one id count once; empty tables give no rows; extra columns are ignored.
@@ -33,6 +34,8 @@ K, SMALLEST, SKETCHES, THRESHOLD = 5, 3, 112, 0.7
 SIGNATURE_BITS = 320
 _WORDS = SIGNATURE_BITS // 64
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: Copies of one text that are joined in one task.
+PART = 500
 #: Cells of one hash matrix; longer texts are hashed in blocks of columns.
 _CELLS = 4_000_000
 
@@ -167,13 +170,22 @@ def _classes(instances: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.select("id", "tkey").distinct(), texts
 
 
+def _with_members(left: DataFrame, key: str, members: DataFrame, name: str) -> DataFrame:
+    """``left`` joined with the members of the class in ``key``. A class of many copies is cut into parts of about
+    ``PART`` members, and its left rows are repeated for each part, so that no class is one task."""
+    parts = members.groupBy("tkey").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    right = members.join(parts, "tkey").select(F.col("tkey").alias(key), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.col("id").alias(name))
+    spread = left.join(parts.withColumnRenamed("tkey", key), key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return spread.join(right, [key, "part"]).drop("part")
+
+
 def found_pairs(instances: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs of records whose sets of distinct k-mers share at least ``threshold`` of their union, smaller id first."""
     members, texts = _classes(instances)
     pairs = class_pairs(texts, threshold).where(F.col("jaccard") >= threshold).select("tkey_a", "tkey_b")
-    a, b = members.toDF("x", "tkey_a"), members.toDF("y", "tkey_b")
-    apart = pairs.join(a, "tkey_a").join(b, "tkey_b").select("x", "y")
-    same = a.join(b.withColumnRenamed("tkey_b", "tkey_a"), "tkey_a").where("x < y").select("x", "y")
+    apart = _with_members(_with_members(pairs, "tkey_a", members, "x"), "tkey_b", members, "y").select("x", "y")
+    several = members.join(members.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1").select("tkey"), "tkey", "left_semi")
+    same = _with_members(several.select(F.col("id").alias("x"), F.col("tkey").alias("tkey_a")), "tkey_a", several, "y").where("x < y").select("x", "y")
     return apart.unionByName(same).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 

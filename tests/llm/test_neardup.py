@@ -58,3 +58,13 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 20)] + [(50, 40), (40, 45), (7, 7)], "u int, v int")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(21)}, 40: 40, 45: 40, 50: 40}
+
+
+def test_many_copies_are_joined_in_parts(spark, monkeypatch):
+    import citeloom.llm.neardup as neardup
+
+    monkeypatch.setattr(neardup, "PART", 7)
+    text = "the same words stand in all of these records"
+    rows = [(f"a{i:02d}", "t", text, None) for i in range(40)] + [(f"b{i:02d}", "t", text + " x", None) for i in range(20)]
+    got = [tuple(r) for r in found_pairs(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert len(got) == len(set(got)) == 60 * 59 // 2
