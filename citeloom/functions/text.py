@@ -91,8 +91,11 @@ def figures(c: Column) -> Column:
 def names(c: Column) -> Column:
     """Capitalised words of a sentence but its first, without marks around them, longer than two characters."""
     words = F.filter(F.split(c, BLANKS), lambda w: w != "")
-    rest = F.when(F.size(words) > 1, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(1)))).otherwise(F.slice(words, 1, 0))
-    bare = F.transform(rest, lambda w: F.regexp_replace(w, r"^[,.;:()]+|[,.;:()]+$", ""))
+
+    def after_first(w: Column) -> Column:
+        return F.when(F.size(w) > 1, F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(1)))).otherwise(F.slice(w, 1, 0))
+
+    bare = F.transform(bound(words, after_first), lambda w: F.regexp_replace(w, r"^[,.;:()]+|[,.;:()]+$", ""))
     return F.filter(bare, lambda w: (F.length(w) > 2) & w.rlike(r"^\p{Lu}"))
 
 

@@ -73,3 +73,18 @@ def top_values(rows: DataFrame, label: str, value: str, n: int) -> DataFrame:
     counts = rows.where(F.col(value).isNotNull()).groupBy(label, value).agg(F.count("*").alias("n"))
     order = Window.partitionBy(label).orderBy(F.desc("n"), value)
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
+def backends_compared(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Verdicts of two grounding backends on the same records: agreeing, both flagged, and flagged by one only."""
+    x, y = a.select(key, (F.size("problems") > 0).alias("x")), b.select(key, (F.size("problems") > 0).alias("y"))
+    return x.join(y, key).agg(
+        F.count("*").alias("records"), F.count_if(F.col("x") == F.col("y")).alias("agree"), F.count_if(F.col("x") & F.col("y")).alias("both_flagged"),
+        F.count_if(F.col("x") & ~F.col("y")).alias("first_only"), F.count_if(~F.col("x") & F.col("y")).alias("second_only"),
+    )
+
+
+def seeded_faults(records: DataFrame, faults: list[tuple[str, str]]) -> DataFrame:
+    """Records once per fault, with the fault's text appended to the description and its name in ``fault``."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("fault"), F.lit(t).alias("__t")) for n, t in faults])).alias("__f")
+    return records.select("*", kinds).withColumn("description", F.concat_ws(" ", "description", "__f.__t")).withColumn("fault", F.col("__f.fault")).drop("__f")

@@ -14,7 +14,7 @@ FEW, MANY = 2, 3
 
 def overlap(words: Column, context: Column) -> Column:
     """Share of a word set that the context has; 1 for an empty set."""
-    return F.when(F.size(words) == 0, 1.0).otherwise(F.size(F.array_intersect(words, context)) / F.size(words))
+    return bound(words, lambda w: F.when(F.size(w) == 0, 1.0).otherwise(F.size(F.array_intersect(w, context)) / F.size(w)))
 
 
 def problems(description: Column, span: Column, mitigation: Column, page: Column, cited: Column) -> Column:

@@ -126,3 +126,30 @@ def voted(samples: DataFrame, key: str, first_value: str, seq: str) -> DataFrame
         F.max_by(first_value, F.struct("n", -F.col("seen"))).alias("winner"), F.round(F.max("n") / F.sum("n"), 6).alias("share"),
         (F.max_by(first_value, F.struct("n", -F.col("seen"))) != F.min_by(first_value, "seen")).alias("changed"),
     )
+
+
+def register_candidates(blocks: DataFrame) -> DataFrame:
+    """Risk blocks of a register as candidates: prominence 1 for the main register and 2 for the other, the text of the
+    description field where the block has one, else its whole text, and the named fields that are not empty."""
+    fields = F.map_filter("fields", lambda k, v: F.coalesce(v, F.lit("")) != "")
+    body = F.coalesce(F.nullif(F.element_at(fields, "description"), F.lit("")), F.col("text"))
+    return blocks.where("marker = 'risk' AND source_register IS NOT NULL").select(
+        F.col("block_id").alias("candidate_id"), "source_register", "section", "page", F.col("heading").alias("title"), body.alias("verbatim_span"),
+        F.element_at(fields, "potential_impact").alias("potential_impact"), F.when(F.col("source_register") == "erm_main_risk", 1).otherwise(2).alias("prominence"),
+    )
+
+
+def resolved_markers(blocks: DataFrame) -> DataFrame:
+    """The marker of a block from its icon and its text: the icon wins; the text counts where there is none; both are
+    named as the source where they agree, and a disagreement or a missing icon is flagged."""
+    icon, text = F.col("icon_marker"), F.col("text_marker")
+    agree = icon == text
+    flags = F.array_compact(
+        F.array(
+            F.when(icon.isNotNull() & text.isNotNull() & ~agree, "marker_disagreement"),
+            F.when(icon.isNull() & (F.coalesce(text, F.lit("")) != "immaterial"), "marker_without_icon"),
+        )
+    )
+    return blocks.select(
+        "*", F.coalesce(icon, text, F.lit("none")).alias("marker"), F.when(icon.isNull(), "text").when(agree, "icon+text").otherwise("icon").alias("marker_source"), flags.alias("quality_flags")
+    )

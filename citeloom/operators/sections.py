@@ -87,3 +87,24 @@ def checked_range(ranges: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     r = ranges.select(key, "section", "first_page", "last_page")
     inside = (F.col("page") >= F.col("first_page")) & (F.col("last_page").isNull() | (F.col("page") <= F.col("last_page")))
     return pages.join(r, [key, "section"], "left").where(~F.coalesce(inside, F.lit(False))).select(*pages.columns)
+
+
+def located(specs: DataFrame, matches: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """Configured sections with where they were found: the matched range, or the configured one where no title matched;
+    flags say why a range is less sure, and ``outcome`` is error (a required section without title), warning or ok.
+
+    ``specs`` has ``section, first_page, last_page, required``; ``matches`` has ``section, match_grade``; ``ranges`` as
+    from :func:`section_ranges`.
+    """
+    found = ranges.select(key, "section", F.col("first_page").alias("f"), F.col("last_page").alias("l"))
+    rows = specs.join(matches.select(key, "section", "match_grade"), [key, "section"], "left").join(found, [key, "section"], "left")
+    grade = F.coalesce("match_grade", F.lit("none"))
+    missing = grade == "none"
+    differs = ~missing & ~F.col("f").eqNullSafe(F.col("first_page"))
+    flags = F.array_compact(
+        F.array(F.when(missing, "not_found"), F.when(grade.isin("variant", "similarity"), F.concat(F.lit("title_"), grade)), F.when(differs, "differs_from_configuration"))
+    )
+    # The configured end holds only where the configured start was found.
+    last = F.when(missing, F.col("last_page")).when(differs, F.col("l")).otherwise(F.coalesce(F.least("l", "last_page"), "last_page"))
+    outcome = F.when(missing & F.col("required"), "error").when(missing | (grade == "similarity"), "warning").otherwise("ok")
+    return rows.select(key, "section", grade.alias("match_grade"), F.when(missing, F.col("first_page")).otherwise(F.col("f")).alias("first_page"), last.alias("last_page"), flags.alias("quality_flags"), outcome.alias("outcome"))

@@ -152,3 +152,36 @@ def test_sections(spark):
     offer = spark.createDataFrame([("k", 1, "Enterprise risks (p. 5)"), ("k", 2, "Other things")], "k string, offer_no int, title string")
     got = {r.want_no: r.match_grade for r in S.best_title(want, offer, ["k"]).collect()}
     assert got == {1: "exact", 2: "variant", 3: "similarity", 4: "none", 5: "none"}
+
+
+def test_candidates_and_markers(spark):
+    schema = "block_id string, marker string, source_register string, section string, page int, heading string, text string, fields map<string,string>"
+    rows = [("b1", "risk", "erm_main_risk", "s", 1, "H", "whole", {"description": "part", "potential_impact": ""}), ("b2", "risk", "esrs_financial_risk", "s", 2, "H", "whole", {}), ("b3", "opportunity", "erm_main_risk", "s", 1, "H", "x", None), ("b4", "risk", None, "s", 1, "H", "x", None)]
+    got = {r.candidate_id: (r.verbatim_span, r.prominence, r.potential_impact) for r in R.register_candidates(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"b1": ("part", 1, None), "b2": ("whole", 2, None)}
+    marks = [("1", "risk", "risk"), ("2", "risk", "opportunity"), ("3", None, "risk"), ("4", None, "immaterial"), ("5", "risk", None), ("6", None, None)]
+    got = {r.id: (r.marker, r.marker_source, r.quality_flags) for r in R.resolved_markers(spark.createDataFrame(marks, "id string, icon_marker string, text_marker string")).collect()}
+    assert got == {
+        "1": ("risk", "icon+text", []), "2": ("risk", "icon", ["marker_disagreement"]), "3": ("risk", "text", ["marker_without_icon"]),
+        "4": ("immaterial", "text", []), "5": ("risk", "icon", []), "6": ("none", "text", ["marker_without_icon"]),
+    }
+
+
+def test_located_sections(spark):
+    specs = spark.createDataFrame([("r", s, a, b, q) for s, a, b, q in [("a", 10, 12, True), ("b", 20, 25, True), ("c", 30, 35, True), ("d", 40, 44, False)]], "k string, section string, first_page int, last_page int, required boolean")
+    matches = spark.createDataFrame([("r", "a", "exact"), ("r", "b", "similarity"), ("r", "c", "none")], "k string, section string, match_grade string")
+    ranges = spark.createDataFrame([("r", "a", 10, 20), ("r", "b", 21, 30)], "k string, section string, first_page int, last_page int")
+    got = {r.section: (r.first_page, r.last_page, r.quality_flags, r.outcome) for r in S.located(specs, matches, ranges, "k").collect()}
+    assert got == {
+        "a": (10, 12, [], "ok"), "b": (21, 30, ["title_similarity", "differs_from_configuration"], "warning"),
+        "c": (30, 35, ["not_found"], "error"), "d": (40, 44, ["not_found"], "warning"),
+    }
+
+
+def test_backends_and_seeded_faults(spark):
+    flags = lambda rows: spark.createDataFrame(rows, "id string, problems array<string>")
+    row = E.backends_compared(flags([("a", []), ("b", ["x"]), ("c", ["x"])]), flags([("a", []), ("b", ["y"]), ("c", [])]), "id").first()
+    assert tuple(row) == (3, 2, 1, 1, 0)
+    recs = spark.createDataFrame([("a", "Text."), ("b", None)], "id string, description string")
+    got = {(r.id, r.fault): r.description for r in E.seeded_faults(recs, [("number", "It was 77."), ("name", "Ask Ruritania.")]).collect()}
+    assert got[("a", "number")] == "Text. It was 77." and got[("b", "name")] == "Ask Ruritania." and len(got) == 4
