@@ -20,6 +20,7 @@ from citeloom.llm.tokens import VOCABULARY, with_token_counts
 
 #: Documents in a group on average, and the most capacities in one call.
 GROUP_DOCUMENTS, MOST_SPECS = 8_000, 1_000
+MOST_TASKS = 10_000
 
 
 def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
@@ -79,6 +80,8 @@ def packed(documents: DataFrame, specs: DataFrame, vocabulary: str = VOCABULARY,
     kind = dict(documents.dtypes)["doc_id"]
     return (
         counted.withColumn("bin_group", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(groups)).cast("int"))
+        # Ids and sizes are few bytes and packing is work: left to sizes, the groups would be merged into one task.
+        .repartition(min(groups, MOST_TASKS), "bin_group")
         .groupBy("bin_group")
         .applyInPandas(lambda pdf: _pack(pdf, sizes), f"spec_id string, container_id long, doc_id {kind}, piece int, start_token long, end_token long, n_tokens long")
     )
