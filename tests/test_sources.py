@@ -66,3 +66,12 @@ def test_stream_upserts(spark, tmp_path):
     query = counts.writeStream.format("memory").queryName("outcomes").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("outcomes").agg(F.sum("n")).first()[0] == 2
+
+
+def test_package_is_sent_once(spark):
+    from citeloom.plans.shipping import ship_package
+
+    ship_package(spark)
+    sent = [f for f in spark.sparkContext._python_includes if f.startswith("citeloom")]
+    ship_package(spark)
+    assert sent and sent == [f for f in spark.sparkContext._python_includes if f.startswith("citeloom")]
