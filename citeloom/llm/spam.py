@@ -8,8 +8,8 @@ A line has clause structure if most of it stands in phrases of several words (or
 blanks) between separators and links, and it ends like a sentence or is not made of repetitions. Contents lines,
 numbered references, headings and lists of sentences are no spam lines.
 
-``spam_pages`` asks for the automaton only where the lines without clause structure hold more than half of a page:
-for any other page coverage cannot change the answer, so the result is the same. ``page_scores`` builds it for all.
+``spam_pages`` builds the automaton of every page that has a line without clause structure; in a page of clauses only
+there is no line whose coverage could count. ``page_scores`` builds it for all.
 
 A page is one row; its work grows in proportion to its length, and no page meets another, so nothing is shuffled.
 
@@ -136,13 +136,13 @@ def _kind(line: str, size: int) -> str:
 
 def score(text: str | None, always: bool = False) -> tuple[int, int, int]:
     """(visible characters, spam characters, covered characters) of a page; without ``always`` the automaton is built
-    only where lines without clause structure hold more than half of the page."""
+    only where some line lacks clause structure."""
     if not text or not text.strip():
         return 0, 0, 0
     lines = line_kinds(text)
     size = sum(n for _, n, _ in lines)
     loose = sum(n for _, n, k in lines if k not in ("clause", "list"))
-    if not always and loose <= SPAM * size:
+    if not always and not loose:
         return size, 0, 0
     marks = covered(text)
     spam, i, total = 0, 0, sum(b - a for a, b in marks)
