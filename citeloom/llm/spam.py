@@ -4,12 +4,16 @@ Method: the suffix automaton of a page's words gives, for each word, the longest
 together they mark the characters covered by repeated maximal substrings. Lines without clause structure count as spam
 where that coverage, links or prices fill them; a page is spam if such lines hold more than half of its characters.
 
+A line that looks like clauses is judged too: keywords may be dressed with stops. Where the coverage fills it and many
+pairs of near words stand in both orders within sentences (``unordered``), it is stuffed. Prose repeats words as well,
+but in the order of its clauses; a sentence said again is counted once, so repeated prose stays prose.
+
 A line has clause structure if most of it stands in phrases of several words (or of a long run in scripts without
 blanks) between separators and links, and it ends like a sentence or is not made of repetitions. Contents lines,
 numbered references, headings and lists of sentences are no spam lines.
 
-``spam_pages`` builds the automaton of every page that has a line without clause structure; in a page of clauses only
-there is no line whose coverage could count. ``page_scores`` builds it for all.
+The automaton is built for every page. ``spam_pages`` looks at the order of words only where the covered clause lines
+could make the page spam; ``page_scores`` looks at it everywhere.
 
 A page is one row; its work grows in proportion to its length, and no page meets another, so nothing is shuffled.
 
@@ -17,8 +21,11 @@ Defined results: null, empty and blank texts are no spam; repeated texts are jud
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -30,6 +37,9 @@ _ENDS = re.compile(r"[.!?…。！？।॥؟｡](?:[\s”»」』)\]\"’“]|$
 _CONTENTS = re.compile(r"(?:\.\s?){4,}\s*\d+\s*$|^\s*\d+(?:\.\d+)*\.?\s+\S.*\s\d{1,4}\s*$")
 _REFERENCE = re.compile(r"^\s*(?:\[\d+\]|\(\d+\)|\d+\.|[*†‡]|[⁰¹²³⁴-⁹]+)\s+\S.*,.*")
 _DENSE = re.compile("[一-鿿぀-ヿก-๛]")
+_TOKEN = re.compile(r"[^\s.!?…,;:()\[\]{}|/<>=+*#•·\"“”«»„‚「」『』（）、，；：。！？।॥؟،؛]+")
+_STOP = re.compile(r"[.!?…]+(?=\s|$)|[。！？।॥؟]|(?<=[ก-๎])\s+(?=[ก-๎])")
+_HAN = re.compile("[一-鿿぀-ヿ]")
 #: Words (or characters of a script without blanks) from which a phrase counts as a clause.
 CLAUSE_WORDS, CLAUSE_DENSE = 6, 12
 #: Words from which a line without any end of a sentence may be a run of keywords, hash tags that make a tag line, and
@@ -37,17 +47,45 @@ CLAUSE_WORDS, CLAUSE_DENSE = 6, 12
 RUN_WORDS, HASH_TAGS, MENU_MARKS = 20, 8, 5
 #: Covered share of a line from which it is made of repetitions, and of a page's characters from which it is spam.
 REPEATED, SPAM = 0.5, 0.5
+#: Words of a unit whose order is looked at, distance up to which two words are a pair, share of the rarer order from
+#: which a pair has no fixed order, and share of such pairs from which a line is stuffed.
+UNIT_WORDS, NEAR, EITHER, UNORDERED = 6, 8, 0.2, 0.34
 
 
 def repeated_lengths(words: list) -> list[int]:
     """For each position the length of the longest substring that ends there and stands elsewhere too.
 
-    The suffix automaton of the sequence; a state's occurrences are summed along its suffix links.
+    The suffix automaton of the sequence; a state's occurrences are summed along its suffix links. No repeated substring
+    holds a word that stands once, so such a word cuts the sequence: the automaton goes on at its root.
     """
+    times = Counter(words)
     moves: list[dict] = [{}]
     link, length, count = [-1], [0], [0]
     last, prefix = 0, []
     for w in words:
+        if times[w] == 1:
+            last = 0
+            prefix.append(0)
+            continue
+        q = moves[last].get(w, 0)
+        if q:  # after a cut the automaton may know the way
+            if length[q] == length[last] + 1:
+                cur = q
+            else:
+                cur = len(moves)
+                moves.append(moves[q].copy())
+                length.append(length[last] + 1)
+                link.append(link[q])
+                count.append(0)
+                p = last
+                while p != -1 and moves[p].get(w) == q:
+                    moves[p][w] = cur
+                    p = link[p]
+                link[q] = cur
+            count[cur] += 1
+            last = cur
+            prefix.append(cur)
+            continue
         cur = len(moves)
         moves.append({})
         length.append(length[last] + 1)
@@ -82,16 +120,57 @@ def repeated_lengths(words: list) -> list[int]:
     return [longest[s] for s in prefix]
 
 
+def _repeated(words: list[str]) -> list[bool]:
+    """Whether each word is covered by a repeated maximal substring."""
+    if not words:
+        return []
+    at = np.arange(len(words))
+    first = np.minimum.accumulate((at - np.array(repeated_lengths(list(map(str.casefold, words)))) + 1)[::-1])[::-1]
+    return (first <= at).tolist()
+
+
 def covered(text: str) -> list[tuple[int, int]]:
     """Stretches of ``text`` covered by repeated maximal substrings, in whole words."""
     found = list(_WORD.finditer(text))
-    lengths = repeated_lengths([m[0].casefold() for m in found])
-    out, first = [], len(found)
-    for i in range(len(found) - 1, -1, -1):
-        first = min(first, i - lengths[i] + 1)
-        if first <= i:
-            out.append(found[i].span())
-    return out[::-1]
+    return [m.span() for m, inside in zip(found, _repeated([m[0] for m in found])) if inside]
+
+
+def _units(line: str) -> Iterator[tuple[str, ...]]:
+    """The words of a line by sentence; sentences of a few words go with the next."""
+    unit: list[str] = []
+    for part in _STOP.split(line):
+        unit += _TOKEN.findall(part.casefold())
+        if len(unit) >= UNIT_WORDS or unit and (sum(map(len, _HAN.findall(" ".join(unit)))) >= CLAUSE_DENSE or len(unit) >= 3 and _DENSE.search(unit[-1])):
+            yield tuple(unit)
+            unit = []
+    if unit:
+        yield tuple(unit)
+
+
+def unordered(lines: list[str]) -> list[float]:
+    """For each line the share of its pairs of near words that stand in both orders in the units of all lines.
+
+    Equal units count once.
+    """
+    units: dict[tuple[str, ...], int] = {}
+    parts = [[units.setdefault(u, len(units)) for u in _units(line)] for line in lines]
+    code: dict[str, int] = {}
+    words = np.array([code.setdefault(w, len(code)) for u in units for w in u], np.int64)
+    of = np.repeat(np.arange(len(units)), [len(u) for u in units])
+    pairs, owner = [words[:0]], [of[:0]]
+    for d in range(1, NEAR + 1):
+        same = of[:-d] == of[d:]
+        pairs.append((words[:-d] * len(code) + words[d:])[same])
+        owner.append(of[:-d][same])
+    kinds, at, n = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
+    turned = kinds % max(1, len(code)) * len(code) + kinds // max(1, len(code))
+    there = np.minimum(np.searchsorted(kinds, turned), max(0, len(kinds) - 1))
+    back = np.where(kinds[there] == turned, n[there], 0) if len(kinds) else n
+    either = np.minimum(n, back) >= EITHER * (n + back)
+    units_of = np.concatenate(owner)
+    loose = np.bincount(units_of, either[at], len(units))
+    every = np.bincount(units_of, minlength=len(units))
+    return [float(loose[p].sum() / max(1, every[p].sum())) if p else 0.0 for p in parts]
 
 
 def _visible(s: str) -> int:
@@ -135,26 +214,30 @@ def _kind(line: str, size: int) -> str:
 
 
 def score(text: str | None, always: bool = False) -> tuple[int, int, int]:
-    """(visible characters, spam characters, covered characters) of a page; without ``always`` the automaton is built
-    only where some line lacks clause structure."""
+    """(visible characters, spam characters, covered characters) of a page; without ``always`` the order of words is
+    looked at only where it can decide whether the page is spam."""
     if not text or not text.strip():
         return 0, 0, 0
     lines = line_kinds(text)
     size = sum(n for _, n, _ in lines)
-    loose = sum(n for _, n, k in lines if k not in ("clause", "list"))
-    if not always and not loose:
-        return size, 0, 0
-    marks = covered(text)
-    spam, i, total = 0, 0, sum(b - a for a, b in marks)
-    for n, (start, visible, kind) in enumerate(lines):
-        stop = lines[n + 1][0] if n + 1 < len(lines) else len(text)
-        inside = 0
-        while i < len(marks) and marks[i][0] < stop:
-            inside += marks[i][1] - marks[i][0] if marks[i][0] >= start else 0
-            i += 1
-        letters = sum(map(len, _WORD.findall(text[start:stop]))) or 1
-        if kind in ("link", "price") or kind in ("items", "short", "run") and inside >= REPEATED * letters:
+    stops = [*(start for start, _, _ in lines[1:]), len(text)]
+    parts = [_WORD.findall(text, start, stop) for (start, _, _), stop in zip(lines, stops)]
+    repeated = iter(_repeated(list(chain.from_iterable(parts))))
+    spam = total = 0
+    clauses: list[tuple[str, int, bool]] = []
+    for (start, visible, kind), stop, words in zip(lines, stops, parts):
+        sizes = list(map(len, words))
+        inside = sum(compress(sizes, repeated)) if sizes else 0
+        total += inside
+        full = inside >= REPEATED * (sum(sizes) or 1)
+        if kind in ("link", "price") or kind in ("items", "short", "run") and full:
             spam += visible
+        elif kind == "clause":
+            clauses.append((text[start:stop], visible, full))
+    open_ = sum(v for _, v, full in clauses if full)
+    if open_ and (always or spam <= SPAM * size < spam + open_):
+        loose = unordered([line for line, _, _ in clauses])
+        spam += sum(v for (_, v, full), x in zip(clauses, loose) if full and x >= UNORDERED)
     return size, spam, total
 
 

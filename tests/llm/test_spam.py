@@ -1,6 +1,6 @@
 import random
 
-from citeloom.llm.spam import covered, page_scores, repeated_lengths, score, spam_pages
+from citeloom.llm.spam import covered, page_scores, repeated_lengths, score, spam_pages, unordered
 
 PROSE = "The group depends on Kalnixor for resin, while Bomtexal supplies only 5%. Weather losses at Zerhomut reached 20 mn euros in 2024 and were not insured."
 WORDS = ["cheap hull insurance", "best esg rating", "free audit template", "used crane", "low cost resin"]
@@ -65,3 +65,40 @@ def test_pages(spark):
     assert sorted(r[0] for r in spam_pages(df).collect()) == sorted(f"spam {k}" for k in SPAM)
     assert page_scores(df).count() == len(rows)
     assert spam_pages(df.limit(0)).count() == 0
+
+
+def dressed(form, n=30, words=WORDS, seed=3):
+    """Keywords written with stops: in phrases of a sales text, or as runs cut into sentences."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        a, b = rnd.choice(words), rnd.choice(words)
+        if form == "phrases":
+            out.append(rnd.choice([f"Need {a}? {b}! {a} and {b}.", f"Top {a}, {b}, {a} today.", f"The {a}, your {b}: {a}."]))
+        else:
+            run = " ".join(rnd.choice([*words, words[0] + " 2023"]) for _ in range(4))
+            out.append(run[0].upper() + run[1:] + ".")
+    return " ".join(out)
+
+
+ZH = ["审计模板", "快速贷款", "低价保险", "合规培训"]
+FRAMES = ["Near {}, {} may call into question bid volumes in 20{}.", "Within {}, {} may narrow the warranty reserve in 20{}.", "La filial de {} en EE. UU. perdió {} mill. de euros por la salida de {}."]
+
+
+def test_keywords_with_stops(spark):
+    spam = [dressed(f, n, w) for f in ("phrases", "runs") for n in (8, 30, 300) for w in (WORDS, ZH)]
+    spam += [dressed("runs").replace(". ", ".\n"), PROSE + "\n" + dressed("phrases"), dressed("runs") + "\n" + PROSE]
+    names = [f"Kal{a}{b}" for a in "nixor" for b in "bomtexalu"]
+    same = [" ".join(f.format(names[i], ["price pressure", "shipping delay", "model error"][i % 3], i + 10) for i in range(40)) for f in FRAMES]
+    fine = [*same, "\n".join([PROSE, FINE["list"]] * 20), PROSE * 5 + "\n" + dressed("phrases", 5), "".join(f"监査人{n}は「在庫が少ない。納期が長い。」と{n}の報告書に記した。" for n in names)]
+    rows = [(i, t) for i, t in enumerate(spam + fine)]
+    got = sorted(r[0] for r in spam_pages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == list(range(len(spam)))
+    for _, t in rows:
+        a, b = score(t), score(t, True)
+        assert a[2] == b[2] > 0 and (a[1] > 0.5 * a[0]) == (b[1] > 0.5 * b[0])
+
+
+def test_unordered():
+    assert unordered([]) == [] and unordered([""]) == [0.0]
+    assert unordered(["a b", "b a"]) == [1.0, 1.0] and unordered(["a b c d e f.", "a b c d e f."]) == [0.0, 0.0]
