@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from citeloom.llm.visual import LOOK_ALIKES
 
 MIN_COUNT, MIN_SHARE = 3, 2e-5
-#: A word seen so often before a period and never at the end of a text or line takes the period as part of itself.
-NEVER_LAST = 30
+#: A word takes the period as part of itself where its rate of texts' ends, at the upper bound of the confidence that so
+#: many normal deviations give, is below this share of the rate of ordinary words.
+DEVIATIONS, SELDOM_LAST = 1.645, 1 / 3
 
 _INVISIBLE = re.compile("[­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿]")
 _OPEN = "“«„‚「『《〈（([{【〔＜｢"
@@ -48,6 +49,8 @@ _CJK = re.compile("[぀-ヿ㐀-鿿豈-﫿]")
 
 
 _LOOKS = str.maketrans(*LOOK_ALIKES)
+#: Kinds of counts, see ``evidence``.
+_KINDS = "anpsieou"
 #: Numbers of one or two digits before a period count as one word.
 _NUMBER, _ORDINAL = "#", re.compile(r"\d{1,2}")
 
@@ -108,17 +111,46 @@ def _context(s: str, at: int) -> tuple[str, str, str]:
     return word, "other", ""
 
 
+_MARKS = re.compile("[" + re.escape("".join(dict.fromkeys([*_PAIRS, *"".join(_PAIRS.values()), '"']))) + "]")
+_PARAGRAPH = re.compile(r"[ \t\r]*\n(?=[ \t\r]*\n|" + _MARK.pattern + ")")
 _STARTS = re.compile(r"(?:^|[!?…]\s+|[!?]”\s+)[“«„¿¡(]*([^\W\d_][\w’'-]*)")
 _INNER = re.compile(r"(?<=[\w,;:] )[“«„(]?([^\W\d_][\w’'-]*)")
 
 
+def _pairs(s: str, start: int, stop: int) -> dict[int, int]:
+    """Positions of opening quotes and brackets with those of their closing marks; a stray mark has none.
+
+    One pass: a closing mark takes the last open one of its kind, and what was opened after that is stray.
+    """
+    found: dict[int, int] = {}
+    stack: list[tuple[int, str]] = []
+    waiting: Counter = Counter()
+    for m in _MARKS.finditer(s, start, stop):
+        i, c = m.start(), m[0]
+        if waiting[c]:
+            while True:
+                at, closers = stack.pop()
+                waiting.subtract(closers)
+                if c in closers:
+                    found[at] = i
+                    break
+        elif c in _PAIRS or c == '"':
+            stack.append((i, _PAIRS.get(c, c)))
+            waiting.update(stack[-1][1])
+    return found
+
+
 def evidence(text: str) -> Counter:
     """Counts of one text: ``("a", word)`` before a period that ends no sentence, ``("p", word)`` before any period,
-    ``("e", word)`` before a period at the end of a text or line, ``("n", word)`` before a period and a digit,
+    ``("u", word)`` before one outside quotes and brackets, ``("e", word)`` before such a one at the end of a text or
+    before an empty line or a list (a line break in running text ends nothing), ``("n", word)`` before a period and a digit,
     ``("o", word)`` where a short word would be a whole sentence, ``("s", word)`` first word after a sure end, ``("i", word)`` capitalised inside a sentence."""
     s, _ = _visible(text)
     out: Counter = Counter()
+    pairs, inner = sorted(_pairs(s, 0, len(s)).items(), reverse=True), -1
     for m in _PERIOD.finditer(s):
+        while pairs and pairs[-1][0] < m.start():
+            inner = max(inner, pairs.pop()[1])
         word, kind, _ = _context(s, m.start())
         if word and (any(c.isalpha() for c in word) or _ORDINAL.fullmatch(word)):
             k = _key(word)
@@ -127,8 +159,10 @@ def evidence(text: str) -> Counter:
             if k == _NUMBER and lead[-1:] in ("", "\n"):
                 continue  # the mark of a list
             out["p", k] += 1
-            if kind == "end" or s[m.end() : m.end() + 1] == "\n":
-                out["e", k] += 1
+            if m.start() > inner:
+                out["u", k] += 1
+                if kind == "end" or _PARAGRAPH.match(s, m.end()):
+                    out["e", k] += 1
             if kind == "cont":
                 out["a", k] += 1
             elif kind == "start" and len(word) <= 5 and word[0].isupper() and (not lead or lead[-1] in "!?…\n"):
@@ -159,11 +193,24 @@ def _count_words(column: str):
 def corpus_evidence(texts: DataFrame, column: str = "text") -> dict[tuple[str, str], int]:
     """Counts of the whole corpus for the words that are frequent enough to be told apart from chance."""
     counts = texts.where(F.col(column).isNotNull()).select(column).mapInArrow(_count_words(column), "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    words = counts.groupBy("word").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in "anpsieo"))
-    sums = words.agg(F.sum("p"), F.sum("s")).first()
+    words = counts.groupBy("word").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in _KINDS))
+    ordinary = (F.length("word") > 1) & (F.col("a") + F.col("n") < 0.3 * F.col("p"))
+    sums = words.agg(F.sum("p"), F.sum("s"), *(F.sum(F.when(ordinary, F.col(k))) for k in "ue")).first()
     least_p, least_s = max(MIN_COUNT, MIN_SHARE * (sums[0] or 0)), max(MIN_COUNT, MIN_SHARE * (sums[1] or 0))
     kept = words.where((F.col("p") >= least_p) | (F.col("s") >= least_s)).collect()
-    return {(k, r["word"]): r[k] for r in kept for k in "anpsieo" if r[k]}
+    total = {("u", ""): sums[2], ("e", ""): sums[3]} if sums[3] else {}  # of ordinary words
+    return {(k, r["word"]): r[k] for r in kept for k in _KINDS if r[k]} | total
+
+
+def _seldom_last(k: str, corpus: dict) -> bool:
+    """Whether texts end with the word far less often than with ordinary words, beyond chance."""
+    u, e = corpus.get(("u", k), 0), corpus.get(("e", k), 0)
+    all_u, all_e = corpus.get(("u", ""), 0), corpus.get(("e", ""), 0)
+    if not u or not all_u:
+        return False
+    z, rate = DEVIATIONS, e / u
+    upper = (rate + z * z / (2 * u) + z * (rate * (1 - rate) / u + z * z / (4 * u * u)) ** 0.5) / (1 + z * z / u)
+    return upper <= SELDOM_LAST * all_e / all_u
 
 
 def _is_abbreviation(word: str, kind: str, here: Counter, corpus: dict) -> bool:
@@ -175,9 +222,9 @@ def _is_abbreviation(word: str, kind: str, here: Counter, corpus: dict) -> bool:
     k = _key(word)
     if here["a", k]:
         return True
-    a, n, p, e, o = (corpus.get((c, k), 0) for c in "anpeo")
+    a, n, p, o = (corpus.get((c, k), 0) for c in "anpo")
     a += o
-    return p >= MIN_COUNT and (a >= 0.3 * p and a >= 2 or a + n >= 0.85 * p) or p >= NEVER_LAST and not e
+    return p >= MIN_COUNT and (a >= 0.3 * p and a >= 2 or a + n >= 0.85 * p) or _seldom_last(k, corpus)
 
 
 def _starts_sentence(nxt: str, here: Counter, corpus: dict) -> bool:
@@ -191,8 +238,8 @@ def _starts_sentence(nxt: str, here: Counter, corpus: dict) -> bool:
 def _closes_with(word: str, here: Counter, corpus: dict) -> bool:
     """Whether an abbreviation also ends sentences (as Inc. does): not one that needs what follows."""
     k = _key(word)
-    p, e = corpus.get(("p", k), 0), corpus.get(("e", k), 0)
-    return not p or e >= 0.02 * p
+    u, e = corpus.get(("u", k), 0), corpus.get(("e", k), 0)
+    return not u or e >= 0.02 * u
 
 
 def _ends_at(s: str, at: int, here: Counter, corpus: dict) -> bool:

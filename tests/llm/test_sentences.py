@@ -57,3 +57,23 @@ def test_tables(spark):
     assert got == [("a", "description", 0, 4), ("a", "description", 0, 4), ("a", "description", 5, 9), ("a", "description", 5, 9), ("a", "verbatim_span", 1, 6)]
     empty = spark.createDataFrame([], schema)
     assert record_sentences(empty).count() == 0 and corpus_evidence(empty, "description") == {}
+
+
+PARTS = ["Kabel", "Lager", "Harze", "Pumpen", "Rotoren"]
+
+
+def test_rate_of_ends_is_the_same_at_any_size(spark):
+    names = [f"Kal{k}" for k in "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrstuvwxyz"]
+    pairs = [(f"Es fehlen {PARTS[i % 5]} bzw. {PARTS[i % 4]} bei {n} wochenlang.", f"Die Reserve von {n} deckt das nicht.") for i, n in enumerate(names)]
+    pairs += [(f"Der Bericht von {n} nennt “Lager sind leer. Fristen sind lang.” zum Anlass.", "Er ging danach.") for n in names]
+    texts = [" ".join(p[:: (-1) ** (i // 3)]) for i, p in enumerate(pairs)]
+    texts.append("Es fehlen Gussteile bzw.\nKabel bei Nok wochenlang. Die Reserve deckt das nicht.")
+    texts.append("Die Lager sind leer. Kalnix ging.")
+    for copies in (1, 10):
+        rows = [(f"{i}-{c}", t, None) for c in range(copies) for i, t in enumerate(texts)]
+        got: dict = {}
+        for r in record_sentences(spark.createDataFrame(rows, "id string, description string, verbatim_span string")).collect():
+            got.setdefault(r[0], []).append(r)
+        for i, t in enumerate(texts):
+            for c in range(copies):
+                assert len(got[f"{i}-{c}"]) == 2, (copies, t)
