@@ -11,8 +11,9 @@ Units run from the first to the last non-blank character, closing quotes and bra
 sentence does not end it; a sentence that ends with its quotation ends there. A list item is one unit with its mark;
 a line break ends a complete item and the line before a list, and nothing else.
 
-The corpus table keeps words with at least ``MIN_COUNT`` occurrences that make up at least ``MIN_SHARE`` of all
-periods counted, so it has at most 2 / MIN_SHARE rows whatever the size of the corpus, and is broadcast.
+Every word with at least ``MIN_COUNT`` occurrences counts, whatever the size of the corpus. Those that make up at least
+``MIN_SHARE`` of all periods counted, at most 2 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to
+the words of the texts.
 
 Defined results: null, empty and blank texts have no sentences; zero-width characters belong to the text around them
 and are never a first or last character; extra columns are ignored; texts of any length are read whole.
@@ -20,7 +21,7 @@ and are never a first or last character; extra columns are ignored; texts of any
 
 import re
 import unicodedata
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.visual import LOOK_ALIKES
+from citeloom.plans.staging import staged
 
 MIN_COUNT, MIN_SHARE = 3, 2e-5
 #: A word takes the period as part of itself where its rate of texts' ends, at the upper bound of the confidence that so
@@ -191,15 +193,22 @@ def _count_words(column: str):
 
 
 def corpus_evidence(texts: DataFrame, column: str = "text") -> dict[tuple[str, str], int]:
-    """Counts of the whole corpus for the words that are frequent enough to be told apart from chance."""
+    """Counts of the whole corpus for its frequent words."""
+    return _corpus(texts, column)[0]
+
+
+def _corpus(texts: DataFrame, column: str = "text") -> tuple[dict[tuple[str, str], int], DataFrame | None]:
+    """The counts of ``corpus_evidence``, and a table of those of the rarer words where there are any."""
     counts = texts.where(F.col(column).isNotNull()).select(column).mapInArrow(_count_words(column), "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    words = counts.groupBy("word").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in _KINDS))
+    words = staged(counts.groupBy("word").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in _KINDS)), "words")
     ordinary = (F.length("word") > 1) & (F.col("a") + F.col("n") < 0.3 * F.col("p"))
     sums = words.agg(F.sum("p"), F.sum("s"), *(F.sum(F.when(ordinary, F.col(k))) for k in "ue")).first()
     least_p, least_s = max(MIN_COUNT, MIN_SHARE * (sums[0] or 0)), max(MIN_COUNT, MIN_SHARE * (sums[1] or 0))
-    kept = words.where((F.col("p") >= least_p) | (F.col("s") >= least_s)).collect()
+    frequent = (F.col("p") >= least_p) | (F.col("s") >= least_s)
+    kept = words.where(frequent).collect()
+    rare = words.where(~frequent & ((F.col("p") >= MIN_COUNT) | (F.col("s") >= MIN_COUNT))) if max(least_p, least_s) > MIN_COUNT else None
     total = {("u", ""): sums[2], ("e", ""): sums[3]} if sums[3] else {}  # of ordinary words
-    return {(k, r["word"]): r[k] for r in kept for k in _KINDS if r[k]} | total
+    return {(k, r["word"]): r[k] for r in kept for k in _KINDS if r[k]} | total, rare
 
 
 def _seldom_last(k: str, corpus: dict) -> bool:
@@ -439,20 +448,43 @@ def _item_over(s: str, end: int, begin: int, here: Counter, corpus: dict) -> boo
     return bool(word and word[1][0].isupper() and _starts_sentence(word[1], here, corpus))
 
 
-def split_columns(df: DataFrame, id_column: str, columns: list[str], corpus: dict) -> DataFrame:
+def _asked(text: str) -> set[str]:
+    """The forms of all words that ``sentences`` may look up for ``text``."""
+    s, _ = _visible(text.replace("\r", " "))
+    before = {_word_before(s, m.start()) for m in re.finditer(r"[.．]", s)}
+    return {_key(w) for w in before | {w for w in re.findall(r"[^\W\d_][\w’'-]*", s) if not w[0].islower()} if w}
+
+
+def _with_rare(long: DataFrame, rare: DataFrame) -> DataFrame:
+    """``long`` with the counts of the rare words of each text in ``rare``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(k, w) for k, t in zip(batch.column("__key").to_pylist(), batch.column("text").to_pylist()) for w in _asked(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([w for _, w in found], pa.string())], names=["__key", "word"])
+
+    keyed = long.withColumn("__key", F.sha2("text", 256))
+    words = keyed.groupBy("__key").agg(F.first("text").alias("text")).mapInArrow(run, "__key string, word string")
+    counts = words.join(rare, "word").groupBy("__key").agg(F.collect_list(F.struct("word", *_KINDS)).alias("rare"))
+    return keyed.join(counts, "__key", "left").drop("__key")
+
+
+def split_columns(df: DataFrame, id_column: str, columns: list[str], corpus: dict, rare: DataFrame | None = None) -> DataFrame:
     """(id, field, start_pos, end_pos) of every sentence of the text columns."""
     long = None
     for c in columns:
         one = df.select(F.col(id_column).alias("__id"), F.lit(c).alias("field"), F.col(c).alias("text")).where(F.col(c).isNotNull())
         long = one if long is None else long.unionByName(one)
+    long = long.withColumn("rare", F.lit(None)) if rare is None else _with_rare(long, rare)
     shared = df.sparkSession.sparkContext.broadcast(corpus)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             rows, starts, ends = [], [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                for a, b in sentences(text, known):
+            for row, (text, own) in enumerate(zip(batch.column("text").to_pylist(), batch.column("rare").to_pylist())):
+                extra = {(k, r["word"]): r[k] for r in own or () for k in _KINDS if r[k]}
+                for a, b in sentences(text, ChainMap(extra, known) if extra else known):
                     rows.append(row), starts.append(a), ends.append(b)
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("__id").take(take), batch.column("field").take(take), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[id_column, "field", "start_pos", "end_pos"])
@@ -464,5 +496,5 @@ def split_columns(df: DataFrame, id_column: str, columns: list[str], corpus: dic
 def record_sentences(instances: DataFrame) -> DataFrame:
     """Sentences of ``description`` and ``verbatim_span`` of every record."""
     texts = instances.select(F.col("description").alias("text")).unionByName(instances.select(F.col("verbatim_span").alias("text")))
-    corpus = corpus_evidence(texts)
-    return split_columns(instances.withColumnRenamed("id", "risk_instance_id"), "risk_instance_id", ["description", "verbatim_span"], corpus)
+    corpus, rare = _corpus(texts)
+    return split_columns(instances.withColumnRenamed("id", "risk_instance_id"), "risk_instance_id", ["description", "verbatim_span"], corpus, rare)

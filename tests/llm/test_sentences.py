@@ -1,5 +1,6 @@
 import pytest
 
+from citeloom.llm import sentences as module
 from citeloom.llm.sentences import corpus_evidence, evidence, record_sentences, sentences
 
 CORPUS: dict = {}
@@ -77,3 +78,15 @@ def test_rate_of_ends_is_the_same_at_any_size(spark):
         for i, t in enumerate(texts):
             for c in range(copies):
                 assert len(got[f"{i}-{c}"]) == 2, (copies, t)
+
+
+def test_rare_words_count_in_a_large_corpus(spark, monkeypatch):
+    texts = ["We met Abt. " + n + " and left. Weather losses rose." for n in ("Kal", "Bom", "Nok")] + ["See the Abt. of tests. It is open."] * 4
+    texts += ["Stop! Weather is bad! Where is Prof. Kal.Where is it? “Stop.” Then we left. \n- one\nWhere now", "Costs rose. Prices fell."] * 30
+    df = spark.createDataFrame([(str(i), t, None) for i, t in enumerate(texts)], "id string, description string, verbatim_span string")
+    got = {}
+    for share in (0.0, 2e-5, 0.06, 9.0):
+        monkeypatch.setattr(module, "MIN_SHARE", share)  # as on ever larger data
+        got[share] = sorted(map(tuple, record_sentences(df).collect()))
+    assert len([r for r in got[0.0] if r[0] == "0"]) == 2
+    assert got[0.0] == got[2e-5] == got[0.06] == got[9.0]
