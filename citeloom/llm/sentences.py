@@ -353,10 +353,10 @@ def sentences(text: str, corpus: dict | None = None) -> list[tuple[int, int]]:
         if item:
             add(start, stop)
             continue
-        begin, i, stack = start, start, []
+        begin, i, stack, pairs = start, start, [], _pairs(s, start, stop)
         while i < stop:
             c = s[i]
-            if stack and c in stack[-1]:
+            if stack and i == stack[-1]:
                 stack.pop()
                 # A sentence that ends with its quotation: ended inside, and nothing of it goes on after the close.
                 if not stack and s[i - 1] in _ENDS and _after_quote(s, i, stop, here, corpus):
@@ -364,13 +364,8 @@ def sentences(text: str, corpus: dict | None = None) -> list[tuple[int, int]]:
                     add(begin, i)
                     begin = i
                     continue
-            elif c in _PAIRS and not (c == "“" and stack and "“" in stack[-1]) and _closed(s, i, stop, _PAIRS[c]):
-                stack.append(_PAIRS[c])
-            elif c == '"':
-                if stack and stack[-1] == '"':
-                    stack.pop()
-                elif _closed(s, i, stop, '"'):
-                    stack.append('"')
+            elif i in pairs:
+                stack.append(pairs[i])
             elif c in _ENDS and not stack:
                 j = i
                 while j + 1 < stop and s[j + 1] in _ENDS:
@@ -396,11 +391,6 @@ def sentences(text: str, corpus: dict | None = None) -> list[tuple[int, int]]:
     return out
 
 
-def _closed(s: str, i: int, stop: int, closers: str) -> bool:
-    """Whether a quote opened at ``i`` is closed nearby; a stray mark opens nothing."""
-    return any(-1 < s.find(c, i + 1, min(stop, i + 600)) for c in closers)
-
-
 def _swallow(s: str, i: int, stop: int) -> int:
     """The end of the closing marks at ``i``."""
     while i < stop and s[i] in "”»」』》〉）)]}】〕｣’\"'":

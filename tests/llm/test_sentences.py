@@ -90,3 +90,14 @@ def test_rare_words_count_in_a_large_corpus(spark, monkeypatch):
         got[share] = sorted(map(tuple, record_sentences(df).collect()))
     assert len([r for r in got[0.0] if r[0] == "0"]) == 2
     assert got[0.0] == got[2e-5] == got[0.06] == got[9.0]
+
+
+@pytest.mark.parametrize("marks", ["“”", "„“", "«»", "「」", "()", '""'])
+def test_long_quotations_and_stray_marks(marks):
+    quoted = marks[0] + "Stocks are low. Lead times are long. " * 60 + "So it is." + marks[1]
+    text = f"The auditor wrote {quoted} about it. He left."
+    assert [text[a:b] for a, b in sentences(text)] == [text[:-9], "He left."]
+    stray = f"The auditor wrote {marks[0]} about it. " + "Stocks are low. " * 60
+    assert len(sentences(stray, CORPUS)) == 61
+    if marks[0] != marks[1]:
+        assert len(sentences(stray + f"He wrote {marks[0]}One. Two.{marks[1]} to us.", CORPUS)) == 62
