@@ -14,6 +14,7 @@ from citeloom.operators.warehouse import categories, risk_status
 CATEGORIES = ("financial", "operational", "regulatory", "market", "climate", "cyber", "supply_chain")
 REGISTERS = ("erm_main_risk", "esrs_financial_risk")
 STATUSES = ("new", "elevated", "continuing", "removed")
+MOST_SECTORS = 100
 # Fixed values of the sector cascade.
 STEM_LEAST, SECTOR_RATIO = 5, 0.8
 
@@ -168,8 +169,13 @@ def question(t: Tables, name: str, **params) -> DataFrame:
 
 
 def question_for_sectors(t: Tables, name: str, sector: str, **params) -> DataFrame:
-    """A named question for every stored sector that the wanted one stands for, each row once; unknown sectors give none."""
-    stored = [r["sector"] for r in sector_matches(t.company, sector).orderBy("sector").limit(100).collect()]
+    """A named question for every stored sector that the wanted one stands for, each row once; unknown sectors give none.
+
+    One plan holds a part for each sector; more than ``MOST_SECTORS`` of them are an error.
+    """
+    stored = [r["sector"] for r in sector_matches(t.company, sector).orderBy("sector").limit(MOST_SECTORS + 1).collect()]
+    if len(stored) > MOST_SECTORS:
+        raise ValueError(f"{sector!r} stands for more than {MOST_SECTORS} stored sectors")
     runs = [question(t, name, sector=s, **params) for s in stored]
     if not runs:
         return question(t, name, sector=sector, **params).where(F.lit(False))

@@ -552,8 +552,8 @@ def count_drift(spark, d):
 SELECT g.report_id, g.section, CAST(count(ri.id) AS BIGINT) AS n FROM g LEFT JOIN risk_instance ri ON ri.report_id = g.report_id AND ri.section = g.section GROUP BY ALL""")
 def blocks_per_section(spark, d):
     ri = read_table(spark, d, "risk_instance")
-    sections = [r[0] for r in ri.select("section").where("section IS NOT NULL").distinct().limit(1000).collect()]
-    groups = read_table(spark, d, "report").select(F.col("id").alias("report_id"), F.explode(F.array(*[F.lit(s) for s in sorted(sections)])).alias("section"))
+    sections = ri.select("section").where("section IS NOT NULL").distinct()
+    groups = read_table(spark, d, "report").select(F.col("id").alias("report_id")).crossJoin(sections)
     return RL.zero_filled(groups, ri, ["report_id", "section"])
 
 

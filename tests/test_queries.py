@@ -44,3 +44,11 @@ def test_entry_points():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
+
+
+def test_grid_holds_every_section(spark, tmp_path):
+    rows = [(f"i{n}", "a", f"section {n}") for n in range(1200)]
+    spark.createDataFrame(rows, "id string, report_id string, section string").write.parquet(f"{tmp_path}/risk_instance.parquet")
+    spark.createDataFrame([("a",), ("b",)], "id string").write.parquet(f"{tmp_path}/report.parquet")
+    got = QUERIES["blocks_per_section"](spark, str(tmp_path))
+    assert got.count() == 2400 and got.where("n = 1").count() == 1200

@@ -64,6 +64,12 @@ def test_sector_cascade(tables):
     assert got("shipping") == [] and got("") == []
 
 
+def test_too_many_sectors_are_an_error(tables, monkeypatch):
+    monkeypatch.setattr(V, "MOST_SECTORS", 0)
+    with pytest.raises(ValueError):
+        V.question_for_sectors(tables, "companies_with_category", "utilities", category="market")
+
+
 def test_questions_and_citations(tables):
     assert V.question(tables, "newly_elevated_risks", company="a").count() == 2
     assert V.question(tables, "top_enterprise_risks", company="beta").count() == 1
