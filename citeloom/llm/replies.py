@@ -7,8 +7,9 @@ The field is trained here, on clauses whose tags are known by construction: repl
 (``TRAINING_CALLS``, by the hash of their ids) as answers, and the same replies after cutting them off, putting in
 clauses of the prompt or of a reply in another language, or sentences that decline. Its features are overlap with the
 prompt, language against the language asked for, cues of declining in the first person, and how often a clause of this
-shape ends where it does, by counts over the whole table. The counts keep shapes with at least ``MIN_SHARE`` of all,
-so they have at most 1 / MIN_SHARE rows each.
+shape ends where it does, by counts over the whole table. Every shape seen twice counts, at any size: those with at
+least ``MIN_SHARE`` of all, at most 1 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to the final
+clauses.
 
 Defined results: a call recorded several times is judged once, by its last row in time order (its reply does not
 differ); a null, blank, ``{}``, ``null`` or punctuation-only reply is ``empty``, as is a reply without description;
@@ -19,7 +20,7 @@ import json
 import math
 import re
 import unicodedata
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -374,8 +375,17 @@ def judged_calls(calls: DataFrame) -> DataFrame:
     )
 
 
-def corpus_counts(judged: DataFrame) -> dict[tuple[str, str], int]:
-    """The counts of ``evidence`` over all replies and printed texts, without shapes too rare to count."""
+class _Asked(dict):
+    """Counts of nothing that keep the shapes they were asked for."""
+
+    def get(self, key, default=None):
+        self[key] = default
+        return default
+
+
+def corpus_counts(judged: DataFrame) -> tuple[dict[tuple[str, str], int], DataFrame | None]:
+    """The counts of ``evidence`` over all replies and printed texts: of frequent shapes, and a table of the rarer ones
+    where there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,14 +399,38 @@ def corpus_counts(judged: DataFrame) -> dict[tuple[str, str], int]:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total]), pa.array([w for _, w in total]), pa.array(total.values(), pa.int64())], names=["kind", "word", "n"])
 
     counts = judged.select("kind", "user", "response_content").mapInArrow(run, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    least = MIN_SHARE * (counts.agg(F.sum("n")).first()[0] or 0)
-    return {(r[0], r[1]): r[2] for r in counts.where(F.col("n") >= max(2.0, least)).collect()}
+    counts = staged(counts.where("n >= 2"), "shapes") if MIN_SHARE * (total := counts.agg(F.sum("n")).first()[0] or 0) > 2 else counts
+    least = max(2.0, MIN_SHARE * total)
+    rare = counts.where((F.col("n") >= 2) & (F.col("n") < least)) if least > 2 else None
+    return {(r[0], r[1]): r[2] for r in counts.where(F.col("n") >= least).collect()}, rare
+
+
+def _with_rare(judged: DataFrame, rare: DataFrame) -> DataFrame:
+    """``judged`` with the counts of the rare shapes that its final clauses ask for in ``rare``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for call, kind, reply in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "response_content"))):
+                asked = _Asked()
+                features(clauses(unwrap(reply, kind)[0] or "")[-1:], "", None, asked)
+                found += [(call, k, w) for k, w in asked]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.string()) for i in range(3)], names=["call_id", "kind", "word"])
+
+    asked = judged.select("call_id", "kind", "response_content").mapInArrow(run, "call_id string, kind string, word string")
+    counts = asked.join(rare, ["kind", "word"]).groupBy("call_id").agg(F.collect_list(F.struct("kind", "word", "n")).alias("rare"))
+    return judged.join(counts, "call_id", "left")
 
 
-def train(judged: DataFrame, counts: dict, bound: int = TRAINING_CALLS) -> ChainField | None:
+def train(judged: DataFrame, counts: dict, bound: int = TRAINING_CALLS, rare: DataFrame | None = None) -> ChainField | None:
     """The field, fitted on at most ``bound`` calls; None where they hold no clean answer."""
     rows = judged.where("kind <> 'intent' AND response_content IS NOT NULL").orderBy(F.xxhash64("call_id"), "call_id").limit(bound).select("kind", "user", "response_content").collect()
     pairs = [(r["user"], text) for r in rows for text, broken in [unwrap(r["response_content"], r["kind"])] if text and not broken]
+    if rare is not None:
+        training_data(pairs, asked := _Asked())
+        if asked:
+            own = judged.sparkSession.createDataFrame(sorted(asked), "kind string, word string")
+            counts = ChainMap({(r["kind"], r["word"]): r["n"] for r in own.join(rare, ["kind", "word"]).collect()}, counts)
     data = training_data(pairs, counts)
     return ChainField.fit(data, len(TAGS)) if data else None
 
@@ -404,15 +438,17 @@ def train(judged: DataFrame, counts: dict, bound: int = TRAINING_CALLS) -> Chain
 def defects(calls: DataFrame) -> DataFrame:
     """(call_id, defect) of the calls whose reply is no proper answer."""
     judged = staged(judged_calls(calls), "calls")
-    counts = corpus_counts(judged)
-    shared = calls.sparkSession.sparkContext.broadcast((train(judged, counts), counts))
+    counts, rare = corpus_counts(judged)
+    shared = calls.sparkSession.sparkContext.broadcast((train(judged, counts, rare=rare), counts))
+    judged = judged.withColumn("rare", F.lit(None).cast("array<struct<kind:string,word:string,n:bigint>>")) if rare is None else _with_rare(judged, rare)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, known = shared.value
         for batch in batches:
             ids, found = [], []
-            for call, kind, user, reply in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "user", "response_content"))):
-                if d := defect(kind, user, reply, field, known):
+            for call, kind, user, reply, own in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "user", "response_content", "rare"))):
+                extra = {(r["kind"], r["word"]): r["n"] for r in own or ()}
+                if d := defect(kind, user, reply, field, ChainMap(extra, known) if extra else known):
                     ids.append(call), found.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(found, pa.string())], names=["call_id", "defect"])
 

@@ -3,6 +3,7 @@ import json
 import numpy as np
 import pytest
 
+from citeloom.llm import replies as module
 from citeloom.llm.replies import ChainField, clauses, defects, language, unwrap, wanted_language
 
 SCHEMA = "call_id string, messages array<struct<role:string,content:string>>, response_content string, created_at timestamp, kind string"
@@ -82,3 +83,16 @@ def test_chain_field_learns_emissions_and_moves():
     field = ChainField.fit(data[:200], 2)
     right = np.mean([np.mean(np.array(field.tag(x)) == y) for x, y in data[200:]])
     assert right > 0.85  # above the 0.75 of the emissions alone
+
+
+def test_rare_shapes_count_in_a_large_table(spark, data, monkeypatch):
+    calls = spark.read.parquet(f"{data}/calls.parquet")
+    judged = module.judged_calls(calls)
+    fields, found = [], []
+    for share in (0.0, 1e-3, 9.0):
+        monkeypatch.setattr(module, "MIN_SHARE", share)  # as on ever larger data
+        counts, rare = module.corpus_counts(judged)
+        fields.append(module.train(judged, counts, rare=rare))
+        found.append(sorted(map(tuple, module.defects(calls).collect())))
+    assert found[0] == found[1] == found[2] and found[0]
+    assert all((f.emit == fields[0].emit).all() and (f.move == fields[0].move).all() for f in fields)
