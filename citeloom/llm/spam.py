@@ -1,19 +1,22 @@
 """Problem 8: keyword-stuffed and link-list pages.
 
-Method: the suffix automaton of a page's words gives, for each word, the longest repeated substring that ends there;
-together they mark the characters covered by repeated maximal substrings. Lines without clause structure count as spam
-where that coverage, links or prices fill them; a page is spam if such lines hold more than half of its characters.
-
-A line that looks like clauses is judged too: keywords may be dressed with stops. Where the coverage fills it and many
-pairs of near words stand in both orders within sentences (``unordered``), it is stuffed. Prose repeats words as well,
-but in the order of its clauses; a sentence said again is counted once, so repeated prose stays prose.
-
-A line has clause structure if most of it stands in phrases of several words (or of a long run in scripts without
-blanks) between separators and links, and it ends like a sentence or is not made of repetitions. Contents lines,
-numbered references, headings and lists of sentences are no spam lines.
-
-The automaton is built for every page. ``spam_pages`` looks at the order of words only where the covered clause lines
-could make the page spam; ``page_scores`` looks at it everywhere.
+Method: the suffix automaton of a page's tokens gives, for each token, the longest repeated substring that ends there;
+those that weigh at least ``LEAST_WEIGHT`` (two words, a word with its separator, four characters of a script without
+blanks) mark the characters covered by repeated maximal substrings. Links and hash tags, prices and article numbers are one
+symbol each, whatever they spell, so a list of links repeats itself. A line counts as spam where that coverage fills it and it has no clause
+structure; a page is spam if such lines hold more than half of its characters. No line is spam without the coverage.
+
+A line lacks clause structure if most of it does not stand in phrases of several words (or of a long run in scripts
+without blanks) between separators and links, or if it is a long run without any end of a sentence. Marks alone make no
+clause, as keywords may be dressed with stops: a line that looks like clauses lacks their structure where many pairs of
+near words stand in both orders within sentences (``unordered``). Prose repeats words as well, but in the order of its
+clauses; a sentence said again is counted once, so repeated prose stays prose. Contents lines, numbered references,
+headings and lists of sentences are no spam lines.
+
+Only a pair of tokens that stands twice, or a heavy token that does, can be covered, which bounds a line's coverage.
+``spam_pages`` goes on where the lines that pass this bound hold more than half of the page, and builds the automaton
+where those of them that lack clause structure do; elsewhere it cannot change the answer. ``page_scores`` does all of it
+for every page, and a test compares them.
 
 A page is one row; its work grows in proportion to its length, and no page meets another, so nothing is shuffled.
 
@@ -23,15 +26,23 @@ Defined results: null, empty and blank texts are no spam; repeated texts are jud
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_WORD = re.compile(r"[一-鿿぀-ヿ]+|[A-Za-zÀ-ɏ]+|[^\W\d_一-鿿぀-ヿA-Za-zÀ-ɏ]+|\d+")
+_DENSE_CHARS = "一-鿿぀-ヿ"
+_SEPARATORS = r"[,;|/»«•·#>\[\]()（）、，；：:]"
+_PLAIN = rf"[{_DENSE_CHARS}]|[^\W\d_{_DENSE_CHARS}]+|\d+|{_SEPARATORS}"
+_WORD = re.compile(_PLAIN)
 _LINK = re.compile(r"(?:https?://|www\.)\S+|(?<![\w@.])[\w-]+(?:\.[\w-]+)+/\S*|(?<![\w@.])(?:[a-zA-ZÀ-ɏ\d-]{2,}\.)+[a-zA-Z]{3,10}(?![\w.])")
 _PRICE = re.compile(r"(?:[€$£¥₽]\s?\d|\d\s?(?:[€$£¥₽]|EUR\b|USD\b|руб))")
+#: The same tokens, where a line may hold links, hash tags, prices or article numbers: each of those is one.
+_SYMBOL = re.compile(rf"{_LINK.pattern}|#\w+|[€$£¥₽]\s?\d[\d.,]*|\d[\d.,]*\s?(?:[€$£¥₽]|EUR\b|USD\b|руб)|\b[A-Za-z]{{1,3}}\d+\b|{_PLAIN}")
+_DOTTED = re.compile(r"\.[a-zA-Z]{3}")
+_PRICED, _CODE = re.compile(r"\d.*[€$£¥₽DRб]|[€$£¥₽].*\d"), re.compile(r"[A-Za-z]+\d+")
 _SPLIT = re.compile(r"[,;|/»«•·#>\[\]()（）、，；：:]+|\s[–—-]\s|\s->\s|[.!?。！？।؟…]+(?:\s|$|(?=[^\d\s]))")
 _ENDS = re.compile(r"[.!?…。！？।॥؟｡](?:[\s”»」』)\]\"’“]|$)")
 _CONTENTS = re.compile(r"(?:\.\s?){4,}\s*\d+\s*$|^\s*\d+(?:\.\d+)*\.?\s+\S.*\s\d{1,4}\s*$")
@@ -45,11 +56,17 @@ CLAUSE_WORDS, CLAUSE_DENSE = 6, 12
 #: Words from which a line without any end of a sentence may be a run of keywords, hash tags that make a tag line, and
 #: arrows that make a menu.
 RUN_WORDS, HASH_TAGS, MENU_MARKS = 20, 8, 5
-#: Covered share of a line from which it is made of repetitions, and of a page's characters from which it is spam.
-REPEATED, SPAM = 0.5, 0.5
+#: Weight from which a repeated substring covers: a word counts 2 (from ``LONG_WORD`` letters on 4), a separator 2, a
+#: character of a script without blanks 1, a link, a hash tag or a price 4.
+LEAST_WEIGHT, LONG_WORD = 4, 12
+#: Covered share of a line from which it is made of repetitions, the same of a line of links or prices, which has the
+#: least clause structure, and share of a page's characters from which it is spam.
+REPEATED, LISTED, SPAM = 0.5, 0.35, 0.5
 #: Words of a unit whose order is looked at, distance up to which two words are a pair, share of the rarer order from
 #: which a pair has no fixed order, and share of such pairs from which a line is stuffed.
 UNIT_WORDS, NEAR, EITHER, UNORDERED = 6, 8, 0.2, 0.34
+#: Characters of the pages whose tokens are counted at once.
+BATCH_CHARS = 1_000_000
 
 
 def repeated_lengths(words: list) -> list[int]:
@@ -120,19 +137,46 @@ def repeated_lengths(words: list) -> list[int]:
     return [longest[s] for s in prefix]
 
 
-def _repeated(words: list[str]) -> list[bool]:
-    """Whether each word is covered by a repeated maximal substring."""
-    if not words:
-        return []
-    at = np.arange(len(words))
-    first = np.minimum.accumulate((at - np.array(repeated_lengths(list(map(str.casefold, words)))) + 1)[::-1])[::-1]
-    return (first <= at).tolist()
+def _weight(token: str) -> int:
+    """What a token weighs in a repeated substring."""
+    if len(token) == 1:
+        return 1 if _HAN.match(token) else 2
+    return 4 if len(token) >= LONG_WORD or token[0] == "\0" else 2
+
+
+def _symbol(token: str) -> str:
+    """The form in which a token is compared: case folded; links and hash tags, prices, article numbers as one symbol each."""
+    if token.isalpha() or token.isdigit() or len(token) == 1:
+        return token.casefold()
+    return "\0price" if _PRICED.fullmatch(token) else "\0code" if _CODE.fullmatch(token) else "\0link"
+
+
+def _tokens(line: str, symbols: bool) -> tuple[list[str], list[int]]:
+    """The tokens of a line in the form in which they are compared, and their sizes."""
+    found = _SYMBOL.findall(line) if symbols else _WORD.findall(line.casefold())
+    return [_symbol(t) for t in found] if symbols else found, list(map(len, found))
+
+
+def _codes(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each token's form, and the weight of each form."""
+    found = pa.array(tokens, pa.large_string()).dictionary_encode()
+    weight = np.fromiter(map(_weight, found.dictionary.to_pylist()), np.int64, len(found.dictionary))
+    return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), weight
+
+
+def _covered(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Whether each token is covered by a repeated maximal substring of enough weight."""
+    at = np.arange(len(codes))
+    first = at - np.array(repeated_lengths(codes.tolist()), np.int64) + 1
+    total = np.concatenate(([0], np.cumsum(weight[codes])))
+    first = np.where(total[1:] - total[first] >= LEAST_WEIGHT, first, at + 1)
+    return np.minimum.accumulate(first[::-1])[::-1] <= at
 
 
 def covered(text: str) -> list[tuple[int, int]]:
-    """Stretches of ``text`` covered by repeated maximal substrings, in whole words."""
-    found = list(_WORD.finditer(text))
-    return [m.span() for m, inside in zip(found, _repeated([m[0] for m in found])) if inside]
+    """Stretches of ``text`` covered by repeated maximal substrings, in whole tokens."""
+    found = list(_SYMBOL.finditer(text))
+    return [m.span() for m, inside in zip(found, _covered(*_codes([_symbol(m[0]) for m in found]))) if inside]
 
 
 def _units(line: str) -> Iterator[tuple[str, ...]]:
@@ -192,13 +236,13 @@ def line_kinds(text: str) -> list[tuple[int, int, str]]:
 def _kind(line: str, size: int) -> str:
     words, ends = line.count(" ") + 1, len(_ENDS.findall(line))
     sentences = ends * 25 >= words
-    linked = "://" in line or "www." in line or "/" in line or "." in line.rstrip(" .") and _LINK.search(line) is not None
+    linked = "://" in line or "www." in line or "/" in line or _DOTTED.search(line) is not None and _LINK.search(line) is not None
     if sentences and ends and not linked and "#" not in line:
         return "clause"
     links = _LINK.findall(line) if linked else []
     joined = sum(map(len, links))
     plain = _LINK.sub(" ; ", line) if links else line
-    if _CONTENTS.search(line):
+    if line.rstrip()[-1:].isdigit() and _CONTENTS.search(line):
         return "list"
     phrases = [p for p in _SPLIT.split(plain) if p.strip()]
     if _REFERENCE.match(plain) and len(phrases) < 8 and not _PRICE.search(line):
@@ -213,32 +257,101 @@ def _kind(line: str, size: int) -> str:
     return "items" if len(phrases) >= 4 else "clause" if ends else "short"
 
 
+class _Page(NamedTuple):
+    """A page cut into lines and tokens."""
+
+    text: str
+    cuts: list[int]
+    visible: list[int]
+    kinds: list[str]
+    counts: list[int]
+    tokens: list[str]
+    sizes: list[int]
+
+
+def _page(text: str) -> _Page:
+    lines = line_kinds(text)
+    cuts = [*(start for start, _, _ in lines), len(text)]
+    tokens: list[str] = []
+    sizes: list[int] = []
+    counts = []
+    for a, b, (_, _, kind) in zip(cuts, cuts[1:], lines):
+        forms, lengths = _tokens(text[a:b], kind != "clause")
+        tokens += forms
+        sizes += lengths
+        counts.append(len(forms))
+    return _Page(text, cuts, [n for _, n, _ in lines], [k for _, _, k in lines], counts, tokens, sizes)
+
+
+def _by_line(values: np.ndarray, counts: list[int]) -> np.ndarray:
+    """Sums of token values by line."""
+    return np.diff(np.concatenate(([0], np.cumsum(values)))[np.cumsum([0, *counts])])
+
+
+def _wanted(kinds: list[str], sizes: np.ndarray, counts: list[int]) -> np.ndarray:
+    """Covered characters from which each line is made of repetitions."""
+    return np.array([np.inf if k == "list" else LISTED if k in ("link", "price") else REPEATED for k in kinds]) * np.maximum(1, _by_line(sizes, counts))
+
+
+def _may_be_spam(pages: list[_Page]) -> np.ndarray:
+    """Whether the lines of each page that a bound of the coverage lets pass hold more than half of it.
+
+    A repeated substring of enough weight holds a pair of tokens that stands twice in the page, or a heavy token that
+    does: all other tokens are not covered. All pages of a batch are counted at once.
+    """
+    codes, weight = _codes(list(chain.from_iterable(p.tokens for p in pages)))
+    of, forms = np.repeat(np.arange(len(pages)), [len(p.tokens) for p in pages]), max(1, len(weight))
+    _, at, n = np.unique(of * forms + codes, return_inverse=True, return_counts=True)
+    out = (n[at] > 1) & (weight[codes] >= LEAST_WEIGHT)
+    _, at, n = np.unique((of[:-1] * forms + codes[:-1]) * forms + codes[1:], return_inverse=True, return_counts=True)
+    pair = (n[at] > 1) & (of[:-1] == of[1:])
+    out[:-1] |= pair
+    out[1:] |= pair
+    counts, kinds = list(chain.from_iterable(p.counts for p in pages)), list(chain.from_iterable(p.kinds for p in pages))
+    sizes, visible = np.fromiter(chain.from_iterable(p.sizes for p in pages), np.int64), np.fromiter(chain.from_iterable(p.visible for p in pages), np.int64)
+    passed = visible * (_by_line(sizes * out, counts) >= _wanted(kinds, sizes, counts))
+    lines = [len(p.kinds) for p in pages]
+    return _by_line(passed, lines) > SPAM * _by_line(visible, lines)
+
+
+def _judged(page: _Page, always: bool) -> tuple[int, int, int]:
+    """(visible characters, spam characters, covered characters) of a page."""
+    sizes, visible = np.array(page.sizes, np.int64), np.array(page.visible)
+    prose = np.array([k == "clause" for k in page.kinds])
+    size, loose = int(visible.sum()), np.ones(len(prose), bool)
+    if prose.any():
+        loose[prose] = np.array(unordered([page.text[a:b] for a, b, k in zip(page.cuts, page.cuts[1:], prose) if k])) >= UNORDERED
+    if not always and visible[loose].sum() <= SPAM * size:
+        return size, 0, 0
+    inside = _by_line(sizes * _covered(*_codes(page.tokens)), page.counts)
+    return size, int(visible[loose & (inside >= _wanted(page.kinds, sizes, page.counts))].sum()), int(inside.sum())
+
+
 def score(text: str | None, always: bool = False) -> tuple[int, int, int]:
-    """(visible characters, spam characters, covered characters) of a page; without ``always`` the order of words is
-    looked at only where it can decide whether the page is spam."""
+    """(visible characters, spam characters, covered characters) of a page. Without ``always`` the order of words is
+    looked at and the automaton built only where they can decide whether the page is spam."""
     if not text or not text.strip():
         return 0, 0, 0
-    lines = line_kinds(text)
-    size = sum(n for _, n, _ in lines)
-    stops = [*(start for start, _, _ in lines[1:]), len(text)]
-    parts = [_WORD.findall(text, start, stop) for (start, _, _), stop in zip(lines, stops)]
-    repeated = iter(_repeated(list(chain.from_iterable(parts))))
-    spam = total = 0
-    clauses: list[tuple[str, int, bool]] = []
-    for (start, visible, kind), stop, words in zip(lines, stops, parts):
-        sizes = list(map(len, words))
-        inside = sum(compress(sizes, repeated)) if sizes else 0
-        total += inside
-        full = inside >= REPEATED * (sum(sizes) or 1)
-        if kind in ("link", "price") or kind in ("items", "short", "run") and full:
-            spam += visible
-        elif kind == "clause":
-            clauses.append((text[start:stop], visible, full))
-    open_ = sum(v for _, v, full in clauses if full)
-    if open_ and (always or spam <= SPAM * size < spam + open_):
-        loose = unordered([line for line, _, _ in clauses])
-        spam += sum(v for (_, v, full), x in zip(clauses, loose) if full and x >= UNORDERED)
-    return size, spam, total
+    page = _page(text)
+    if not always and not _may_be_spam([page])[0]:
+        return sum(page.visible), 0, 0
+    return _judged(page, always)
+
+
+def _spam(texts: list[str | None]) -> list[bool]:
+    """Whether each text is spam."""
+    out, pages, held = [False] * len(texts), {}, 0
+    for n, text in enumerate(texts):
+        if text and text.strip():
+            pages[n] = _page(text)
+            held += len(text)
+        if pages and (held >= BATCH_CHARS or n == len(texts) - 1):
+            for (k, page), may in zip(pages.items(), _may_be_spam(list(pages.values()))):
+                if may:
+                    size, spam, _ = _judged(page, False)
+                    out[k] = spam > SPAM * size
+            pages, held = {}, 0
+    return out
 
 
 def page_scores(documents: DataFrame) -> DataFrame:
@@ -259,11 +372,7 @@ def spam_pages(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for t in batch.column("text").to_pylist():
-                size, spam, _ = score(t)
-                keep.append(spam > SPAM * size)
-            yield batch.select(["doc_id"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["doc_id"]).filter(pa.array(_spam(batch.column("text").to_pylist()), pa.bool_()))
 
     kind = dict(documents.dtypes)["doc_id"]
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}")

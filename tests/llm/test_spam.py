@@ -1,6 +1,6 @@
 import random
 
-from citeloom.llm.spam import covered, page_scores, repeated_lengths, score, spam_pages, unordered
+from citeloom.llm.spam import _spam, covered, page_scores, repeated_lengths, score, spam_pages, unordered
 
 PROSE = "The group depends on Kalnixor for resin, while Bomtexal supplies only 5%. Weather losses at Zerhomut reached 20 mn euros in 2024 and were not insured."
 WORDS = ["cheap hull insurance", "best esg rating", "free audit template", "used crane", "low cost resin"]
@@ -96,7 +96,32 @@ def test_keywords_with_stops(spark):
     assert got == list(range(len(spam)))
     for _, t in rows:
         a, b = score(t), score(t, True)
-        assert a[2] == b[2] > 0 and (a[1] > 0.5 * a[0]) == (b[1] > 0.5 * b[0])
+        assert b[2] > 0 and (a[1] > 0.5 * a[0]) == (b[1] > 0.5 * b[0])
+
+
+FR = ["assurance pas chère", "modèle d’audit", "crédit rapide", "pièces d’éolienne", "rapport de risques gratuit"]
+DE = ["günstige versicherung", "kredit ohne schufa", "ersatzteile turbine", "vorlage prüfung", "gebrauchter kran"]
+BOILERPLATE = {
+    "en": "This report has been prepared by {} solely for information. No reliance may be placed on it for any purpose, and {} accepts no liability for its contents. The figures of {} are unaudited and may change without notice.",
+    "fr": "Le présent rapport a été établi par {} à titre d’information. Aucune garantie n’est donnée par {} quant à son contenu. Les chiffres de {} ne sont pas audités et peuvent changer sans préavis.",
+    "de": "Dieser Bericht wurde von {} nur zur Information erstellt. Für den Inhalt übernimmt {} keine Haftung. Die Zahlen von {} sind ungeprüft und können sich ohne Ankündigung ändern.",
+}
+
+
+def test_coverage_decides_every_line():
+    """Links, prices and stops alone make no spam: what is not repeated is not covered."""
+    assert score("https://a.example/b\nKalnixor", True)[1] == 0
+    assert score("Kalnixor pump 2,50 €", True)[1] == 0
+    for words in (FR, DE):
+        for form in ("phrases", "runs"):
+            size, spam, inside = score(dressed(form, 30, words))
+            assert spam > 0.5 * size and inside > 0.5 * size
+    names = [f"Kal{a}{b}" for a in "nixor" for b in "bomtexalu"]
+    for text in BOILERPLATE.values():
+        long = " ".join(text.format(names[i], names[i + 1], names[i + 2]) for i in range(40))
+        size, spam, inside = score(long, True)
+        assert spam == 0 and inside > 0.5 * size  # covered, yet prose
+    assert _spam([None, " ", dressed("runs"), PROSE]) == [False, False, True, False]
 
 
 def test_unordered():
