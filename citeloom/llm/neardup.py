@@ -3,37 +3,53 @@
 Method: Order MinHash. Each distinct text is cut into k-mers labelled with their occurrence number; every sketch keeps
 the ``SMALLEST`` k-mers of least hash in the order they stand in the text, so two texts share a sketch when they share
 those k-mers in that order. Texts that share any of ``SKETCHES`` sketches are candidates; each sketch row carries a
-one-bit minwise signature, and candidates whose signatures disagree far beyond chance (more than six standard
-deviations below the threshold) are dropped inside the join, before any text is moved. The rest are verified by banded
-alignment (Levenshtein distance within a band, in the JVM); pairs that the band rejects because parts changed places
-are decided by their k-mers alone. For ``found_pairs`` the exact share of distinct k-mers follows.
+one-bit minwise signature, and candidates whose signatures disagree far beyond chance (more than five standard
+deviations below the threshold) are dropped inside the join, before any text is moved.
+
+Candidates are verified by banded alignment (Levenshtein distance within a band, in the JVM) of their words, each word
+(a long one in pieces, each character of a script without blanks) one letter of a code. The band follows from the
+threshold: texts of which ``threshold`` of the k-mers are common and in order differ in at most (1 - t) / (1 + t) of
+both lengths. Where parts changed places the words are aligned in sorted order, in a band half as wide again, as a
+changed word may move there. A candidate outside both bands is rejected. For ``found_pairs`` the exact share of
+distinct k-mers follows, on what the alignment leaves.
 
 A pair at the threshold of 0.7 shares one sketch with a probability of about 0.34 when the order is kept, 0.09 when
 two halves are swapped and 0.04 when three parts are turned round. With 112 sketches it is practically never missed
-when the order is kept, about once in 24,000 for swapped halves and once in 100 for three parts turned round.
+when the order is kept, about once in 24,000 for swapped halves and once in 100 for three parts turned round. Sketches
+of two k-mers would lose fewer of such pairs, but join several times as many pairs of texts made from one template.
 
 Identical texts are one class from the start: sketches, joins and checks run over classes, and only the result of
-``found_pairs`` spells out the pairs of records, a class of many copies in parts. A hot sketch is a hot key of an equi
-join, which adaptive execution splits.
+``found_pairs`` spells out the pairs of records, a class of many copies in parts; ``linked_classes`` gives the pairs of
+classes and ``classes`` their members. A hot sketch is a hot key of an equi join, which adaptive execution splits. The
+sketches are many times the size of the texts, which the planner cannot know, so no join here may be a broadcast.
 
 Defined results: a null title or description counts as empty; texts of fewer than ``K`` characters have no k-mers and
 are in no pair; repeated rows of one id count once; empty tables give no rows; extra columns are ignored.
 """
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.plans.staging import staged
 
 K, SMALLEST, SKETCHES, THRESHOLD = 5, 3, 112, 0.7
-SIGNATURE_BITS = 320
+SIGNATURE_BITS, DEVIATIONS = 320, 5.0
+#: How much wider the band is for words in sorted order; letters of one piece of a word.
+SORTED_BAND, PIECE = 1.5, 8
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+_PIECES = re.compile(rf"[{_DENSE}]|[^\s{_DENSE}]{{1,{PIECE}}}")
+#: Letters of the word code.
+_CODE_FIRST, _CODE_SIZE = 0x3400, 0xD7FF - 0x3400
 _WORDS = SIGNATURE_BITS // 64
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+_TOP = np.uint32(0xFFFFFFFF)
 #: Copies of one text that are joined in one task.
 PART = 500
 #: Cells of one hash matrix; longer texts are hashed in blocks of columns.
@@ -68,8 +84,10 @@ def _labelled(grams: np.ndarray) -> np.ndarray:
     return _mix(out)
 
 
-_SEEDS = _mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _B)[:, None]
-_FACTORS = (_mix(np.arange(1001, 1001 + SIGNATURE_BITS, dtype=np.uint64) * _B) | np.uint64(1))[:, None]
+_KEYS = _mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _B)
+#: Odd factors that order the hashes anew for each sketch and each bit; 32 bits are enough to find the least ones.
+_SEEDS = ((_KEYS >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
+_FACTORS = ((_mix(np.arange(1001, 1001 + SIGNATURE_BITS, dtype=np.uint64) * _B) >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
 
 
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray] | None:
@@ -78,28 +96,26 @@ def sketch(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     if not len(grams):
         return None
     x, step = _labelled(grams), max(1, _CELLS // SIGNATURE_BITS)
-    best_v = best_p = None
+    rows = np.arange(SKETCHES)
+    best_v = np.zeros((SKETCHES, 0), np.uint32)
+    best_p = np.zeros((SKETCHES, 0), np.int64)
+    short = (x >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(x), step):
-        part = x[at : at + step]
-        h = part[None, :] * _SEEDS
-        h ^= h >> np.uint64(32)
-        take = min(SMALLEST, h.shape[1])
-        pos = np.argpartition(h, take - 1, axis=1)[:, :take]
-        v, p = np.take_along_axis(h, pos, 1), pos + at
-        if best_v is not None:
-            v, p = np.concatenate((best_v, v), 1), np.concatenate((best_p, p), 1)
-            if v.shape[1] > SMALLEST:
-                keep = np.argpartition(v, SMALLEST - 1, axis=1)[:, :SMALLEST]
-                v, p = np.take_along_axis(v, keep, 1), np.take_along_axis(p, keep, 1)
-        best_v, best_p = v, p
-    key = _SEEDS[:, 0].copy()
+        h = short[None, at : at + step] * _SEEDS
+        for _ in range(min(SMALLEST, h.shape[1])):
+            p = h.argmin(axis=1)
+            best_v, best_p = np.column_stack((best_v, h[rows, p])), np.column_stack((best_p, p + at))
+            h[rows, p] = _TOP
+    if best_v.shape[1] > SMALLEST:
+        best_p = np.take_along_axis(best_p, np.argsort(best_v, axis=1, kind="stable")[:, :SMALLEST], 1)
+    key = _KEYS.copy()
     for p in np.sort(best_p, axis=1).T:
         key = _mix(key * _B + x[p])
-    least = None
+    short, least = (grams >> np.uint64(32)).astype(np.uint32), None
     for at in range(0, len(grams), step):
-        h = (grams[None, at : at + step] * _FACTORS).min(axis=1)
+        h = (short[None, at : at + step] * _FACTORS).min(axis=1)
         least = h if least is None else np.minimum(least, h)
-    bits = (_mix(least) >> np.uint64(40)) & np.uint64(1)
+    bits = (_mix(least.astype(np.uint64)) >> np.uint64(40)) & np.uint64(1)
     words = (bits.reshape(-1, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
     return key, words
 
@@ -140,55 +156,100 @@ def _overlap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.assign(jaccard=share)
 
 
-def class_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs of distinct texts ``(tkey, text)``: ``tkey_a, tkey_b, jaccard, edit_similarity``.
+def word_code(text: str) -> str:
+    """The text with each word (or piece of one) as one letter."""
+    return "".join([chr(_CODE_FIRST + zlib.crc32(w.encode("utf-8", "surrogatepass")) % _CODE_SIZE) for w in _PIECES.findall(text)])
 
-    ``edit_similarity`` is 1 - distance / longer length, null where the alignment left its band.
-    """
-    sketches = texts.mapInArrow(_sketches, "key long, tkey binary, " + ", ".join(f"b{i} long" for i in range(_WORDS)))
-    a, b = (sketches.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("tkey", *(f"b{i}" for i in range(_WORDS))))) for s in "ab")
+
+def _with_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = pa.array([word_code(t) for t in batch.column("text").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns, codes], names=[*batch.schema.names, "words"])
+
+
+def _aligned(threshold: float) -> Column:
+    """Whether the words of ``words_a`` and ``words_b`` align within the band of ``threshold``, as they stand or sorted."""
+    both = "char_length(words_a) + char_length(words_b)"
+    band = f"cast(ceil({(1 - threshold) / (1 + threshold)} * ({both})) as int)"
+    wide = f"cast(ceil({SORTED_BAND * (1 - threshold) / (1 + threshold)} * ({both})) as int)"
+    ordered = lambda c: f"array_join(array_sort(split({c}, '')), '')"
+    return F.expr(f"levenshtein(words_a, words_b, {band}) >= 0 OR levenshtein({ordered('words_a')}, {ordered('words_b')}, {wide}) >= 0")
+
+
+def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of distinct texts that share a sketch and whose signatures agree well enough: ``tkey_a, tkey_b``."""
+    sketches = texts.select("tkey", "text").mapInArrow(_sketches, "key long, tkey binary, " + ", ".join(f"b{i} long" for i in range(_WORDS)))
+    a, b = (sketches.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("tkey", *(f"b{i}" for i in range(_WORDS))))).hint("merge") for s in "ab")
     p = (1 + threshold) / 2
-    least = int(SIGNATURE_BITS * (p - 6.2 * (p * (1 - p) / SIGNATURE_BITS) ** 0.5))
+    least = int(SIGNATURE_BITS * (p - DEVIATIONS * (p * (1 - p) / SIGNATURE_BITS) ** 0.5))
     apart = sum((F.bit_count(F.col(f"b{i}_a").bitwiseXOR(F.col(f"b{i}_b"))) for i in range(_WORDS)), F.lit(0))
-    candidates = a.join(b, "key").where((F.col("tkey_a") < F.col("tkey_b")) & (apart <= SIGNATURE_BITS - least)).select("tkey_a", "tkey_b").distinct()
-    with_texts = candidates.join(texts.select(F.col("tkey").alias("tkey_a"), F.col("text").alias("text_a")), "tkey_a").join(
-        texts.select(F.col("tkey").alias("tkey_b"), F.col("text").alias("text_b")), "tkey_b"
-    )
-    longer = F.greatest(F.char_length("text_a"), F.char_length("text_b"))
-    band = f"cast({1 - threshold} * greatest(char_length(text_a), char_length(text_b)) as int)"
-    measured = with_texts.mapInPandas(_overlap, "tkey_b binary, tkey_a binary, text_a string, text_b string, jaccard double").withColumn(
-        "distance", F.expr(f"levenshtein(text_a, text_b, {band})")
-    )
-    return measured.where((F.col("distance") >= 0) | (F.col("jaccard") >= threshold)).select(
-        "tkey_a", "tkey_b", "jaccard", F.when(F.col("distance") >= 0, 1 - F.col("distance") / longer).alias("edit_similarity")
-    )
+    return a.join(b, "key").where((F.col("tkey_a") < F.col("tkey_b")) & (apart <= SIGNATURE_BITS - least)).select("tkey_a", "tkey_b").distinct()
+
+
+def _with_both(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    """Pairs of classes with a column of both texts."""
+    for side in "ab":
+        pairs = pairs.hint("merge").join(texts.select(F.col("tkey").alias(f"tkey_{side}"), F.col(column).alias(f"{column}_{side}")).hint("merge"), f"tkey_{side}")
+    return pairs
+
+
+def class_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Verified pairs of distinct texts ``(tkey, text, words)``: ``tkey_a, tkey_b, jaccard``."""
+    close = _with_both(candidates(texts, threshold), texts, "words").where(_aligned(threshold)).select("tkey_a", "tkey_b")
+    measured = _with_both(close, texts, "text").mapInPandas(_overlap, "tkey_b binary, tkey_a binary, text_a string, text_b string, jaccard double")
+    return measured.where(F.col("jaccard") >= threshold).select("tkey_a", "tkey_b", "jaccard")
 
 
 def _classes(instances: DataFrame) -> tuple[DataFrame, DataFrame]:
-    members = record_texts(instances).select("id", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("tkey"), "text").where(F.char_length("text") >= K)
-    texts = staged(members.groupBy("tkey").agg(F.first("text").alias("text"), F.min("id").alias("first_id")), "neartexts")
-    return members.select("id", "tkey").distinct(), texts
+    """The members of each class (``id, tkey, part, parts``) and the distinct texts (``tkey, text, first_id, n, words``).
+
+    A class of many copies is cut into ``parts`` of about ``PART`` members, so that no class is one task.
+    """
+    own = record_texts(instances).select("id", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("tkey"), "text").where(F.char_length("text") >= K)
+    # One row per id and text, so that repeated rows of an id count once.
+    once = own.groupBy("id", "tkey").agg(F.first("text").alias("text"))
+    texts = once.groupBy("tkey").agg(F.first("text").alias("text"), F.min("id").alias("first_id"), F.count("*").alias("n"))
+    texts = staged(texts.mapInArrow(_with_codes, "tkey binary, text string, first_id string, n long, words string"), "neartexts")
+    parts = texts.select("tkey", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    members = own.select("id", "tkey").distinct().hint("merge").join(parts.hint("merge"), "tkey")
+    return staged(members.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "nearmembers"), texts
 
 
-def _with_members(left: DataFrame, key: str, members: DataFrame, name: str) -> DataFrame:
-    """``left`` joined with the members of the class in ``key``. A class of many copies is cut into parts of about
-    ``PART`` members, and its left rows are repeated for each part, so that no class is one task."""
-    parts = members.groupBy("tkey").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    right = members.join(parts, "tkey").select(F.col("tkey").alias(key), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.col("id").alias(name))
-    spread = left.join(parts.withColumnRenamed("tkey", key), key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    return spread.join(right, [key, "part"]).drop("part")
+def _with_members(left: DataFrame, key: str, members: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """``left`` joined with the members of the class in ``key``: its rows are repeated for each part of the class."""
+    parts = texts.select(F.col("tkey").alias(key), F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    spread = left.hint("merge").join(parts.hint("merge"), key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    right = members.select(F.col("tkey").alias(key), "part", F.col("id").alias(name))
+    return spread.hint("merge").join(right.hint("merge"), [key, "part"]).drop("part")
 
 
 def found_pairs(instances: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs of records whose sets of distinct k-mers share at least ``threshold`` of their union, smaller id first."""
     members, texts = _classes(instances)
-    pairs = class_pairs(texts, threshold).where(F.col("jaccard") >= threshold).select("tkey_a", "tkey_b")
-    apart = _with_members(_with_members(pairs, "tkey_a", members, "x"), "tkey_b", members, "y").select("x", "y")
-    several = members.join(members.groupBy("tkey").agg(F.count("*").alias("n")).where("n > 1").select("tkey"), "tkey", "left_semi")
-    same = _with_members(several.select(F.col("id").alias("x"), F.col("tkey").alias("tkey_a")), "tkey_a", several, "y").where("x < y").select("x", "y")
+    pairs = class_pairs(texts, threshold).select("tkey_a", "tkey_b")
+    apart = _with_members(_with_members(pairs, "tkey_a", members, texts, "x"), "tkey_b", members, texts, "y").select("x", "y")
+    several = members.hint("merge").join(texts.where("n > 1").select("tkey").hint("merge"), "tkey", "left_semi")
+    same = _with_members(several.select(F.col("id").alias("x"), F.col("tkey").alias("tkey_a")), "tkey_a", several, texts, "y").where("x < y").select("x", "y")
     return apart.unionByName(same).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
+def linked_classes(instances: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of different texts, each by its least record: ``id_a, id_b, jaccard``. With ``classes`` it holds what
+    ``found_pairs`` does, copies not expanded."""
+    _, texts = _classes(instances)
+    pairs = _with_both(class_pairs(texts, threshold), texts, "first_id")
+    return pairs.select(F.least("first_id_a", "first_id_b").alias("id_a"), F.greatest("first_id_a", "first_id_b").alias("id_b"), F.round("jaccard", 6).alias("jaccard"))
+
+
+def classes(instances: DataFrame) -> DataFrame:
+    """``id, class_id, n_copies``: the class of equal texts of each record, named by its least record. A record too short
+    to have k-mers is a class of its own."""
+    members, texts = _classes(instances)
+    known = members.select("id", "tkey").hint("merge").join(texts.select("tkey", "first_id", "n").hint("merge"), "tkey").select("id", F.col("first_id").alias("class_id"), F.col("n").alias("n_copies"))
+    rest = record_texts(instances).where(F.char_length("text") < K).select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("n_copies")).distinct()
+    return known.unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of the undirected edges ``(u, v)`` is linked with.
 
@@ -216,14 +277,12 @@ def groups(instances: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per record: ``id``, ``group_id`` (the least id linked with it) and ``n_links`` (its pairs to other texts'
     classes plus its copies)."""
     members, texts = _classes(instances)
-    pairs = staged(class_pairs(texts, threshold).where(F.col("jaccard") >= threshold).select("tkey_a", "tkey_b"), "nearpairs")
-    ids = texts.select("tkey", "first_id")
-    edges = pairs.join(ids.toDF("tkey_a", "u"), "tkey_a").join(ids.toDF("tkey_b", "v"), "tkey_b").select("u", "v")
-    comp = components(edges)
+    edges = staged(_with_both(class_pairs(texts, threshold), texts, "first_id").select(F.col("first_id_a").alias("u"), F.col("first_id_b").alias("v")), "nearpairs")
+    comp = components(edges).select(F.col("node").alias("first_id"), "component")
     degree = edges.select("u").unionAll(edges.select("v")).groupBy(F.col("u").alias("first_id")).agg(F.count("*").alias("links"))
-    sizes = members.groupBy("tkey").agg((F.count("*") - 1).alias("copies"))
-    classes = ids.join(sizes, "tkey").join(comp, ids.first_id == comp.node, "left").join(degree, "first_id", "left").select(
-        "tkey", F.coalesce("component", "first_id").alias("group_id"), (F.coalesce("links", F.lit(0)) + F.col("copies")).cast("long").alias("n_links")
+    named = texts.select("tkey", "first_id", "n").hint("merge").join(comp.hint("merge"), "first_id", "left").hint("merge").join(degree.hint("merge"), "first_id", "left").select(
+        "tkey", F.coalesce("component", "first_id").alias("group_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links")
     )
-    own = record_texts(instances).select("id", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("tkey")).distinct()
-    return own.join(classes, "tkey", "left").select("id", F.coalesce("group_id", "id").alias("group_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    known = members.select("id", "tkey").hint("merge").join(named.hint("merge"), "tkey").select("id", "group_id", "n_links")
+    rest = record_texts(instances).where(F.char_length("text") < K).select("id", F.col("id").alias("group_id"), F.lit(0).cast("long").alias("n_links")).distinct()
+    return known.unionByName(rest)

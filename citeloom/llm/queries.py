@@ -42,6 +42,17 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(read_table(spark, d, "risk_instance"))
 
 
+@query
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Membership of the classes of equal texts; with ``p3_linked_classes`` the pairs of ``p3_found``, not expanded."""
+    return neardup.classes(read_table(spark, d, "risk_instance"))
+
+
+@query
+def p3_linked_classes(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.linked_classes(read_table(spark, d, "risk_instance"))
+
+
 @query
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return visual.found_when_folded(read_table(spark, d, "risk_instance"), read_table(spark, d, "page_text"))
@@ -121,10 +132,18 @@ x AS (SELECT k, p, CASE WHEN p - lag(p) OVER (PARTITION BY k ORDER BY p) <= 120
 g AS (SELECT k, p, sum(fresh) OVER (PARTITION BY k ORDER BY p) AS run FROM x)
 SELECT r AS risk_instance_id, field, page, CAST(min(p) AS INT) AS start_pos, CAST(max(p) + 120 AS INT) AS end_pos FROM g JOIN n USING (k) GROUP BY k, run, r, field, page"""
 
-ORACLES["p3_found"] = """WITH t AS (SELECT id, trim(regexp_replace(lower(coalesce(title, '')) || ' ' || lower(coalesce(description, '')), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM (SELECT DISTINCT id, title, description FROM risk_instance)),
+_GRAMS = """t AS (SELECT id, trim(regexp_replace(lower(coalesce(title, '')) || ' ' || lower(coalesce(description, '')), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM (SELECT DISTINCT id, title, description FROM risk_instance)),
 g AS (SELECT DISTINCT id, substr(t, p, 5) AS s FROM (SELECT id, t, unnest(range(1, length(t) - 3)) AS p FROM t)), n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
-c AS (SELECT a.id AS x, b.id AS y, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
-SELECT x AS id_a, y AS id_b FROM c JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE k >= 0.7 * (a.n + b.n - k)"""
+c AS (SELECT a.id AS x, b.id AS y, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+f AS (SELECT x, y, k / (a.n + b.n - k) AS j FROM c JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE k >= 0.7 * (a.n + b.n - k))"""
+ORACLES["p3_found"] = f"WITH {_GRAMS} SELECT x AS id_a, y AS id_b FROM f"
+ORACLES["p3_classes"] = f"""WITH {_GRAMS} SELECT id, CASE WHEN length(t) >= 5 THEN min(id) OVER w ELSE id END AS class_id, CASE WHEN length(t) >= 5 THEN count(*) OVER w ELSE 1 END AS n_copies FROM t WINDOW w AS (PARTITION BY t)"""
+ORACLES["p3_linked_classes"] = f"""WITH {_GRAMS}, m AS (SELECT id, t, min(id) OVER (PARTITION BY t) AS k FROM t)
+SELECT DISTINCT least(a.k, b.k) AS id_a, greatest(a.k, b.k) AS id_b, round(j, 6) AS jaccard FROM f JOIN m a ON a.id = x JOIN m b ON b.id = y WHERE a.k <> b.k"""
+ORACLES["p3_groups"] = f"""WITH RECURSIVE {_GRAMS}, m AS (SELECT id, t, min(id) OVER (PARTITION BY t) AS k FROM t), e AS (SELECT x AS a, y AS b FROM f UNION ALL SELECT y, x FROM f),
+r AS (SELECT id AS a, id AS b FROM t UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+l AS (SELECT a.id, b.k FROM m a JOIN e ON e.a = a.id JOIN m b ON b.id = e.b WHERE a.k <> b.k UNION SELECT a.id, b.id || chr(1) FROM m a JOIN e ON e.a = a.id JOIN m b ON b.id = e.b WHERE a.k = b.k)
+SELECT a AS id, min(b) AS group_id, (SELECT count(*) FROM l WHERE l.id = r.a) AS n_links FROM r GROUP BY a"""
 
 _BLANKS = "trim(regexp_replace({}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
 ORACLES["p5_found"] = f"""WITH j AS (SELECT DISTINCT id, {_BLANKS.format('verbatim_span')} AS s, {_BLANKS.format('text')} AS t FROM risk_instance r JOIN page_text p ON p.report_id = r.report_id AND p.page = r.page)

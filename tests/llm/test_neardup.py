@@ -1,6 +1,6 @@
 import random
 
-from citeloom.llm.neardup import K, components, found_pairs, groups
+from citeloom.llm.neardup import K, _aligned, classes, components, found_pairs, groups, linked_classes, word_code
 
 SCHEMA = "id string, title string, description string, text string"
 
@@ -68,3 +68,39 @@ def test_many_copies_are_joined_in_parts(spark, monkeypatch):
     rows = [(f"a{i:02d}", "t", text, None) for i in range(40)] + [(f"b{i:02d}", "t", text + " x", None) for i in range(20)]
     got = [tuple(r) for r in found_pairs(spark.createDataFrame(rows, SCHEMA)).collect()]
     assert len(got) == len(set(got)) == 60 * 59 // 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_alignment_is_in_the_plan_and_no_join_is_broadcast(spark):
+    df = spark.createDataFrame(rows(5, 40), SCHEMA)
+    optimized, physical = plan_of(found_pairs(df))
+    assert "levenshtein" in optimized and "Broadcast" not in physical
+
+
+def test_alignment_keeps_edits_and_moves_and_rejects_other_texts(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 12))) for _ in range(300)]
+    base = [rnd.choice(words) for _ in range(90)]
+    parts = [base[i : i + 9] for i in range(0, 90, 9)]
+    edited = [w if i % 12 else w[::-1] for i, w in enumerate(base)]
+    turned = [w for p in reversed(parts) for w in p]
+    other = [rnd.choice(words) for _ in range(90)]
+    dense = "保险只覆盖树脂须自行承担其余损失董事会认为钢材价格上涨可能影响利润率和现金流" * 3
+    cases = [(edited, base, True), (turned, base, True), (turned, edited, True), (other, base, False)]
+    data = [(word_code(" ".join(a)), word_code(" ".join(b)), want) for a, b, want in cases] + [(word_code(dense), word_code(dense[40:] + dense[:40]), True), (word_code(""), word_code(""), True)]
+    got = spark.createDataFrame(data, "words_a string, words_b string, want boolean").select(_aligned(0.7).alias("got"), "want").collect()
+    assert all(r["got"] == r["want"] for r in got)
+
+
+def test_classes_and_their_links_hold_the_pairs(spark):
+    df = spark.createDataFrame(rows(8, 120), SCHEMA)
+    member = {r["id"]: r["class_id"] for r in classes(df).collect()}
+    links = {(r["id_a"], r["id_b"]) for r in linked_classes(df).collect()}
+    ids = sorted(member)
+    spelled = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if member[a] == member[b] or tuple(sorted((member[a], member[b]))) in links}
+    assert spelled == {tuple(r) for r in found_pairs(df).collect()}
+    sizes = {r["id"]: r["n_copies"] for r in classes(df).collect()}
+    assert all(sizes[i] == sum(member[j] == member[i] for j in ids) for i in ids)
