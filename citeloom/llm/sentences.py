@@ -22,7 +22,8 @@ and are never a first or last character; extra columns are ignored; texts of any
 import re
 import unicodedata
 from collections import ChainMap, Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,7 +47,18 @@ _FULL = "。｡！？"  # end a sentence without a blank after them
 _HARD = "!?؟।॥۔！？‼⁇⁈⁉"
 _ENDS = set(".…．" + _FULL + _HARD)
 _MARK = re.compile(r"[ \t]*(?:[-–—*•·▪◦‣●○■□►▶]|(\d{1,2}|[a-zA-Z])[.)]|\((?:\d{1,2}|[a-zA-Z])\))[ \t  ]+(?=\S)")
-_WORD_BEFORE = re.compile(r"[^\s“”«»„‚「」『』（）()\[\]{}\"'’‘,;:!?¡¿…—–/]+$")
+_BREAKS = frozenset("“”«»„‚「」『』（）()[]{}\"'’‘,;:!?¡¿…—–/")
+_BLANK = re.compile(r"\s*")
+_LEAD = re.compile(r"\s*[" + re.escape(_OPEN) + "\"'¿¡]*")
+_OPENERS = re.compile("[" + re.escape(_OPEN) + "¿¡]*")
+_FIRST_WORD = re.compile(r"[^\W\d_][\w’'-]*")
+_GLUED = re.compile(r"[^\W\d_]{2,}|[^\W\d_](?=\s)")
+_QUOTED_WORD = re.compile(r"[“«„¿¡(]*([^\W\d_][\w’'-]*)")
+_TWO_WORDS = re.compile(r"\W*[\w’'-]+(?:\W+[\w’'-]+)?")
+_INITIALS = re.compile(r"(?:[^\W\d_]\.)*[^\W\d_]")
+_INNER_PERIOD = re.compile(r"[^\W\d_]\.")
+#: Characters without a blank or mark between them from which a run is no word.
+LONGEST_WORD = 200
 _CJK = re.compile("[぀-ヿ㐀-鿿豈-﫿]")
 
 
@@ -65,16 +77,17 @@ def _devanagari(c: str) -> bool:
     return "ऀ" <= c <= "ॣ" or "॰" <= c <= "ॿ"
 
 
+@lru_cache(1 << 16)
 def _key(word: str) -> str:
     """The form under which a word is counted: case, compatibility forms and look-alikes folded."""
     k = unicodedata.normalize("NFKC", word).translate(_LOOKS).casefold()
     return _NUMBER if _ORDINAL.fullmatch(k) else k
 
 
-def _visible(text: str) -> tuple[str, list[int]]:
+def _visible(text: str) -> tuple[str, Sequence[int]]:
     """The text without zero-width characters, and the position of each of its characters."""
     if not _INVISIBLE.search(text):
-        return text, list(range(len(text)))
+        return text, range(len(text))
     kept = [(c, i) for i, c in enumerate(text) if not _INVISIBLE.match(c)]
     return "".join(c for c, _ in kept), [i for _, i in kept]
 
@@ -83,32 +96,52 @@ _PERIOD = re.compile(r"(?<=\S)\.(?=[\s“”«»„」』（）()\"'’,;:]|$)")
 
 
 def _word_before(s: str, at: int) -> str:
-    """The word before the period at ``at``; of two that lost the blank between them, the second."""
-    m = _WORD_BEFORE.search(s, max(0, at - 40), at)
-    word = m[0] if m else ""
+    """The word before the period at ``at``; of two that lost the blank between them, the second. A run of more than
+    ``LONGEST_WORD`` characters is none."""
+    i, low = at, max(0, at - LONGEST_WORD)
+    while i > low and s[i - 1] not in _BREAKS and not s[i - 1].isspace():
+        i -= 1
+    if i and i == low and s[i - 1] not in _BREAKS and not s[i - 1].isspace():
+        return ""
+    word = s[i:at]
+    if "." not in word:
+        return word
     head, _, tail = word.rpartition(".")
     return tail if len(head.rpartition(".")[2]) >= 3 and tail and not tail[0].isdigit() else word
 
 
+def _next(s: str, at: int, stop: int | None = None) -> str:
+    """The first character from ``at`` on that is no blank, or nothing."""
+    j = (_BLANK.match(s, at) if stop is None else _BLANK.match(s, at, stop)).end()
+    return s[j : j + 1] if stop is None or j < stop else ""
+
+
+def _last(s: str, end: int) -> int:
+    """The position of the last character before ``end`` that is no blank, or -1."""
+    while end and s[end - 1].isspace():
+        end -= 1
+    return end - 1
+
+
 def _context(s: str, at: int) -> tuple[str, str, str]:
     """The word before the period at ``at``, the kind of what follows and the next word.
 
     Kinds: ``cont`` (the period ends no sentence), ``start`` (a capitalised word, ambiguous), ``other``, ``end``.
     """
     word = _word_before(s, at)
-    rest = s[at + 1 : at + 60]
-    if rest[:1] in (",", ";", ":"):
+    if s[at + 1 : at + 2] and s[at + 1] in ",;:":
         return word, "cont", ""
-    nxt = rest.lstrip().lstrip(_OPEN + "\"'¿¡")
-    if not nxt:
+    j = _LEAD.match(s, at + 1).end()
+    if j == len(s):
         return word, "end", ""
-    c = nxt[0]
-    after = re.match(r"[^\W\d_][\w’'-]*", nxt)
+    c = s[j]
     if c.islower():
+        after = _FIRST_WORD.match(s, j)
         return word, "cont", after[0] if after else ""
     if c.isdigit():
         return word, "digit", ""
     if c.isupper() or c.istitle():
+        after = _FIRST_WORD.match(s, j)
         return word, "start", after[0] if after else ""
     return word, "other", ""
 
@@ -116,7 +149,8 @@ def _context(s: str, at: int) -> tuple[str, str, str]:
 _MARKS = re.compile("[" + re.escape("".join(dict.fromkeys([*_PAIRS, *"".join(_PAIRS.values()), '"']))) + "]")
 _PARAGRAPH = re.compile(r"[ \t\r]*\n(?=[ \t\r]*\n|" + _MARK.pattern + ")")
 _STARTS = re.compile(r"(?:^|[!?…]\s+|[!?]”\s+)[“«„¿¡(]*([^\W\d_][\w’'-]*)")
-_INNER = re.compile(r"(?<=[\w,;:] )[“«„(]?([^\W\d_][\w’'-]*)")
+_INNER = re.compile(r"(?<=[\w,;:] )[“«„(]?([^\W\d_a-zа-яß-öø-ÿ][\w’'-]*)")
+_EVENT = re.compile("[" + re.escape("".join(dict.fromkeys([*_PAIRS, *"".join(_PAIRS.values()), '"', *sorted(_ENDS)]))) + r"]|(?<=[ก-๎])\s")
 
 
 def _pairs(s: str, start: int, stop: int) -> dict[int, int]:
@@ -157,8 +191,11 @@ def evidence(text: str) -> Counter:
         if word and (any(c.isalpha() for c in word) or _ORDINAL.fullmatch(word)):
             k = _key(word)
             first = m.start() - len(word)
-            lead = s[:first].rstrip(" ")
-            if k == _NUMBER and lead[-1:] in ("", "\n"):
+            at = first
+            while at and s[at - 1] == " ":
+                at -= 1
+            lead = s[at - 1 : at]
+            if k == _NUMBER and lead in ("", "\n"):
                 continue  # the mark of a list
             out["p", k] += 1
             if m.start() > inner:
@@ -167,7 +204,7 @@ def evidence(text: str) -> Counter:
                     out["e", k] += 1
             if kind == "cont":
                 out["a", k] += 1
-            elif kind == "start" and len(word) <= 5 and word[0].isupper() and (not lead or lead[-1] in "!?…\n"):
+            elif kind == "start" and len(word) <= 5 and word[0].isupper() and (not lead or lead in "!?…\n"):
                 out["o", k] += 1
             elif kind == "digit":
                 out["n", k] += 1
@@ -226,7 +263,7 @@ def _is_abbreviation(word: str, kind: str, here: Counter, corpus: dict) -> bool:
     """Whether ``word`` with its period is an abbreviation, by the document first and the corpus second."""
     if not word:
         return False
-    if re.fullmatch(r"(?:[^\W\d_]\.)*[^\W\d_]", word) and (len(word) == 1 or "." in word):
+    if (len(word) == 1 or "." in word) and _INITIALS.fullmatch(word):
         return True  # initials and single letters: J., U.S., i.e., z., B.
     k = _key(word)
     if here["a", k]:
@@ -253,38 +290,35 @@ def _closes_with(word: str, here: Counter, corpus: dict) -> bool:
 
 def _ends_at(s: str, at: int, here: Counter, corpus: dict) -> bool:
     """Whether the run of terminators whose last character is ``at`` (no closers after it) ends a sentence."""
-    c = s[at]
-    rest = s[at + 1 :at + 80]
+    c, near = s[at], s[at + 1 : at + 2]
     if c in _FULL or c in "।॥":
         return True
     if c in _HARD:
-        nxt = rest.lstrip()
-        if rest[:1] and not rest[:1].isspace() and not _CJK.match(rest[:1]):
-            return rest[0].isupper() or rest[0] in _OPEN + "¿¡"
-        return not nxt or not (nxt[0].islower() or nxt[0] in ",;:，、；：")
+        if near and not near.isspace() and not _CJK.match(near):
+            return near.isupper() or near in _OPEN + "¿¡"
+        nxt = _next(s, at + 1)
+        return not nxt or not (nxt.islower() or nxt in ",;:，、；：")
     if c == "…":
-        nxt = rest.lstrip()
-        return not nxt or (nxt[0].isupper() or nxt[0] in _OPEN + "¿¡" or bool(_CJK.match(nxt[0]))) and nxt[:1] not in ",;"
-    if c == "．":
-        c = "."
+        nxt = _next(s, at + 1)
+        return not nxt or (nxt.isupper() or nxt in _OPEN + "¿¡" or bool(_CJK.match(nxt))) and nxt not in ",;"
     before = s[at - 1] if at else ""
     if before == "." or before == "…":
-        nxt = rest.lstrip()
-        return not nxt or nxt[0].isupper()
-    if _thai(before) or _devanagari(before):
+        nxt = _next(s, at + 1)
+        return not nxt or nxt.isupper()
+    if before and (_thai(before) or _devanagari(before)):
         return False
-    if rest[:1] and not rest[0].isspace() and rest[0] not in _CLOSE:
+    if near and not near.isspace() and near not in _CLOSE:
         # No blank after the period: a lost blank between two sentences, or a figure, an initial, an address.
         word = _word_before(s, at)
-        after = re.match(r"[^\W\d_]{2,}|[^\W\d_](?=\s)", rest.lstrip(_OPEN + "¿¡"))
-        if rest[0] in _OPEN + "¿¡" or rest[0].isupper():
-            if len(word) < 2 or re.search(r"[^\W\d_]\.", word):
+        first = _OPENERS.match(s, at + 1).end()
+        if near in _OPEN + "¿¡" or near.isupper():
+            if len(word) < 2 or _INNER_PERIOD.search(word):
                 return False
             if _is_abbreviation(word, "", here, corpus):
-                first = re.match(r"[^\W\d_][\w’'-]*", rest.lstrip(_OPEN + "¿¡"))
-                return bool(first) and _starts_sentence(first[0], here, corpus) and _closes_with(word, here, corpus)
-            return bool(after or rest[0] in _OPEN)
-        return bool(_CJK.match(rest[0]))
+                after = _FIRST_WORD.match(s, first)
+                return bool(after) and _starts_sentence(after[0], here, corpus) and _closes_with(word, here, corpus)
+            return bool(_GLUED.match(s, first) or near in _OPEN)
+        return bool(_CJK.match(near))
     word, kind, nxt = _context(s, at)
     if kind == "cont":
         return False
@@ -296,7 +330,7 @@ def _ends_at(s: str, at: int, here: Counter, corpus: dict) -> bool:
         return False
     if kind == "start":
         return _starts_sentence(nxt, here, corpus) and _closes_with(word, here, corpus)
-    return not _devanagari(before) and not (len(word) == 1 or "." in word) and _closes_with(word, here, corpus) and rest.lstrip()[:1] not in "—–-("
+    return not _devanagari(before) and not (len(word) == 1 or "." in word) and _closes_with(word, here, corpus) and _next(s, at + 1) not in "—–-("
 
 
 def _blocks(s: str, here: Counter, corpus: dict) -> list[tuple[int, int, bool]]:
@@ -338,7 +372,7 @@ def sentences(text: str, corpus: dict | None = None) -> list[tuple[int, int]]:
         return []
     corpus = corpus or {}
     s, where = _visible(text.replace("\r", " "))
-    here = evidence(text)
+    here = _Here(text)
     out: list[tuple[int, int]] = []
 
     def add(a: int, b: int) -> None:
@@ -353,44 +387,54 @@ def sentences(text: str, corpus: dict | None = None) -> list[tuple[int, int]]:
         if item:
             add(start, stop)
             continue
-        begin, i, stack, pairs = start, start, [], _pairs(s, start, stop)
-        while i < stop:
+        begin, resume, stack, pairs = start, start, [], _pairs(s, start, stop)
+        for m in _EVENT.finditer(s, start, stop):
+            i = m.start()
+            if i < resume:
+                continue
             c = s[i]
-            if stack and i == stack[-1]:
-                stack.pop()
+            if stack and i == stack[-1][0]:
+                opened = stack.pop()[1]
                 # A sentence that ends with its quotation: ended inside, and nothing of it goes on after the close.
-                if not stack and s[i - 1] in _ENDS and _after_quote(s, i, stop, here, corpus):
-                    i = _swallow(s, i + 1, stop)
-                    add(begin, i)
-                    begin = i
-                    continue
+                if not stack and s[i - 1] in _ENDS and _after_quote(s, i, stop, here, corpus, opened):
+                    resume = _swallow(s, i + 1, stop)
+                    add(begin, resume)
+                    begin = resume
             elif i in pairs:
-                stack.append(pairs[i])
+                stack.append((pairs[i], i))
             elif c in _ENDS and not stack:
                 j = i
                 while j + 1 < stop and s[j + 1] in _ENDS:
                     j += 1
                 # French and others put a blank before the mark; it belongs to the sentence either way.
                 if _ends_at(s, j, here, corpus):
-                    i = _swallow(s, j + 1, stop)
-                    add(begin, i)
-                    begin = i
-                    continue
-                i = j
+                    resume = _swallow(s, j + 1, stop)
+                    add(begin, resume)
+                    begin = resume
+                else:
+                    resume = j + 1
             elif c.isspace() and not stack and i > start and _thai(s[i - 1]):
-                j = i
-                while j < stop and s[j].isspace():
-                    j += 1
+                j = _BLANK.match(s, i, stop).end()
                 if j < stop and _thai(s[j]):
                     add(begin, i)
                     begin = j
-                i = j
-                continue
-            i += 1
+                resume = j
         add(begin, stop)
     return out
 
 
+class _Here:
+    """The counts of one text, made when first asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.counts = text, None
+
+    def __getitem__(self, key: tuple[str, str]) -> int:
+        if self.counts is None:
+            self.counts = evidence(self.text)
+        return self.counts[key]
+
+
 def _swallow(s: str, i: int, stop: int) -> int:
     """The end of the closing marks at ``i``."""
     while i < stop and s[i] in "”»」』》〉）)]}】〕｣’\"'":
@@ -398,30 +442,28 @@ def _swallow(s: str, i: int, stop: int) -> int:
     return i
 
 
-def _after_quote(s: str, i: int, stop: int, here: Counter, corpus: dict) -> bool:
-    """Whether the sentence ends with the quotation closed at ``i``."""
+def _after_quote(s: str, i: int, stop: int, here: Counter, corpus: dict, opened: int | None = None) -> bool:
+    """Whether the sentence ends with the quotation closed at ``i`` (opened at ``opened``)."""
     if s[i] in ")）]}】〕":
-        inner_end = s[i - 1]
-        opened = max(s.rfind(o, 0, i) for o in "(（[{【〔")
-        lead = s[:opened].rstrip()
-        if lead and lead[-1] not in _ENDS:
+        lead = _last(s, max(s.rfind(o, 0, i) for o in "(（[{【〔") if opened is None else opened)
+        if lead >= 0 and s[lead] not in _ENDS:
             return False  # a parenthesis inside a sentence
-        if inner_end == "." and _is_abbreviation(_context(s, i - 1)[0], "", here, corpus):
+        if s[i - 1] == "." and _is_abbreviation(_context(s, i - 1)[0], "", here, corpus):
             return False
     j = i + 1
-    rest = s[j:stop].lstrip()
-    if not rest:
+    k = _BLANK.match(s, j, stop).end()
+    if k >= stop:
         return True
-    c = rest[0]
-    if c in ",;:，、；：.。—–-" or c in _ENDS or c.islower():
+    c = s[k]
+    if c in ",;:,，、；：.。—–-" or c in _ENDS or c.islower():
         return False
     if c.isdigit():
-        return s[j : j + 1].isspace()
+        return k > j
     if "぀" <= c <= "ゟ":
         return False  # a particle goes on with the sentence
     if c.isupper() or c in _OPEN + "¿¡" or _CJK.match(c):
-        word = re.match(r"[“«„¿¡(]*([^\W\d_][\w’'-]*)", rest)
-        if word and word[1].isupper() and (len(word[1]) > 1 or rest[:12].isupper()):  # in capitals, case tells nothing
+        word = _QUOTED_WORD.match(s, k, stop)
+        if word and word[1].isupper() and (len(word[1]) > 1 or _TWO_WORDS.match(s, k, stop)[0].isupper()):  # in capitals, case tells nothing
             return _starts_sentence(word[1], here, corpus)
         return True
     return not _thai(c)
@@ -433,8 +475,8 @@ def _item_over(s: str, end: int, begin: int, here: Counter, corpus: dict) -> boo
     while last >= 0 and (s[last].isspace() or s[last] in "”»」』》〉）)]}】〕｣\"'“"):
         last -= 1
     if last >= 0 and s[last] in _ENDS:
-        return _ends_at(s, last, here, corpus) if last == len(s[:end].rstrip()) - 1 else _after_quote(s, last + 1, len(s), here, corpus)
-    word = re.match(r"[“«„¿¡(]*([^\W\d_][\w’'-]*)", s[begin : begin + 60].lstrip())
+        return _ends_at(s, last, here, corpus) if last == _last(s, end) else _after_quote(s, last + 1, len(s), here, corpus)
+    word = _QUOTED_WORD.match(s, _BLANK.match(s, begin).end())
     return bool(word and word[1][0].isupper() and _starts_sentence(word[1], here, corpus))
 
 

@@ -101,3 +101,21 @@ def test_long_quotations_and_stray_marks(marks):
     assert len(sentences(stray, CORPUS)) == 61
     if marks[0] != marks[1]:
         assert len(sentences(stray + f"He wrote {marks[0]}One. Two.{marks[1]} to us.", CORPUS)) == 62
+
+
+def test_no_length_changes_a_decision():
+    """Long runs of blanks, long words and long quotations are read like short ones."""
+    from citeloom.llm.sentences import sentences
+
+    def cut(text):
+        return [text[a:b] for a, b in sentences(text)]
+
+    word = "Donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterbeamtengesellschaft"
+    assert cut(f"It fell by 3{' ' * 200}and stayed. Then it rose.") == [f"It fell by 3{' ' * 200}and stayed.", "Then it rose."]
+    assert cut(f"Costs rose, approx.{' ' * 300}by half. Then they fell.") == [f"Costs rose, approx.{' ' * 300}by half.", "Then they fell."]
+    assert cut(f"Das ist die {word}. Sie endet hier.") == [f"Das ist die {word}.", "Sie endet hier."]
+    inner = "Stocks are low. Lead times are long. " * 60
+    assert len(cut(f"The auditor of Fürwunfol wrote “{inner}” about Somdaxtel. That was all.")) == 2
+    assert len(cut("a." * 100_000 + " End.")) >= 1
+    many = "He (as said) left. " * 5_000
+    assert len(cut(many)) == 5_000
