@@ -5,12 +5,22 @@ Method: a linear-chain conditional random field tags the clauses of a reply as `
 
 The field is trained here, on clauses whose tags are known by construction: replies of a bounded sample of calls
 (``TRAINING_CALLS``, by the hash of their ids) as answers, and the same replies after cutting them off, putting in
-clauses of the prompt or of a reply in another language, or sentences that decline. Its features are overlap with the
-prompt, language against the language asked for, cues of declining in the first person, and how often a clause of this
-shape ends where it does, by counts over the whole table. Every shape seen twice counts, at any size: those with at
-least ``MIN_SHARE`` of all, at most 1 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to the final
+clauses of the prompt or of a reply in another language, or sentences that decline (``_REFUSALS``). Its features are
+overlap with the prompt, language against the language asked for, how much a clause sounds like declining, and how often
+a clause of this shape ends where it does, by counts over the whole table.
+
+Declining and the languages in Latin letters are told by weights of hashed character n-grams (``Ngrams``), fitted on the
+same sample: declining by logistic regression of the refusals against clauses of answers and prompts, where the field
+learns from scores of a model that has not seen the sentence; languages by naive Bayes on texts of the sample that hold
+small words of one language. Other languages are told by their script.
+
+The corpus counts are made in one pass over all calls. Every shape seen twice counts, at any size: those with at least
+``MIN_SHARE`` of all, at most 1 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to the final
 clauses.
 
+All user messages of a call are read: a reply may copy any of them, and the last paragraph that names a language says
+which one is asked for; if none does, it is that of the instructions (the last paragraphs).
+
 Defined results: a call recorded several times is judged once, by its last row in time order (its reply does not
 differ); a null, blank, ``{}``, ``null`` or punctuation-only reply is ``empty``, as is a reply without description;
 JSON that breaks off is ``truncated``; calls without a user message have no echo and no language; null ids are kept out.
@@ -22,6 +32,7 @@ import re
 import unicodedata
 from collections import ChainMap, Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +43,8 @@ from citeloom.plans.staging import staged
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 TRAINING_CALLS, MIN_SHARE = 500, 2e-6
+#: Longest character n-gram, bits of its bucket, scale of n-gram shares, and log odds that tell two languages apart.
+LONGEST_GRAM, BUCKET_BITS, GRAM_SCALE, LANGUAGE_MARGIN = 4, 15, 8.0, 3.0
 #: Letters from which a clause that stands in the prompt counts as echoed.
 LEAST_ECHO = 8
 
@@ -56,33 +69,61 @@ _NAMED = {
     "hi": "hindi|印地语|ヒンディー語|हिन्दी|हिंदी|хинди|الهندية|ภาษาฮินดี",
     "th": "thai|thailändisch|thaï|tailandés|泰语|タイ語|тайск|التايلاندية|थाई|ภาษาไทย",
 }
-#: Cues of declining: speaking of oneself as unable or unwilling, and of the request as such.
-_DECLINE = [
-    r"\bI\W*(?:a|’|')?m (?:not able|unable|not allowed|not permitted|sorry|afraid)|\bI (?:can\s?no?t|can[’']t|cannot|won[’']t|will not|must (?:decline|refuse)|have to (?:decline|refuse)|decline|refuse|do not feel|am not able|am unable)|\bI[’'](?:d|ll) (?:rather not|have to decline)|as an? (?:ai|language model|assistant)|^(?:sorry|apologies|unfortunately)\b|falls outside what i|consult a (?:professional|qualified)|what i may answer",
-    r"\b(?:kann|darf|werde|möchte|muss) ich\b.*\b(?:nicht|ablehnen|leider)|\bich (?:kann|darf|werde|möchte|muss)\b.*\b(?:nicht|ablehnen|verweigern)|tut mir leid|darf ich leider|leider (?:kann|darf|nicht)|als (?:sprachmodell|ki)\b",
-    r"\bje (?:ne (?:peux|puis|suis|veux)|suis désolée?|refuse|dois (?:refuser|décliner)|regrette)|désolée?,|m[’']est (?:impossible|interdit)|en tant que (?:modèle|ia)",
-    r"\b(?:lo siento|no puedo|no me (?:está|es)|no estoy autorizad|no se me permite|debo (?:rechazar|declinar)|me niego|lamento)\b|como modelo de lenguaje",
-    r"(?:抱歉|对不起|很遗憾)|我(?:无法|不能|不便|拒绝|必须拒绝)|作为.{0,6}(?:语言模型|人工智能)",
-    r"申し訳|(?:お答え|作成|対応|お手伝い|お受け).{0,8}(?:できません|かねます)|ことはできません|お断り|言語モデル",
-    r"извините|\bя (?:не (?:могу|буду|имею|вправе)|вынужден|отказыва)|к сожалению, (?:я|не)|как языковая модель",
-    r"عذر|آسف|(?:لا أستطيع|لا يمكنني|لا يسعني|أعتذر|يتعذر علي|أرفض|لا يحق لي)|كنموذج لغوي",
-    r"क्षमा|माफ़|खेद|(?:मैं|मुझे).{0,60}(?:नहीं (?:कर|दे|लिख|बता|है)|मना|अनुमति नहीं|असमर्थ)",
-    r"ขออภัย|ขอโทษ|เสียใจ|(?:ฉัน|ผม|ดิฉัน).{0,40}(?:ไม่สามารถ|ไม่อาจ|ปฏิเสธ)|ไม่สามารถ(?:ช่วย|ให้|ตอบ|เขียน)",
-]
-_DECLINES = re.compile("|".join(_DECLINE), re.I)
-#: Sentences that decline, for training.
-_REFUSALS = [
-    "I’m sorry, but I can’t help with this.", "I must decline to answer.", "I am unable to write that.", "Unfortunately I cannot do this.", "Ich kann dabei leider nicht helfen.",
-    "Ich muss das ablehnen.", "Je ne peux pas répondre.", "Je suis désolé, cela m’est impossible.", "No puedo ayudar con eso.", "Lo siento, no me está permitido.", "抱歉，我无法完成。",
-    "申し訳ありませんが、お答えできません。", "Извините, я не могу ответить.", "عذرا، لا أستطيع المساعدة.", "क्षमा करें, मैं यह नहीं कर सकता।", "ขออภัย ฉันไม่สามารถช่วยได้",
-]
+#: Sentences that decline, for training, by language.
+_REFUSALS = {
+    "en": [
+        "I’m sorry, I can’t do that.", "I am sorry, but I cannot assist with this.", "I can't help you with this one.", "Sorry, I won’t answer this.", "I must refuse to write that.", "I have to decline this request.",
+        "Unfortunately I am unable to answer your request.", "I am not able to provide this record.", "As an AI I cannot judge companies.", "As a language model, I may not give such descriptions.", "I’d rather not comment on this material.",
+        "I do not feel comfortable with this request.", "This goes beyond what I am allowed to answer.", "Your request falls outside of my rules.", "Please ask a qualified adviser instead; I won’t describe this.", "I will not process sensitive material.",
+        "My guidelines do not permit me to help.", "Apologies, but I’m not allowed to do so.", "I decline to write it.", "No, I cannot write the description you ask for.", "I'm afraid I can't comply.", "That is nothing I may assess.",
+    ],
+    "de": [
+        "Es tut mir leid, das kann ich nicht tun.", "Ich kann dabei leider nicht helfen.", "Ich muss das ablehnen.", "Das darf ich nicht beantworten.", "Leider kann ich diese Anfrage nicht bearbeiten.", "Ich darf dazu keine Beschreibung geben.",
+        "Als Sprachmodell darf ich das nicht bewerten.", "Ich möchte darauf nicht antworten.", "Bitte wenden Sie sich an eine Fachperson, ich kann das nicht schreiben.", "Diese Bitte muss ich leider zurückweisen.",
+    ],
+    "fr": [
+        "Je suis désolé, je ne peux pas faire cela.", "Je ne peux pas répondre à cette question.", "Désolé, cela m’est impossible.", "Je dois refuser cette demande.", "Il ne m’est pas permis de rédiger ce texte.", "Malheureusement je ne suis pas en mesure d’aider.",
+        "En tant que modèle de langage, je ne peux pas évaluer cela.", "Je préfère ne pas répondre.", "Je regrette de ne pas pouvoir vous aider avec cette demande.", "Il m’est interdit de décrire cela.",
+    ],
+    "es": [
+        "Lo siento, no puedo hacer eso.", "No puedo ayudar con esta solicitud.", "Debo rechazar esta petición.", "No me está permitido responder.", "Lamentablemente no soy capaz de escribir eso.", "Como modelo de lenguaje no puedo evaluarlo.",
+        "Prefiero no responder a esto.", "Me niego a redactar ese texto.", "Lamento no poder ayudarle.", "No estoy autorizado a describir esto.",
+    ],
+    "zh": ["抱歉，我无法完成。", "对不起，我不能回答这个请求。", "很抱歉，我无法提供帮助。", "我必须拒绝这个请求。", "作为语言模型，我不能评估这些内容。", "很遗憾，我不便撰写该内容。", "我不被允许描述这一点。"],
+    "ja": ["申し訳ありませんが、お答えできません。", "申し訳ございません、この依頼には対応できません。", "すみませんが、作成することはできません。", "お手伝いできません。", "ご依頼はお断りします。", "言語モデルとして評価することはできません。", "その記述をお書きすることはできかねます。"],
+    "ru": ["Извините, я не могу ответить.", "К сожалению, я не могу помочь с этим.", "Я вынужден отказаться.", "Простите, я не могу этого сделать.", "Как языковая модель я не могу это оценивать.", "Я не вправе описывать это.", "Мне нельзя отвечать на этот запрос."],
+    "ar": ["عذرا، لا أستطيع المساعدة.", "آسف، لا يمكنني الإجابة على هذا الطلب.", "أعتذر، لا يمكنني تقديم هذا الوصف.", "يجب أن أرفض هذا الطلب.", "بصفتي نموذجا لغويا لا يمكنني تقييم ذلك.", "لا يسمح لي بكتابة ذلك.", "للأسف لا أستطيع كتابة هذا."],
+    "hi": ["क्षमा करें, मैं यह नहीं कर सकता।", "माफ़ कीजिए, मैं इस अनुरोध में मदद नहीं कर सकता।", "मुझे खेद है, मैं इसका उत्तर नहीं दे सकता।", "मुझे यह लिखने की अनुमति नहीं है।", "मैं इस अनुरोध को अस्वीकार करता हूँ।", "भाषा मॉडल के रूप में मैं इसका मूल्यांकन नहीं कर सकता।"],
+    "th": ["ขออภัย ฉันไม่สามารถช่วยได้", "ขอโทษ ฉันไม่สามารถตอบคำขอนี้ได้", "เสียใจด้วย ฉันเขียนคำอธิบายนี้ไม่ได้", "ฉันต้องปฏิเสธคำขอนี้", "ในฐานะแบบจำลองภาษา ฉันไม่สามารถประเมินได้", "ฉันไม่ได้รับอนุญาตให้ตอบ"],
+}
+#: Ordinary sentences by language, for training, so that no language alone sounds like declining.
+_ORDINARY = {
+    "en": ["The company sells parts to many customers.", "I can lose an order if the price of steel rises.", "We were not able to deliver on time last year.", "Sales fell by a tenth in the second quarter.", "The request for a permit was not granted."],
+    "de": ["Das Unternehmen verkauft Teile an viele Kunden.", "Wenn der Preis für Stahl steigt, kann der Gewinn sinken.", "Der Umsatz ist im zweiten Quartal leider nicht gestiegen.", "Die Anfrage der Behörde wurde beantwortet.", "Wir können nicht ausschließen, dass Lieferungen ausfallen."],
+    "fr": ["La société vend des pièces à de nombreux clients.", "Si le prix de l’acier monte, la marge peut baisser.", "La demande d’autorisation n’a pas été acceptée.", "Les ventes ont reculé au deuxième trimestre.", "Nous ne pouvons pas exclure un retard de livraison."],
+    "es": ["La empresa vende piezas a muchos clientes.", "Si sube el precio del acero, puede bajar el margen.", "La solicitud del permiso no fue aceptada.", "Las ventas cayeron en el segundo trimestre.", "No podemos descartar retrasos en las entregas."],
+    "zh": ["公司向许多客户销售零件。", "如果钢材价格上涨，利润可能下降。", "第二季度的销售额下降了一成。", "许可申请没有获得批准。", "我们无法排除交货延误的可能。"],
+    "ja": ["会社は多くの顧客に部品を販売している。", "鋼材の価格が上がれば利益が減るおそれがある。", "第二四半期の売上は一割減少した。", "許可の申請は認められなかった。", "納期の遅れを避けることができない場合がある。"],
+    "ru": ["Компания продаёт детали многим клиентам.", "Если цена стали вырастет, прибыль может снизиться.", "Во втором квартале продажи упали на десятую часть.", "Запрос на разрешение не был одобрен.", "Мы не можем исключить задержку поставок."],
+    "ar": ["تبيع الشركة القطع لكثير من العملاء.", "إذا ارتفع سعر الفولاذ فقد تنخفض الأرباح.", "انخفضت المبيعات في الربع الثاني من العام.", "لم تتم الموافقة على طلب التصريح.", "لا يمكن للشركة أن تستبعد تأخر التسليم."],
+    "hi": ["कंपनी कई ग्राहकों को पुर्ज़े बेचती है।", "यदि इस्पात का दाम बढ़ा तो लाभ घट सकता है।", "दूसरी तिमाही में बिक्री दस प्रतिशत घटी।", "परमिट का अनुरोध स्वीकार नहीं हुआ।", "कंपनी देरी से इनकार नहीं कर सकती।", "क्या वह समय पर काम पूरा कर पाएगी?"],
+    "th": ["บริษัทขายชิ้นส่วนให้ลูกค้าจำนวนมาก", "หากราคาเหล็กสูงขึ้น กำไรอาจลดลง", "ยอดขายในไตรมาสที่สองลดลงหนึ่งในสิบ", "คำขอใบอนุญาตไม่ได้รับอนุมัติ", "โครงการจะล่าช้าและบริษัทต้องรับภาระเอง"],
+}
 _STOPS = ".!?。！？।॥؟｡"
 _CLOSERS = "”»」』》）)]\"'’“"
 _CLAUSE = re.compile(r"(?<=[!?。！？।॥؟])(?=[^”»」』)\]\"’])|(?<=[.!?؟।])(?<!\b\w\.)\s+(?=\W*[^\W\da-zа-яß-ÿ])|\n+")
 
 
-def language(text: str) -> str | None:
-    """The language of a text by script and small words, or None where it shows too little."""
+_TONGUES = list(_SMALL)
+_SMALL_SETS = {k: frozenset(v) for k, v in _SMALL.items()}
+_LETTERS = re.compile(r"[^\W\d_]+")
+_OTHER_SCRIPT = re.compile("[Ѐ-ӿ؀-ۿऀ-ॿก-๛぀-ヿ㐀-䶿一-鿿]")
+
+
+def _by_script(text: str) -> str | None:
+    """The language told by the script of a text: ``latin`` where no other script stands out, None without letters."""
+    if not _OTHER_SCRIPT.search(text):
+        return "latin" if _LETTERS.search(text) else None
     letters = sum(c.isalpha() for c in text)
     if not letters:
         return None
@@ -91,25 +132,142 @@ def language(text: str) -> str | None:
     if kana >= 2 and kana + counts["zh"] >= 0.15 * letters and kana >= 0.15 * (kana + counts["zh"]):
         return "ja"
     best = max(counts, key=counts.get)
-    if counts[best] >= 0.2 * letters or counts[best] >= 8 and counts[best] >= 0.12 * letters:
-        return best
-    words = re.findall(r"[^\W\d_]+", text.casefold())
+    return best if counts[best] >= 0.2 * letters or counts[best] >= 8 and counts[best] >= 0.12 * letters else "latin"
+
+
+def _by_small_words(text: str) -> str | None:
+    words = _LETTERS.findall(text.casefold())
     scores = {lang: sum(w in small for w in words) for lang, small in _SMALL_SETS.items()}
     top = sorted(scores.values())
-    best = max(scores, key=scores.get)
-    return best if top[-1] >= 2 and top[-1] > top[-2] else None
+    return max(scores, key=scores.get) if top[-1] >= 2 and top[-1] > top[-2] else None
 
 
-_SMALL_SETS = {k: set(v) for k, v in _SMALL.items()}
+def language(text: str, ngrams: "Ngrams | None" = None) -> str | None:
+    """The language of a text by script and, in Latin letters, by ``ngrams`` (without them by small words), or None where
+    it shows too little."""
+    found = _by_script(text)
+    return found if found != "latin" else _by_small_words(text) if ngrams is None else ngrams.languages([text])[0]
 
 
-def wanted_language(user: str) -> str | None:
-    """The language the user message asks for; if it names none, the language of its instructions (its last part)."""
-    if not user.strip():
-        return None
-    last = user.rstrip().rpartition("\n\n")[2]
-    named = [lang for lang, names in _NAMED.items() if re.search(names, last, re.I)]
-    return named[0] if len(named) == 1 else language(last)
+def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams of the letters of each text, and the text of each."""
+    plain = [" " + " ".join(_LETTERS.findall(t.casefold())) + " " for t in texts]
+    codes = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    of = np.repeat(np.arange(len(texts)), [len(t) for t in plain])
+    at, owner, h = [], [], np.zeros(len(codes), np.uint64)
+    for n in range(1, LONGEST_GRAM + 1):
+        h = h[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(n)
+        if n > 1:
+            same = of[n - 1 :] == of[: len(of) - n + 1]
+            mixed = h[same] ^ (h[same] >> np.uint64(31))
+            at.append(((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+            owner.append(of[: len(of) - n + 1][same])
+    return np.concatenate(at), np.concatenate(owner)
+
+
+class Ngrams:
+    """Weights of hashed character n-grams: how much a text sounds like declining, and its language in Latin letters."""
+
+    def __init__(self, declines: np.ndarray, bias: float, tongues: np.ndarray):
+        self.known: dict[str, str | None] = {}  # languages of instructions, which repeat
+        self.table, self.bias, self.tongues = np.column_stack((declines, tongues)), bias, tongues
+
+    @staticmethod
+    def fit_declines(refusals: list[str], others: list[str], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+        """Logistic regression on the shares of n-grams, both kinds weighing the same."""
+        texts = refusals + others
+        at, of = _hashed(texts)
+        size = np.maximum(1, np.bincount(of, minlength=len(texts)))
+        y = np.arange(len(texts)) < len(refusals)
+        share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
+        x = GRAM_SCALE / size[of]
+        weights, bias = np.zeros(1 << BUCKET_BITS), 0.0
+        seen, seen_bias = np.full(1 << BUCKET_BITS, 1e-8), 1e-8
+        for _ in range(rounds):
+            score = np.bincount(of, weights[at] * x, len(texts)) + bias
+            slope = share * (y - 1 / (1 + np.exp(-score)))
+            grad = np.bincount(at, slope[of] * x, 1 << BUCKET_BITS) - ridge * weights
+            seen += grad**2
+            seen_bias += slope.sum() ** 2
+            weights += rate * grad / np.sqrt(seen)
+            bias += rate * slope.sum() / np.sqrt(seen_bias)
+        return weights, bias
+
+    @staticmethod
+    def fit(texts: list[str], clauses_: list[str]) -> "Ngrams":
+        """``texts`` of any language; ``clauses_`` that decline nothing."""
+        rows = np.zeros((1 << BUCKET_BITS, len(_SMALL)))
+        labelled = [(t, lang) for t in texts if _by_script(t) == "latin" and (lang := _by_small_words(t))]
+        labelled += [(" ".join(words), lang) for lang, words in _SMALL.items()]
+        at, of = _hashed([t for t, _ in labelled])
+        kinds = np.array([list(_SMALL).index(lang) for _, lang in labelled])
+        np.add.at(rows, (at, kinds[of]), 1)
+        rows = np.log((rows + 0.1) / (rows + 0.1).sum(0))
+        return Ngrams(*_single(Ngrams.fit_declines(_all_refusals(), clauses_)), rows.astype(np.float32))
+
+    def sums(self, texts: list[str]) -> np.ndarray:
+        """For each text the sum of its declining weights, the log likelihood of each language, and its n-grams."""
+        at, of = _hashed(texts)
+        found = self.table[at]
+        return np.stack([*(np.bincount(of, found[:, k], len(texts)) for k in range(found.shape[1])), np.bincount(of, minlength=len(texts))], 1)
+
+    def declining(self, sums: np.ndarray) -> np.ndarray:
+        """Log odds that texts decline, within -4 and 4."""
+        return np.clip(np.where(sums[:, -1] > 0, sums[:, 0] * GRAM_SCALE / np.maximum(1, sums[:, -1]) + self.bias, -4), -4, 4)
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        return self.declining(self.sums(texts))
+
+    @staticmethod
+    def tongue(sums: np.ndarray) -> str | None:
+        """The language of a text in Latin letters; None where two are too close."""
+        second, first = np.sort(sums[1:-1])[-2:]
+        return _TONGUES[int(sums[1:-1].argmax())] if first - second >= LANGUAGE_MARGIN else None
+
+    def languages(self, texts: list[str]) -> list[str | None]:
+        return [self.tongue(row) for row in self.sums(texts)]
+
+
+def _all_refusals() -> list[str]:
+    return [t for texts in _REFUSALS.values() for t in texts]
+
+
+def _paragraphs(message: str) -> list[str]:
+    return [p for p in message.split("\n\n") if p.strip()]
+
+
+def _printed(users: list[str]) -> list[str]:
+    """The texts that user messages give: all paragraphs but the last, or the whole of a single one."""
+    return [p for u in users for parts in [_paragraphs(u)] for p in parts[: max(1, len(parts) - 1)]]
+
+
+def wanted_language(users: list[str] | str, ngrams: Ngrams | None = None) -> str | None:
+    """The language the user messages ask for, by the last paragraph that names one; if none does, that of the
+    instructions, the last paragraphs. The first paragraph of a longer message is the text it gives."""
+    messages = [parts for u in ([users] if isinstance(users, str) else users) if (parts := _paragraphs(u))]
+    for parts in reversed(messages):
+        for paragraph in reversed(parts[1:] or parts):
+            if named := _named(paragraph):
+                return named
+    known = {} if ngrams is None else ngrams.known
+    for parts in messages:
+        if parts[-1] not in known:
+            if len(known) > 10_000:
+                known.clear()
+            known[parts[-1]] = language(parts[-1], ngrams)
+        if known[parts[-1]]:
+            return known[parts[-1]]
+    return None
+
+
+@lru_cache(10_000)
+def _named(paragraph: str) -> str | None:
+    """The one language that a paragraph names."""
+    named = [lang for lang, names in _NAMED_RE.items() if names.search(paragraph)]
+    return named[0] if len(named) == 1 else None
+
+
+_NAMED_RE = {lang: re.compile(names, re.I) for lang, names in _NAMED.items()}
 
 
 def unwrap(reply: str | None, kind: str) -> tuple[str, bool]:
@@ -151,9 +309,21 @@ def clauses(text: str) -> list[str]:
     return [c for part in _CLAUSE.split(text) if (c := part.strip())]
 
 
+class _Kept(dict):
+    """Letters, digits and combining marks as they are, anything else as nothing."""
+
+    def __missing__(self, code: int) -> int | None:
+        c = chr(code)
+        self[code] = code if c.isalnum() or unicodedata.category(c) in ("Mn", "Mc") else None
+        return self[code]
+
+
+_KEPT = _Kept()
+
+
 def _bare(text: str) -> str:
     """Letters and digits only, in one case and form: what is left for the comparison with the prompt."""
-    return "".join(c for c in unicodedata.normalize("NFKC", text).casefold() if c.isalnum() or unicodedata.category(c) in ("Mn", "Mc"))
+    return (text if text.isascii() else unicodedata.normalize("NFKC", text)).casefold().translate(_KEPT)
 
 
 #: Capitalised words of five letters and more; shorter ones are mostly titles, units and abbreviations.
@@ -207,36 +377,42 @@ def _left_open(clause: str) -> bool:
     return n("«") > n("»") or n("(") > n(")") or n("「") > n("」") or (german > n("“") if german else n("“") > n("”"))
 
 
-def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict) -> np.ndarray:
-    """One row per clause: bias, echoed, language differs, language unknown, declines, last without stop, last with an
-    ellipsis or an open quotation, and two log odds that a clause of this shape ends here."""
+def _ending(clause: str, counts: dict) -> list[float]:
+    """Of a final clause: ends without stop, breaks off with an ellipsis or an open quotation, and two log odds that a
+    clause of this shape ends here."""
+    core = clause.rstrip().rstrip(_CLOSERS)
+    dots = core.endswith(("...", "…")) or _left_open(clause)
+    tokens = shape(clause) if dots or core[-1:] not in _STOPS else []
+    if not tokens:
+        return [0.0, 0.0, 0.0, 0.0]
+    k, tail, head, both = _ends(tokens)
+    longer = " ".join(tokens[-2 * k :])
+    if len(tokens) >= 2 * k and counts.get(("e", longer), 0) - 1 + counts.get(("m", longer), 0) >= 3:
+        tail = longer  # known in its longer form
+    # Less one: this clause itself was counted as an end.
+    e, m = max(0, counts.get(("e", tail), 0) - 1), counts.get(("m", tail), 0)
+    f, g = max(0, counts.get(("f", both), 0) - 1), counts.get(("g", head), 0)
+    odds = [math.log((e + 0.2) / (m + 0.2)), math.log((f + 0.2) / (0.005 * g + 0.2))]
+    return [1.0, float(dots), *(max(-4.0, min(4.0, o)) for o in odds)]
+
+
+def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict, ngrams: Ngrams, bares: list[str] | None = None) -> np.ndarray:
+    """One row per clause: bias, echoed, language differs, language unknown, sounds like declining, and of the last one
+    ``_ending``."""
     out = np.zeros((len(parts), 9))
-    whole = language(" ".join(parts))
-    for i, clause in enumerate(parts):
-        last = i == len(parts) - 1
-        bare = _bare(clause)
-        own = language(clause) or whole
+    sums = ngrams.sums(parts)
+    declines, whole = ngrams.declining(sums), _by_script(" ".join(parts))
+    whole = ngrams.tongue(sums.sum(axis=0)) if whole == "latin" else whole
+    tongues = [ngrams.tongue(row) if (script := _by_script(part)) == "latin" else script for part, row in zip(parts, sums)]
+    for i, (clause, bare) in enumerate(zip(parts, bares or map(_bare, parts))):
+        own = tongues[i] or whole
         row = out[i]
         row[0] = 1
         row[1] = len(bare) >= LEAST_ECHO and bare in user_bare
         row[2] = bool(wanted and own and own != wanted)
         row[3] = own is None
-        row[4] = bool(_DECLINES.search(clause))
-        tokens = shape(clause)
-        core = clause.rstrip().rstrip(_CLOSERS)
-        dots = core.endswith(("...", "…"))
-        dots = dots or last and _left_open(clause)
-        if last and (dots or core[-1:] not in _STOPS) and tokens:
-            k, tail, head, both = _ends(tokens)
-            longer = " ".join(tokens[-2 * k :])
-            if len(tokens) >= 2 * k and counts.get(("e", longer), 0) - 1 + counts.get(("m", longer), 0) >= 3:
-                tail = longer  # known in its longer form
-            # Less one: this clause itself was counted as an end.
-            e, m = max(0, counts.get(("e", tail), 0) - 1), counts.get(("m", tail), 0)
-            f, g = max(0, counts.get(("f", both), 0) - 1), counts.get(("g", head), 0)
-            row[5], row[6] = 1, dots
-            row[7] = max(-4.0, min(4.0, math.log((e + 0.2) / (m + 0.2))))
-            row[8] = max(-4.0, min(4.0, math.log((f + 0.2) / (0.005 * g + 0.2))))
+        row[4] = declines[i]
+    out[-1, 5:] = _ending(parts[-1], counts)
     return out
 
 
@@ -258,21 +434,27 @@ class ChainField:
         steps = np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:])
         emit, move = np.zeros((width, tags)), np.zeros((tags, tags))
         s = [np.zeros_like(emit), np.zeros_like(move)]
+        flat = x.reshape(-1, width)
         for _ in range(rounds):
-            unary = x @ emit
-            alpha = np.zeros_like(unary)
-            alpha[:, 0] = unary[:, 0]
+            # Forward and backward in scaled probabilities: each step is one small matrix product.
+            unary = (flat @ emit).reshape(len(data), longest, tags)
+            own, step = np.exp(unary - unary.max(axis=2, keepdims=True)), np.exp(move - move.max())
+            alpha, scale = np.zeros_like(own), np.ones((len(data), longest, 1))
+            scale[:, 0] = own[:, 0].sum(axis=1, keepdims=True)
+            alpha[:, 0] = own[:, 0] / scale[:, 0]
             for t in range(1, longest):
-                nxt = np.logaddexp.reduce(alpha[:, t - 1, :, None] + move, axis=1) + unary[:, t]
-                alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
-            beta = np.zeros_like(unary)
+                nxt = alpha[:, t - 1] @ step * own[:, t]
+                scale[:, t] = nxt.sum(axis=1, keepdims=True)
+                alpha[:, t] = nxt / scale[:, t]
+            beta = np.ones_like(own)
+            ahead = own / scale
             for t in range(longest - 2, -1, -1):
-                nxt = np.logaddexp.reduce(move + (unary[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-                beta[:, t] = np.where(mask[:, t + 1, None], nxt, 0)
-            z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-            p = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
-            pair = np.exp(alpha[:, :-1, :, None] + move + (unary[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
-            for k, (w, grad) in enumerate(((emit, np.einsum("ntw,ntk->wk", x, hot - p)), (move, steps - pair.sum((0, 1))))):
+                beta[:, t] = np.where(mask[:, t + 1, None], (ahead[:, t + 1] * beta[:, t + 1]) @ step.T, 1)
+            p = alpha * beta
+            p = p / p.sum(axis=2, keepdims=True) * mask[..., None]
+            later = ahead[:, 1:] * beta[:, 1:] * mask[:, 1:, None]
+            pair = np.einsum("nti,ntj->ij", alpha[:, :-1], later) * step
+            for k, (w, grad) in enumerate(((emit, flat.T @ (hot - p).reshape(-1, tags)), (move, steps - pair))):
                 grad = grad / len(data) - ridge * w
                 s[k] += grad**2
                 w += rate * grad / np.sqrt(s[k] + 1e-8)
@@ -291,24 +473,52 @@ class ChainField:
         return path[::-1]
 
 
-def training_data(replies: list[tuple[str, str]], counts: dict) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Tagged clause rows of (user message, judged text) pairs and of their broken versions."""
+def _clean(replies: list[tuple[list[str], str]], ngrams: Ngrams | None) -> list[tuple[list[str], str, list[str]]]:
+    """(user messages, language asked for, clauses) of the sample's sound answers."""
+    out = []
+    for users, text in replies:
+        parts, want = clauses(text), wanted_language(users, ngrams)
+        if parts and want and text.rstrip()[-1] in _STOPS and language(text, ngrams) == want and _bare(parts[0]) not in "\n".join(map(_bare, users)):
+            out.append((users, want, parts))
+    return out
+
+
+def fit_ngrams(replies: list[tuple[list[str], str]]) -> tuple[Ngrams, list[tuple[list[str], Ngrams]]]:
+    """The n-gram weights, fitted on the sample's texts, and each half of the refusals with weights fitted on the other.
+
+    The clauses of all replies count as declining nothing at first; those that sound like it all the same, which are the
+    few refusals of the sample, are left out of the second fit.
+    """
+    texts = sorted({p for users, text in replies for p in [*(q for u in users for q in _paragraphs(u)), text]})
+    printed = {c for users, _ in replies for p in _printed(users) for c in clauses(p)} | {c for some in _ORDINARY.values() for c in some}
+    answers = sorted({c for _, text in replies for c in clauses(text)} - printed)
+    first = Ngrams.fit(texts, sorted(printed) + answers)
+    sound = sorted(printed) + [c for c, x in zip(answers, first.scores(answers)) if x < 0] if answers else sorted(printed)
+    refusals = _all_refusals()
+    halves = [(refusals[k::2], Ngrams(*_single(Ngrams.fit_declines(refusals[1 - k :: 2], sound)), first.tongues)) for k in (0, 1)]
+    return Ngrams(*_single(Ngrams.fit_declines(refusals, sound)), first.tongues), halves
+
+
+def _single(weights: tuple[np.ndarray, float]) -> tuple[np.ndarray, float]:
+    return weights[0].astype(np.float32), weights[1]
+
+
+def training_data(replies: list[tuple[list[str], str]], counts: dict, ngrams: Ngrams, halves: list[tuple[list[str], Ngrams]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Tagged clause rows of (user messages, judged text) pairs and of their broken versions. ``halves`` are refusals,
+    each with the weights of a model that was fitted without them."""
     rnd = np.random.default_rng(11)
-    clean = []
-    for user, text in replies:
-        parts, want = clauses(text), wanted_language(user)
-        if parts and want and text.rstrip()[-1] in _STOPS and language(text) == want and not _DECLINES.search(text) and _bare(parts[0]) not in _bare(user):
-            clean.append((user, _bare(user), want, parts))
+    clean = [(u, w, p) for u, w, p in _clean(replies, ngrams) if ngrams.scores([" ".join(p)])[0] < 0]
     by_language: dict[str, list[list[str]]] = {}
-    for _, _, want, parts in clean:
+    for _, want, parts in clean:
         by_language.setdefault(want, []).append(parts)
     data = []
 
-    def add(parts, tags, bare, want):
+    def add(parts, tags, bare, want, model=ngrams):
         if parts:
-            data.append((features(parts, bare, want, counts), np.array([TAGS.index(t) for t in tags])))
+            data.append((features(parts, bare, want, counts, model), np.array([TAGS.index(t) for t in tags])))
 
-    for n, (user, bare, want, parts) in enumerate(clean):
+    for n, (users, want, parts) in enumerate(clean):
+        bare = "\n".join(map(_bare, users))
         add(parts, ["answer"] * len(parts), bare, want)
         bald = [*parts[:-1], parts[-1].rstrip(_STOPS)]
         add(bald, ["answer"] * len(bald), bare, want)
@@ -317,20 +527,23 @@ def training_data(replies: list[tuple[str, str]], counts: dict) -> list[tuple[np
         if cut.rstrip(_CLOSERS)[-1:] not in _STOPS:
             cut += "..." if n % 5 == 0 else ""
             add([*parts[:-1], cut], ["answer"] * (len(parts) - 1) + ["unfinished"], bare, want)
-        refuse = [_REFUSALS[int(k)] for k in rnd.integers(0, len(_REFUSALS), 1 + n % 2)]
-        add(refuse, ["refusal"] * len(refuse), bare, want)
-        printed = clauses("\n\n".join(user.split("\n\n")[:-1]) or user)
+        unseen, model = halves[n % len(halves)]
+        if n % 4 < 3:  # mostly in the language asked for, as it is not the language that makes a refusal
+            unseen = [t for t in unseen if t in _REFUSALS.get(want, ())] or unseen
+        refuse = [unseen[int(k)] for k in rnd.integers(0, len(unseen), 1 + n // 2 % 2)]
+        add(refuse, ["refusal"] * len(refuse), bare, want, model)
+        printed = [c for p in _printed(users) for c in clauses(p)]
         add(printed, ["echo"] * len(printed), bare, want)
         if printed and n % 3 == 0:
             add([*parts, printed[-1]], ["answer"] * len(parts) + ["echo"], bare, want)
-        others = [p for lang, texts in by_language.items() if lang != want for p in texts[:50]]
+        others = [p for lang, texts in by_language.items() if lang != want for p in texts]
         if others:
             other = others[int(rnd.integers(0, len(others)))]
             add(other, ["foreign"] * len(other), bare, want)
     return data
 
 
-def defect(kind: str, user: str, reply: str | None, field: ChainField | None, counts: dict) -> str | None:
+def defect(kind: str, users: list[str], reply: str | None, model: "tuple[ChainField, Ngrams] | None", counts: dict) -> str | None:
     """The defect of one call, or None."""
     text, broken = unwrap(reply, kind)
     if broken:
@@ -340,21 +553,23 @@ def defect(kind: str, user: str, reply: str | None, field: ChainField | None, co
         return "empty"
     if kind == "intent" and text[:1] == "{":
         return None
-    bare = _bare(user)
+    bare = "\n".join(map(_bare, users))
     mine = _bare(text)
-    if mine in bare or mine and mine == bare:
+    if mine in bare or mine and mine == bare.replace("\n", ""):
         return "copy"
     parts = clauses(text)
-    if not parts or field is None:
+    if not parts or model is None:
         return None
+    field, ngrams = model
+    bares = list(map(_bare, parts))
     share: Counter = Counter()
-    for part, tag in zip(parts, field.tag(features(parts, bare, None if kind == "intent" else wanted_language(user), counts))):
-        share[TAGS[tag]] += max(1, len(_bare(part)))
+    for own, tag in zip(bares, field.tag(features(parts, bare, None if kind == "intent" else wanted_language(users, ngrams), counts, ngrams, bares))):
+        share[TAGS[tag]] += max(1, len(own))
         final = TAGS[tag]
     total = sum(share.values())
     if share["refusal"] >= 0.5 * total:
         return "refusal"
-    if share["echo"] >= 0.999 * total and all(_bare(p) in bare for p in parts):
+    if share["echo"] >= 0.999 * total and all(b in bare for b in bares):
         return "copy"  # and nothing of its own
     if final == "unfinished":
         return "truncated"
@@ -364,13 +579,13 @@ def defect(kind: str, user: str, reply: str | None, field: ChainField | None, co
 
 
 def judged_calls(calls: DataFrame) -> DataFrame:
-    """One row per call: ``call_id, kind, user, response_content``."""
-    first = F.coalesce(F.element_at(F.filter("messages", lambda m: m["role"] == "user"), 1)["content"], F.lit(""))
+    """One row per call: ``call_id, kind, users, response_content``."""
+    users = F.transform(F.filter("messages", lambda m: m["role"] == "user"), lambda m: F.coalesce(m["content"], F.lit("")))
     return (
         calls.where(F.col("call_id").isNotNull() & (F.size(F.coalesce("messages", F.array())) > 0))
-        .select("call_id", F.split_part("call_id", F.lit("-"), F.lit(1)).alias("kind"), first.alias("user"), "response_content", "created_at")
+        .select("call_id", F.split_part("call_id", F.lit("-"), F.lit(1)).alias("kind"), users.alias("users"), "response_content", "created_at")
         .groupBy("call_id")
-        .agg(F.max_by(F.struct("kind", "user", "response_content"), F.struct("created_at", F.xxhash64("response_content"))).alias("r"))
+        .agg(F.max_by(F.struct("kind", "users", "response_content"), F.struct("created_at", F.xxhash64("response_content"))).alias("r"))
         .select("call_id", "r.*")
     )
 
@@ -390,16 +605,18 @@ def corpus_counts(judged: DataFrame) -> tuple[dict[tuple[str, str], int], DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total: Counter = Counter()
-            for kind, user, reply in zip(*(batch.column(c).to_pylist() for c in ("kind", "user", "response_content"))):
+            for kind, users, reply in zip(*(batch.column(c).to_pylist() for c in ("kind", "users", "response_content"))):
                 if kind != "intent":
                     text, broken = unwrap(reply, kind)
                     total.update(evidence(text, not broken))
-                    total.update(evidence(user.partition("\n\n")[0], True))
+                    for printed in _printed(users):
+                        total.update(evidence(printed, True))
             if total:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total]), pa.array([w for _, w in total]), pa.array(total.values(), pa.int64())], names=["kind", "word", "n"])
 
-    counts = judged.select("kind", "user", "response_content").mapInArrow(run, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    counts = staged(counts.where("n >= 2"), "shapes") if MIN_SHARE * (total := counts.agg(F.sum("n")).first()[0] or 0) > 2 else counts
+    counts = judged.select("kind", "users", "response_content").mapInArrow(run, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
+    counts = staged(counts.where("n >= 2"), "shapes")
+    total = counts.agg(F.sum("n")).first()[0] or 0
     least = max(2.0, MIN_SHARE * total)
     rare = counts.where((F.col("n") >= 2) & (F.col("n") < least)) if least > 2 else None
     return {(r[0], r[1]): r[2] for r in counts.where(F.col("n") >= least).collect()}, rare
@@ -413,7 +630,8 @@ def _with_rare(judged: DataFrame, rare: DataFrame) -> DataFrame:
             found = []
             for call, kind, reply in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "response_content"))):
                 asked = _Asked()
-                features(clauses(unwrap(reply, kind)[0] or "")[-1:], "", None, asked)
+                for final in clauses(unwrap(reply, kind)[0] or "")[-1:]:
+                    _ending(final, asked)
                 found += [(call, k, w) for k, w in asked]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.string()) for i in range(3)], names=["call_id", "kind", "word"])
 
@@ -422,17 +640,20 @@ def _with_rare(judged: DataFrame, rare: DataFrame) -> DataFrame:
     return judged.join(counts, "call_id", "left")
 
 
-def train(judged: DataFrame, counts: dict, bound: int = TRAINING_CALLS, rare: DataFrame | None = None) -> ChainField | None:
-    """The field, fitted on at most ``bound`` calls; None where they hold no clean answer."""
-    rows = judged.where("kind <> 'intent' AND response_content IS NOT NULL").orderBy(F.xxhash64("call_id"), "call_id").limit(bound).select("kind", "user", "response_content").collect()
-    pairs = [(r["user"], text) for r in rows for text, broken in [unwrap(r["response_content"], r["kind"])] if text and not broken]
+def train(judged: DataFrame, counts: dict, bound: int = TRAINING_CALLS, rare: DataFrame | None = None) -> tuple[ChainField, Ngrams] | None:
+    """The field and its n-gram weights, fitted on at most ``bound`` calls; None where they hold no clean answer."""
+    rows = judged.where("kind <> 'intent' AND response_content IS NOT NULL").orderBy(F.xxhash64("call_id"), "call_id").limit(bound).select("kind", "users", "response_content").collect()
+    pairs = [(list(r["users"]), text) for r in rows for text, broken in [unwrap(r["response_content"], r["kind"])] if text and not broken]
+    if not pairs:
+        return None
+    ngrams, halves = fit_ngrams(pairs)
     if rare is not None:
-        training_data(pairs, asked := _Asked())
+        training_data(pairs, asked := _Asked(), ngrams, halves)
         if asked:
             own = judged.sparkSession.createDataFrame(sorted(asked), "kind string, word string")
             counts = ChainMap({(r["kind"], r["word"]): r["n"] for r in own.join(rare, ["kind", "word"]).collect()}, counts)
-    data = training_data(pairs, counts)
-    return ChainField.fit(data, len(TAGS)) if data else None
+    data = training_data(pairs, counts, ngrams, halves)
+    return (ChainField.fit(data, len(TAGS)), ngrams) if data else None
 
 
 def defects(calls: DataFrame) -> DataFrame:
@@ -443,12 +664,12 @@ def defects(calls: DataFrame) -> DataFrame:
     judged = judged.withColumn("rare", F.lit(None).cast("array<struct<kind:string,word:string,n:bigint>>")) if rare is None else _with_rare(judged, rare)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field, known = shared.value
+        model, known = shared.value
         for batch in batches:
             ids, found = [], []
-            for call, kind, user, reply, own in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "user", "response_content", "rare"))):
+            for call, kind, users, reply, own in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "users", "response_content", "rare"))):
                 extra = {(r["kind"], r["word"]): r["n"] for r in own or ()}
-                if d := defect(kind, user, reply, field, ChainMap(extra, known) if extra else known):
+                if d := defect(kind, users, reply, model, ChainMap(extra, known) if extra else known):
                     ids.append(call), found.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(found, pa.string())], names=["call_id", "defect"])
 

@@ -57,6 +57,30 @@ def test_defects(found):
     assert {k: v for k, v in found.items() if k != "nomsg"} == want
 
 
+def test_every_user_message_is_read(spark):
+    """A later user message may be copied, and may ask for another language."""
+    rows = [row(f"ok{i}", answer(f"{PRINTED[1 + i % 4]} {PRINTED[1 + (i + 1) % 4]}")) for i in range(40)]
+    first, draft = "Heading: X\n" + PRINTED[0] + ASK, ("assistant", PRINTED[1])
+    late = "The draft is too short. Write the whole description again, please."
+    rows += [
+        ("repair-copy", [("system", "s"), ("user", first), draft, ("user", late)], answer(late.upper()), None, None),
+        ("repair-ask", [("user", first), draft, ("user", "Heading: Y\n\nAnswer in German.\n\nKeep it short.")], answer(GERMAN), None, None),
+        ("repair-not", [("user", first), draft, ("user", late)], answer(GERMAN), None, None),
+    ]
+    got = {r[0]: r[1] for r in defects(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {"repair-copy": "copy", "repair-not": "language"}
+
+
+def test_declining_and_languages_on_sentences_held_out():
+    """Half of the refusals are scored by weights that have not seen them, next to ordinary sentences."""
+    pairs = [([f"{PRINTED[i % 5]}" + ASK], f"{PRINTED[(i + 1) % 5]} {PRINTED[(i + 2) % 5]}") for i in range(10)]
+    ngrams, halves = module.fit_ngrams(pairs)
+    right = [x > 0 for some, model in halves for x in model.scores(some)]
+    assert len(right) == len(module._all_refusals()) and np.mean(right) > 0.75
+    assert np.mean(ngrams.scores(PRINTED) < 0) == 1
+    assert ngrams.languages([GERMAN, PRINTED[0], "Le présent rapport décrit les risques de la société.", "x"]) == ["de", "en", "fr", None]
+
+
 def test_no_calls(spark):
     assert defects(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -95,4 +119,4 @@ def test_rare_shapes_count_in_a_large_table(spark, data, monkeypatch):
         fields.append(module.train(judged, counts, rare=rare))
         found.append(sorted(map(tuple, module.defects(calls).collect())))
     assert found[0] == found[1] == found[2] and found[0]
-    assert all((f.emit == fields[0].emit).all() and (f.move == fields[0].move).all() for f in fields)
+    assert all((f.emit == fields[0][0].emit).all() and (f.move == fields[0][0].move).all() for f, _ in fields)
