@@ -90,6 +90,6 @@ def packed(documents: DataFrame, specs: DataFrame, vocabulary: str = VOCABULARY,
 def fill_report(assignment: DataFrame, specs: DataFrame) -> DataFrame:
     """Per spec: containers, tokens in them and the share of their room that is filled."""
     used = assignment.groupBy("spec_id").agg(F.countDistinct("container_id").alias("containers"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("pieces"))
-    return used.join(F.broadcast(specs.select("spec_id", "capacity_tokens").distinct().limit(MOST_SPECS)), "spec_id").select(
+    return used.join(specs.select("spec_id", "capacity_tokens").distinct(), "spec_id").select(
         "spec_id", "containers", "pieces", "n_tokens", F.round(F.col("n_tokens") / (F.col("containers") * F.col("capacity_tokens")), 6).alias("filled_share")
     )

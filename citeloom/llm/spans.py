@@ -166,7 +166,8 @@ def _repeated(windows: DataFrame) -> DataFrame:
         .where(F.col("a") < F.col("b"))
         .select("h1", "h2")
     )
-    return windows.join(keys, ["h1", "h2"], "left_semi").groupBy("tkey").agg(F.collect_list("pos").alias("hits"))
+    # The windows are far larger than the texts, by whose size the planner goes: no side may be broadcast.
+    return windows.hint("merge").join(keys.hint("merge"), ["h1", "h2"], "left_semi").groupBy("tkey").agg(F.collect_list("pos").alias("hits"))
 
 
 def repeated_windows(texts: DataFrame, min_len: int = MIN_LEN, first: int = 30) -> DataFrame:
@@ -182,7 +183,7 @@ def repeated_windows(texts: DataFrame, min_len: int = MIN_LEN, first: int = 30)
         hits = _repeated(_windows(cand, length, previous, min_len))
         if length < min_len:
             hits = staged(hits, f"spans{length}")
-            cand, previous = texts.join(hits, "tkey"), length
+            cand, previous = texts.hint("merge").join(hits.hint("merge"), "tkey"), length
     return hits
 
 
@@ -208,7 +209,7 @@ def shared_spans(instances: DataFrame, citations: DataFrame, min_len: int = MIN_
     keyed = units.where(F.char_length("text") >= min_len).select(
         "risk_instance_id", "field", "page", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("tkey")
     )
-    return keyed.join(runs, "tkey").select("risk_instance_id", "field", "page", "r.start_pos", "r.end_pos")
+    return keyed.hint("merge").join(runs.hint("merge"), "tkey").select("risk_instance_id", "field", "page", "r.start_pos", "r.end_pos")
 
 
 def shared_report(instances: DataFrame, citations: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
@@ -238,7 +239,7 @@ def longest_shared(instances: DataFrame, citations: DataFrame, min_len: int = MI
     length, levels = min_len, []
     while hits.take(1):
         levels.append(hits.select("tkey", F.lit(length).alias("level")))
-        cand = texts.join(hits, "tkey").where(F.char_length("text") >= 2 * length)
+        cand = texts.hint("merge").join(hits.hint("merge"), "tkey").where(F.char_length("text") >= 2 * length)
         hits = staged(_repeated(_windows(cand, 2 * length, length, min_len)), "spanlevel")
         length *= 2
     if not levels:
