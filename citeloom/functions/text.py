@@ -99,6 +99,17 @@ def names(c: Column) -> Column:
     return F.filter(bare, lambda w: (F.length(w) > 2) & w.rlike(r"^\p{Lu}"))
 
 
+def name_runs(c: Column) -> Column:
+    """Runs of two and more capitalised words, wherever they stand in a sentence, and single ones after its first word."""
+    runs = F.regexp_extract_all(c, F.lit(r"\p{Lu}[\p{L}\p{N}'’-]+(?: \p{Lu}[\p{L}\p{N}'’-]+)+"), F.lit(0))
+    return F.array_union(runs, F.filter(names(c), lambda w: ~F.exists(runs, lambda r: F.contains(r, w))))
+
+
+def stem(word: Column) -> Column:
+    """A word without its plain English endings, as far as three letters are left."""
+    return F.regexp_replace(F.regexp_replace(word, "(?<=[a-z]{3})(?:ies|ied|y)$", "i"), "(?<=[a-z]{3})(?:ings?|edly|ed|es|s|e|ly)$", "")
+
+
 def ngrams(words: Column, n: int = 3) -> Column:
     """Runs of ``n`` words; empty for shorter arrays (an unguarded ``sequence`` would count down)."""
     return F.when(

@@ -11,7 +11,8 @@ class ReplayMiss(LookupError):
 
 
 def request_hash(*parts: Column) -> Column:
-    """SHA-256 over the parts of a request in a fixed order; null differs from an empty part."""
+    """SHA-256 over the parts of a request in a fixed order; null differs from an empty part. What tells two requests
+    apart: model, prompt version, sample, temperature, messages and schema."""
     sep, none = "\u0001", "\u0002"
     return F.sha2(F.concat_ws(sep, *(F.coalesce(p.cast("string"), F.lit(none)) for p in parts)), 256)
 

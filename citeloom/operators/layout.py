@@ -131,14 +131,14 @@ def with_suffixes(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
 
 def arrow_markers(drawings: DataFrame, x_low: float, x_high: float) -> DataFrame:
     """Arrow icons of a page: closed paths of ten line segments narrower than 8 points between two x positions; the
-    arrow points up, an opportunity, if its second vertex lies above its seventh, else it is a risk.
+    arrow points up, an opportunity, if vertex 2 lies above vertex 7 (both counted from 0), else it is a risk.
 
     ``drawings`` has ``items array<struct<kind:string,x0:double,y0:double,x1:double,y1:double>>``."""
     xs = F.transform("items", lambda i: i["x0"])
     shape = (F.size("items") == 10) & F.forall("items", lambda i: i["kind"] == "l") & (F.array_max(xs) - F.array_min(xs) < 8)
     ys = F.transform("items", lambda i: i["y0"])
     return drawings.where(shape & F.array_min(xs).between(x_low, x_high)).select(
-        *PAGE, F.array_min(ys).alias("y"), F.when(F.element_at(ys, 2) < F.element_at(ys, 7), "opportunity").otherwise("risk").alias("marker")
+        *PAGE, F.array_min(ys).alias("y"), F.when(ys[2] < ys[7], "opportunity").otherwise("risk").alias("marker")
     )
 
 

@@ -270,24 +270,73 @@ def span_on_page(spark, d):
     return R.on_their_page(cand, read_table(spark, d, "page_text"), ["report_id", "page"]).select("id").distinct()
 
 
-@query(f"""WITH {_PAGES}, c AS (SELECT risk_instance_id, string_agg(span, chr(10) ORDER BY span) AS cited FROM (SELECT DISTINCT risk_instance_id, span FROM risk_citation WHERE span IS NOT NULL) GROUP BY 1),
-j AS (SELECT id, coalesce(description, '') AS description, coalesce(verbatim_span, '') AS span, coalesce(mitigation, '') AS mitigation, coalesce(page_text, '') AS page, concat_ws(chr(10), coalesce(verbatim_span, ''), cited) AS cited
-      FROM risk_instance LEFT JOIN pages USING (report_id, page) LEFT JOIN c ON c.risk_instance_id = id),
-k AS (SELECT *, list_distinct({_words('cited')}) AS context, cited || chr(10) || page AS everything, {_sentences('description')} AS s FROM j),
-one AS (SELECT id, context, everything, unnest(s) AS t FROM k),
-per AS (SELECT id, len(w) > 0 AND len(list_intersect(w, context)) / len(w) < 0.3 AS low, nums, nms FROM (SELECT id, context, {_content('t')} AS w,
-      len(list_filter({_numbers('t')}, lambda n: NOT contains(everything, n))) AS nums, len(list_filter({_names('t')}, lambda n: NOT contains(everything, n))) AS nms FROM one)),
-agg AS (SELECT id, count_if(low) AS low, sum(nums) AS nums, sum(nms) AS nms FROM per GROUP BY id)
-SELECT k.id, NOT contains({_norm('page')}, substr({_norm('span')}, 1, 100)) AS span_not_on_page, len(s) NOT BETWEEN 2 AND 3 AS sentence_count, CAST(coalesce(low, 0) AS INT) AS low_overlap, CAST(coalesce(nums, 0) AS INT) AS numbers_missing,
-  CAST(coalesce(nms, 0) AS INT) AS names_missing, mitigation <> '' AND len({_content('mitigation')}) > 0 AND len(list_intersect({_content('mitigation')}, context)) / len({_content('mitigation')}) < 0.5 AS weak_mitigation
-FROM k LEFT JOIN agg USING (id)""")
+_TEXTS = """sp AS (SELECT risk_instance_id, string_agg(span, ' ' ORDER BY span) AS cited FROM (SELECT DISTINCT risk_instance_id, span FROM risk_citation WHERE span IS NOT NULL) GROUP BY 1),
+cp AS (SELECT id, string_agg(page_text, ' ' ORDER BY page_text) AS cited_pages FROM (SELECT DISTINCT ri.id, ri.report_id, c.page FROM risk_citation c JOIN risk_instance ri ON ri.id = c.risk_instance_id) JOIN pages USING (report_id, page) GROUP BY 1),
+src AS (SELECT ri.*, coalesce(page_text, '') AS page_text, coalesce(cited, '') AS cited, coalesce(cited_pages, '') AS cited_pages FROM risk_instance ri LEFT JOIN pages USING (report_id, page) LEFT JOIN sp ON sp.risk_instance_id = ri.id LEFT JOIN cp ON cp.id = ri.id)"""
+
+
+def _checked_sql(source: str, name: str) -> str:
+    """Tables that check the rows of ``source`` (id, description, verbatim_span, potential_impact, mitigation and the texts
+    of ``_TEXTS``); the last one, ``name``, has the number of problems of each kind."""
+    return f"""{name}_o AS (SELECT id, coalesce(description, '') AS description, {_norm("coalesce(verbatim_span, '')")} AS span, coalesce(mitigation, '') AS mitigation, {_norm('page_text')} AS page,
+  list_distinct({_words("page_text || ' ' || cited_pages")}) AS pool, concat_ws(' ', nullif(verbatim_span, ''), nullif(potential_impact, ''), nullif(cited, '')) AS own FROM {source}),
+{name}_k AS (SELECT *, {_norm('own')} AS own_norm, list_distinct({_words('own')}) AS context, {_sentences('description')} AS s FROM {name}_o),
+{name}_one AS (SELECT id, own_norm, page, context, unnest(s) AS t FROM {name}_k),
+{name}_per AS (SELECT id, CAST(len(w) > 0 AND len(list_intersect(w, context)) / len(w) < 0.3 AS INT) AS low, nums, nms FROM (SELECT id, context, {_content('t')} AS w,
+  len(list_filter({_numbers('t')}, lambda n: {_norm('n')} <> '' AND NOT contains(own_norm, {_norm('n')}) AND NOT contains(page, {_norm('n')}))) AS nums,
+  len(list_filter({_names('t')}, lambda n: {_norm('n')} <> '' AND NOT contains(own_norm, {_norm('n')}) AND NOT contains(page, {_norm('n')}))) AS nms FROM {name}_one)),
+{name}_sum AS (SELECT id, sum(low) AS low, sum(nums) AS nums, sum(nms) AS nms FROM {name}_per GROUP BY id),
+{name} AS (SELECT k.id, NOT contains(page, substr(span, 1, 100)) AS span_not_on_page, len(s) NOT BETWEEN 2 AND 3 AS sentence_count, CAST(coalesce(low, 0) AS INT) AS low_overlap, CAST(coalesce(nums, 0) AS INT) AS numbers_missing,
+  CAST(coalesce(nms, 0) AS INT) AS names_missing, mitigation <> '' AND len({_content('mitigation')}) > 0 AND len(list_intersect({_content('mitigation')}, pool)) / len({_content('mitigation')}) < 0.5 AS weak_mitigation
+  FROM {name}_k k LEFT JOIN {name}_sum USING (id))"""
+
+
+_FLAGGED = "CAST(span_not_on_page AS INT) + CAST(sentence_count AS INT) + low_overlap + numbers_missing + names_missing + CAST(weak_mitigation AS INT)"
+
+
+@query(f"WITH {_PAGES}, {_TEXTS}, {_checked_sql('src', 'k')} SELECT * FROM k")
 def grounding_flags(spark, d):
     rows = G.grounded(*(read_table(spark, d, t) for t in ("risk_instance", "page_text", "risk_citation")))
     of = lambda part: F.size(F.filter("problems", lambda p: F.contains(p, F.lit(part))))
     return rows.select(
-        "id", (of("span_not_on_page") > 0).alias("span_not_on_page"), (of("sentence_count") > 0).alias("sentence_count"), of("_low_overlap").cast("int").alias("__low"),
-        of("number_not").alias("numbers_missing"), of("name_not").alias("names_missing"), (of("mitigation_low") > 0).alias("weak_mitigation"),
-    ).select("id", "span_not_on_page", "sentence_count", (F.col("__low") - F.col("weak_mitigation").cast("int")).alias("low_overlap"), "numbers_missing", "names_missing", "weak_mitigation")
+        "id", (of("span_not_on_page") > 0).alias("span_not_on_page"), (of("sentence_count") > 0).alias("sentence_count"), of("_ungrounded").cast("int").alias("low_overlap"),
+        of("number_not").alias("numbers_missing"), of("name_not").alias("names_missing"), (of("mitigation_not") > 0).alias("weak_mitigation"),
+    )
+
+
+_REPLY = "struct<title:string,description:string,mitigation:string,category:string,confidence:double,poor_fit:boolean>"
+
+
+def _replies(spark, d, kind: str) -> DataFrame:
+    """The last recorded reply of each call of a kind, by record and sample."""
+    calls = read_table(spark, d, "calls").where((F.split_part("call_id", F.lit("-"), F.lit(1)) == kind) & F.expr("try_parse_json(response_content)").isNotNull() & F.json_object_keys("response_content").isNotNull())
+    last = calls.groupBy("call_id").agg(F.max_by(F.struct("sample", "response_content"), F.struct("created_at", "response_content")).alias("r"))
+    return last.select(F.regexp_extract("call_id", "^[a-z]+-(.*)-[^-]+$", 1).alias("id"), "call_id", "r.sample", F.from_json("r.response_content", _REPLY).alias("reply"))
+
+
+_REPLIES = """j AS (SELECT call_id, sample, response_content AS r FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY created_at DESC NULLS LAST, response_content DESC) AS n FROM calls
+  WHERE split_part(call_id, '-', 1) = '{kind}' AND json_valid(response_content) AND json_type(response_content) = 'OBJECT') WHERE n = 1),
+v AS (SELECT regexp_extract(call_id, '^[a-z]+-(.*)-[^-]+$', 1) AS id, call_id, sample, r->>'$.title' AS title, r->>'$.description' AS description, r->>'$.mitigation' AS mitigation, r->>'$.category' AS category,
+  TRY_CAST(r->>'$.confidence' AS DOUBLE) AS confidence FROM j)"""
+
+
+@query(f"""WITH {_PAGES}, {_TEXTS}, {_REPLIES.format(kind='repair')}, fix AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY call_id) AS n FROM v) WHERE n = 1),
+{_checked_sql('src', 'a')}, tried AS (SELECT src.* REPLACE (fix.description AS description, CASE WHEN coalesce(src.mitigation, '') <> '' THEN fix.mitigation ELSE src.mitigation END AS mitigation) FROM src JOIN fix USING (id)),
+{_checked_sql('tried', 'b')}, n AS (SELECT id, a.n AS before, b.n AS after FROM (SELECT id, {_FLAGGED} AS n FROM a) a LEFT JOIN (SELECT id, {_FLAGGED} AS n FROM b) b USING (id))
+SELECT n.id, before > 0 AND coalesce(after = 0, false) AS repaired, CAST(CASE WHEN before > 0 AND after = 0 THEN 0 WHEN before > 0 AND after IS NULL THEN before + 1 ELSE before END AS INT) AS problems,
+CASE WHEN before > 0 AND coalesce(after > 0, true) THEN 'pending_review' ELSE review_state END AS review_state, md5(CASE WHEN before > 0 AND after = 0 THEN fix.description ELSE ri.description END) AS text
+FROM n JOIN risk_instance ri USING (id) LEFT JOIN fix USING (id)""")
+def grounding_repair(spark, d):
+    fixes = _replies(spark, d, "repair").groupBy("id").agg(F.min_by("reply", "call_id").alias("reply")).select("id", "reply.title", "reply.description", "reply.mitigation")
+    rows = G.repaired(*(read_table(spark, d, t) for t in ("risk_instance", "page_text", "risk_citation")), fixes)
+    return rows.select("id", "repaired", F.size("problems").alias("problems"), "review_state", F.md5("description").alias("text"))
+
+
+@query()
+def grounding_stemmed(spark, d):
+    """The check by the other backend."""
+    rows = G.grounded(*(read_table(spark, d, t) for t in ("risk_instance", "page_text", "risk_citation")), "stemmed")
+    return rows.select("id", F.array_join("problems", ",").alias("problems"))
 
 
 @query(f"""WITH {_PAGES} SELECT section, CAST(count(*) AS BIGINT) AS records, CAST(count_if(bad) AS BIGINT) AS failed, round(avg(CASE WHEN bad THEN 0 ELSE 1 END), 6) AS pass_rate, CASE WHEN round(avg(CASE WHEN bad THEN 0 ELSE 1 END), 6) < 0.8 THEN 'warning' ELSE 'ok' END AS outcome
@@ -467,11 +516,11 @@ def mode_first_seen(spark, d):
 # --- Calls ----------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT DISTINCT call_id, sha256(concat_ws(chr(1), coalesce(model, chr(2)), coalesce(prompt_version, chr(2)), coalesce(CAST(sample AS VARCHAR), chr(2)),
+@query("""SELECT DISTINCT call_id, sha256(concat_ws(chr(1), coalesce(model, chr(2)), coalesce(prompt_version, chr(2)), coalesce(CAST(sample AS VARCHAR), chr(2)), coalesce(printf('%.3f', temperature), chr(2)),
   coalesce(array_to_string(list_transform(messages, lambda m: coalesce(m.role, '') || '=' || coalesce(m.content, '')), chr(3)), chr(2)), coalesce(schema, chr(2)))) AS hash FROM calls""")
 def request_hashes(spark, d):
     c = read_table(spark, d, "calls")
-    return c.select("call_id", C.request_hash(F.col("model"), F.col("prompt_version"), F.col("sample"), C.message_text(F.col("messages")), F.col("schema")).alias("hash")).distinct()
+    return c.select("call_id", C.request_hash(F.col("model"), F.col("prompt_version"), F.col("sample"), F.format_string("%.3f", "temperature"), C.message_text(F.col("messages")), F.col("schema")).alias("hash")).distinct()
 
 
 _LAST = "last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_hash ORDER BY created_at DESC NULLS LAST, call_id DESC NULLS LAST, response_content DESC NULLS LAST) AS n FROM calls) WHERE n = 1)"

@@ -78,6 +78,7 @@ def test_rules_and_arrows(spark):
     assert sorted(r.y for r in L.horizontal_rules(df).collect()) == [10.0, 20.0]
     item = "array<struct<kind:string,x0:double,y0:double,x1:double,y1:double>>"
     arrow = lambda ys: [("l", 100.0 + i % 3, float(y), 0.0, 0.0) for i, y in enumerate(ys)]
-    rows = [("d", 0, arrow([5, 1, 2, 3, 4, 5, 9, 7, 8, 6])), ("d", 1, arrow([5, 9, 2, 3, 4, 5, 1, 7, 8, 6])), ("d", 2, arrow([1, 2]))]
+    # The vertices that decide are 2 and 7, counted from 0: the apex of the arrow's head and the end of its shaft.
+    rows = [("d", 0, arrow([5, 9, 1, 3, 4, 5, 1, 7, 8, 6])), ("d", 1, arrow([5, 1, 8, 3, 4, 5, 9, 2, 8, 6])), ("d", 2, arrow([1, 2]))]
     df = spark.createDataFrame(rows, f"doc_id string, pdf_index int, items {item}")
     assert {r.pdf_index: r.marker for r in L.arrow_markers(df, 90.0, 110.0).collect()} == {0: "opportunity", 1: "risk"}

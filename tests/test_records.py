@@ -23,19 +23,52 @@ def test_grounding_finds_seeded_faults(spark):
     recs = spark.createDataFrame([(k, "r", 1, v, text[:60], None) for k, v in rows.items()] + [("span", "r", 1, rows["good"], "not on the page at all", "something else entirely"), ("null", "r", 1, None, None, None)],
                                  "id string, report_id string, page int, description string, verbatim_span string, mitigation string")
     pages = spark.createDataFrame([("r", 1, text), ("r", 1, text), ("r", 1, None)], "report_id string, page int, text string")
-    cites = spark.createDataFrame([(k, text) for k in [*rows, "span"]] * 2, "risk_instance_id string, span string")
+    cites = spark.createDataFrame([(k, text, 1) for k in [*rows, "span"]] * 2, "risk_instance_id string, span string, page int")
     got = {r.id: r.problems for r in G.grounded(recs, pages, cites).collect()}
     assert got["good"] == []
     assert got["number"] == ["number_not_in_text:35"]
     assert got["name"] == ["name_not_in_text:Ruritania"]
-    assert got["topic"] == ["sentence_2_low_overlap"]
+    assert got["topic"] == ["sentence_2_ungrounded"]
     assert got["short"] == ["sentence_count:1"]
-    assert got["span"] == ["span_not_on_page", "mitigation_low_overlap"]
+    assert got["span"] == ["span_not_on_page", "mitigation_not_in_text"]
     assert got["null"] == ["sentence_count:0"]
     rate = G.pass_rate(G.grounded(recs, pages, cites), ["report_id"]).first()
     assert (rate.records, rate.failed, rate.outcome) == (7, 6, "warning")
 
 
+def test_grounding_pools(spark):
+    """Sentences count against span, impact and cited spans; numbers in normal form; the mitigation against the pages."""
+    page1, page2 = "Dredging permits in Esbjerg may lapse. Costs of 1,250 tonnes rose.", "We insure vessels against storms and renew covers yearly."
+    recs = spark.createDataFrame(
+        [("impact", "r", 1, "Vessels may idle for weeks. Dredging permits may lapse.", "Dredging permits in Esbjerg", "Vessels idle for weeks.", "We insure vessels against storms."),
+         ("far", "r", 1, "Dredging permits may lapse. Costs of 1.250 tonnes rose in Esbjerg.", "Dredging permits in Esbjerg may lapse. Costs", None, "Helicopters patrol the desert at night.")],
+        "id string, report_id string, page int, description string, verbatim_span string, potential_impact string, mitigation string",
+    )
+    pages = spark.createDataFrame([("r", 1, page1), ("r", 2, page2)], "report_id string, page int, text string")
+    cites = spark.createDataFrame([("impact", "Dredging", 2), ("far", None, 1)], "risk_instance_id string, span string, page int")
+    got = {r.id: r.problems for r in G.grounded(recs, pages, cites).collect()}
+    assert got == {"impact": [], "far": ["mitigation_not_in_text"]}
+    stems = {r.id: r.problems for r in G.grounded(recs, pages, cites, "stemmed").collect()}
+    assert stems == got
+    with pytest.raises(ValueError):
+        G.grounded(recs, pages, cites, "other")
+
+
+def test_repair_is_taken_only_whole(spark):
+    text = "The plant in Kolding depends on one supplier of bearings. A strike would delay output by 20% in 2024."
+    good, bad = text, "The plant depends on one supplier of bearings. A strike would delay output by 35%."
+    recs = [(k, "r", 1, "t", bad if k != "fine" else good, text[:60], None, ["old"], "auto_accepted") for k in ("fine", "mended", "still", "lost")]
+    recs = spark.createDataFrame(recs, "id string, report_id string, page int, title string, description string, verbatim_span string, mitigation string, quality_flags array<string>, review_state string")
+    pages = spark.createDataFrame([("r", 1, text)], "report_id string, page int, text string")
+    cites = spark.createDataFrame([(k, text, 1) for k in ("fine", "mended", "still", "lost")], "risk_instance_id string, span string, page int")
+    fixes = spark.createDataFrame([("mended", "new", good, "invented"), ("still", "new", bad, None), ("fine", "new", "never used", None)], "id string, title string, description string, mitigation string")
+    got = {r.id: r for r in G.repaired(recs, pages, cites, fixes).collect()}
+    assert got["fine"].title == "t" and got["fine"].problems == [] and not got["fine"].repaired
+    assert (got["mended"].title, got["mended"].description, got["mended"].mitigation, got["mended"].repaired) == ("new", good, None, True)
+    assert (got["still"].title, got["still"].quality_flags, got["still"].review_state) == ("t", ["old", "grounding:number_not_in_text:35"], "pending_review")
+    assert got["lost"].problems == ["number_not_in_text:35", "repair_not_recorded"] and got["mended"].review_state == "auto_accepted"
+
+
 def test_coverage_counts_bags(spark):
     page = spark.createDataFrame([("p", w) for w in "a a b c".split()], "k string, word string")
     block = spark.createDataFrame([("p", w) for w in "a c c d".split()], "k string, word string")
