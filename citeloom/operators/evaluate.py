@@ -6,8 +6,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.functions.text import context_words, figures, norm_text, plain_sentences, stands_alone
+
 # Fixed values of the golden match.
 MATCH_FLOOR, PAGE_BONUS, SPAN_HITS, SPAN_WEIGHT = 0.6, 0.85, 0.66, 0.6
+FEW, MANY = 2, 3
 
 
 def assign(scores: DataFrame, key: str) -> DataFrame:
@@ -53,6 +56,118 @@ def identification(golden: DataFrame, found: DataFrame, keys: list[str], group:
     return counts.select(*group, "matched", "golden", "found", F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(f1, 6).alias("f1"))
 
 
+def provenance(record: Column, golden: Column) -> Column:
+    """The golden page is none of the record's or its citations' pages, its section is not theirs, or a second page that
+    the golden row names is not cited. ``record`` has ``page, section, pages, sections``."""
+    pages = F.array_union(F.coalesce(record["pages"], F.array().cast("array<int>")), F.array(record["page"]))
+    sections = F.array_union(F.coalesce(record["sections"], F.array().cast("array<string>")), F.array(record["section"]))
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
+    return F.array_compact(
+        F.array(
+            F.when(~F.array_contains(pages, golden["page"]), F.concat(F.lit("page:"), text(record["page"]), F.lit("!="), text(golden["page"]))),
+            F.when(~F.array_contains(sections, golden["section"]), F.concat(F.lit("section:"), text(record["section"]), F.lit("!="), text(golden["section"]))),
+            F.when(golden["also_on_page"].isNotNull() & ~F.array_contains(pages, golden["also_on_page"]), F.concat(F.lit("missing_citation_page:"), text(golden["also_on_page"]))),
+        )
+    )
+
+
+def own_grounding(record: Column, golden: Column) -> Column:
+    """Key phrases of the golden row that the record's own words (description and mitigation) lack, and figures of its
+    description that stand in no text of its pages. ``record`` has ``page_text``, the text of all pages it cites."""
+    own = norm_text(F.concat_ws(" ", record["description"], record["mitigation"]))
+    lost = F.filter(F.coalesce(golden["key_phrases"], F.array().cast("array<string>")), lambda k: ~F.contains(own, norm_text(k)))
+    cited = norm_text(F.coalesce(record["page_text"], F.lit("")))
+    invented = F.filter(figures(F.coalesce(record["description"], F.lit(""))), lambda n: ~stands_alone(cited, norm_text(n)))
+    return F.concat(
+        F.transform(lost, lambda k: F.concat(F.lit("phrase_missing:"), k)),
+        F.when(record["page_text"].isNull(), F.array().cast("array<string>")).otherwise(F.transform(invented, lambda n: F.concat(F.lit("invented_number:"), n))),
+    )
+
+
+def category(record: Column, golden: Column) -> Column:
+    """The record's category is none that the golden row accepts."""
+    accepted = F.coalesce(golden["acceptable_categories"], F.array(golden["category"]))
+    wrong = ~F.coalesce(F.array_contains(accepted, record["category"]), F.lit(False))
+    text = lambda c: F.coalesce(c, F.lit("none"))
+    return F.array_compact(F.array(F.when(wrong, F.concat(F.lit("category:"), text(record["category"]), F.lit("!="), text(golden["category"])))))
+
+
+def fields(record: Column, golden: Column) -> Column:
+    """Too few or too many sentences, a mitigation where none is stated or the other way round, or one without any of
+    the phrases the golden row expects."""
+    n = F.size(plain_sentences(F.trim(F.coalesce(record["description"], F.lit("")))))
+    has = F.coalesce(record["mitigation"], F.lit("")) != ""
+    form = norm_text(F.coalesce(record["mitigation"], F.lit("")))
+    phrases = F.coalesce(golden["mitigation_phrases"], F.array().cast("array<string>"))
+    return F.array_compact(
+        F.array(
+            F.when(~n.between(FEW, MANY), F.concat(F.lit("sentences:"), n.cast("string"))),
+            F.when(has != golden["mitigation_stated"], F.concat(F.lit("mitigation_present:"), has.cast("string"), F.lit("!="), golden["mitigation_stated"].cast("string"))),
+            F.when(has & (F.size(phrases) > 0) & ~F.exists(phrases, lambda p: F.contains(form, norm_text(p))), "mitigation_phrases_missing"),
+        )
+    )
+
+
+#: The evaluators that look at a golden row and its record, with the least score that passes.
+PER_MATCH = {"provenance": (provenance, 0.9), "grounding": (own_grounding, 0.8), "category": (category, 0.8), "fields": (fields, 0.8)}
+IDENTIFICATION_LEAST, INTENT_LEAST = 0.9, 0.8
+
+
+def match_problems(matched: DataFrame, key: str) -> DataFrame:
+    """``key, golden_id, evaluator, problems`` of every golden row with a record. ``matched`` has ``golden_id`` and the
+    structs ``golden`` and ``record``."""
+    each = F.array(*(F.struct(F.lit(name).alias("evaluator"), check(F.col("record"), F.col("golden")).alias("problems")) for name, (check, _) in PER_MATCH.items()))
+    return matched.select(key, "golden_id", F.explode(each).alias("e")).select(key, "golden_id", "e.evaluator", "e.problems")
+
+
+def evaluated(problems: DataFrame, key: str) -> DataFrame:
+    """Score of each evaluator (share of matched rows without problems), whether it passes, and its failures."""
+    least = F.element_at(F.create_map(*(x for name, (_, v) in PER_MATCH.items() for x in (F.lit(name), F.lit(v)))), F.col("evaluator"))
+    failures = F.array_sort(F.collect_list(F.when(F.size("problems") > 0, F.struct("golden_id", "problems"))))
+    score = F.avg((F.size("problems") == 0).cast("double"))
+    return problems.groupBy(key, "evaluator").agg(F.count("*").alias("matched"), F.round(score, 3).alias("score"), score.alias("__s"), failures.alias("failures")).select(
+        key, "evaluator", "matched", "score", (F.col("__s") >= least).alias("passed"), "failures"
+    )
+
+
+def identification_passes(scores: DataFrame, golden: DataFrame, found: DataFrame, keys: list[str], group: str) -> DataFrame:
+    """``identification`` of one group column with the verdict and the missing and extra keys."""
+    a, b = golden.select(group, *keys).distinct().withColumn("__g", F.lit(True)), found.select(group, *keys).distinct().withColumn("__f", F.lit(True))
+    name = F.concat_ws("|", *keys)
+    odd = a.join(b, [group, *keys], "full_outer").select(group, F.when(F.col("__f").isNull(), F.concat(F.lit("missing:"), name)).when(F.col("__g").isNull(), F.concat(F.lit("extra:"), name)).alias("failure"))
+    failures = odd.groupBy(group).agg(F.array_sort(F.collect_list("failure")).alias("failures"))
+    return scores.join(failures, group).withColumn("passed", (F.col("precision") >= IDENTIFICATION_LEAST) & (F.col("recall") >= IDENTIFICATION_LEAST))
+
+
+def intent_problems(got: Column, expected: Column) -> Column:
+    """Fields of a parsed intent that differ from the expected one: lists as sets, years sorted, names in lower case, sector
+    and free text in normal form, empty and null alike."""
+    bag = lambda c: F.array_sort(F.coalesce(c, F.array()))
+    plain = lambda c: norm_text(F.coalesce(c, F.lit("")))
+    words = lambda c: F.array_sort(context_words(plain(c)))
+    lower = lambda c: F.array_sort(F.array_distinct(F.transform(F.coalesce(c, F.array().cast("array<string>")), F.lower)))
+    same = {
+        "categories": same_set(got["categories"], expected["categories"]),
+        "source_register": F.nullif(got["source_register"], F.lit("")).eqNullSafe(F.nullif(expected["source_register"], F.lit(""))),
+        "status": F.nullif(got["status"], F.lit("")).eqNullSafe(F.nullif(expected["status"], F.lit(""))),
+        "sector": plain(got["sector"]) == plain(expected["sector"]),
+        "years": bag(got["years"]) == bag(expected["years"]),
+        "free_text": words(got["free_text"]) == words(expected["free_text"]),
+        "companies": lower(got["companies"]) == lower(expected["companies"]),
+    }
+    return F.array_compact(F.array(*(F.when(~equal, name) for name, equal in same.items())))
+
+
+def intent_scores(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Agreement of parsed intents with expected ones. ``pairs`` has ``keys``, ``id`` and the structs ``got`` and ``expected``."""
+    checked = pairs.select(*keys, "id", intent_problems(F.col("got"), F.col("expected")).alias("problems"))
+    score = F.avg((F.size("problems") == 0).cast("double"))
+    return checked.groupBy(*keys).agg(
+        F.count("*").alias("questions"), F.round(score, 3).alias("score"), (score >= INTENT_LEAST).alias("passed"),
+        F.array_sort(F.collect_list(F.when(F.size("problems") > 0, F.struct("id", "problems")))).alias("failures"),
+    )
+
+
 def check_scores(results: DataFrame, group: list[str]) -> DataFrame:
     """Score of each check (share passed, 0 without any) and the ids that failed. ``results`` has ``check, id, ok``."""
     return results.groupBy(*group, "check").agg(

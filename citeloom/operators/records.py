@@ -1,4 +1,4 @@
-"""Candidates to records: agreement of two lists, merging across registers, numbering, enrichment."""
+"""Candidates to records: agreement of two lists, descriptions by vote, merging across registers, numbering, enrichment."""
 
 from __future__ import annotations
 
@@ -128,6 +128,47 @@ def voted(samples: DataFrame, key: str, first_value: str, seq: str) -> DataFrame
     )
 
 
+LOW_CONFIDENCE, VOTES = 0.6, 3
+
+
+def described(samples: DataFrame, key: str, votes: int = VOTES, low: float = LOW_CONFIDENCE) -> DataFrame:
+    """One description per key from its samples (``sample, category, confidence`` and any other columns).
+
+    Sample 0 stands. Where it is less sure than ``low``, the first ``votes`` samples vote on the category (the one seen
+    first wins a tie); a winner other than its own replaces it, with its share of the votes as confidence. ``votes`` maps
+    each category to the votes it got.
+    """
+    rest = [c for c in samples.columns if c not in (key, "category", "confidence")]
+    first = samples.where("sample = 0").groupBy(key).agg(F.min_by(F.struct(*rest, "category", "confidence"), F.struct("sample", *(F.col(c).cast("string") for c in rest[:1]))).alias("__r"))
+    cast = samples.where((F.col("sample") < votes) & F.col("category").isNotNull()).groupBy(key, "category").agg(F.count("*").alias("n"), F.min("sample").alias("seen"))
+    tally = cast.groupBy(key).agg(
+        F.max_by(F.struct("category", "n"), F.struct("n", -F.col("seen"))).alias("__w"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("__v")
+    )
+    both = first.join(tally, key, "left")
+    unsure = F.coalesce(F.col("__r.confidence") < low, F.lit(False))
+    changed = unsure & F.coalesce(F.col("__w.category") != F.col("__r.category"), F.lit(False))
+    own = F.when(F.col("__r.category").isNotNull(), F.create_map(F.col("__r.category"), F.lit(1).cast("long")))
+    return both.select(
+        key, *(F.col(f"__r.{c}").alias(c) for c in rest), F.when(changed, F.col("__w.category")).otherwise(F.col("__r.category")).alias("category"),
+        F.when(changed, F.round(F.col("__w.n") / F.lit(votes), 6)).otherwise(F.col("__r.confidence")).alias("confidence"), F.when(unsure, F.col("__v")).otherwise(own).alias("votes"), changed.alias("changed"),
+    )
+
+
+def prompt_text(c: dict[str, Column], priors: dict[str, list[str]] | None = None) -> Column:
+    """The text sent with a candidate: where it stands, its title and what is printed of it, each part on its own line; a
+    part without value is left out. ``c`` names the columns; ``priors`` gives the likely categories of a taxonomy code."""
+    line = lambda label, v: F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(f"{label}: "), v))
+    likely = F.lit(None).cast("string")
+    if priors:
+        table = F.create_map(*(x for k, v in priors.items() for x in (F.lit(k), F.lit(", ".join(v)))))
+        likely = F.element_at(table, c["source_taxonomy"])
+    return F.concat_ws(
+        "\n", line("Register", F.concat(F.coalesce(c["source_register"], F.lit("none")), F.lit(", prominence "), c["prominence"].cast("string"))), line("Section", c["section"]), line("Page", c["page"].cast("string")),
+        line("Title", c["title"]), line("Topic", c["source_taxonomy"]), line("Likely categories", F.when(F.coalesce(c["source_taxonomy"], F.lit("")) != "", likely)),
+        line("Printed", c["verbatim_span"]), line("Impact", c["potential_impact"]), F.coalesce(line("Mitigation", c["mitigation"]), F.lit("No mitigation is printed.")),
+    )
+
+
 def register_candidates(blocks: DataFrame) -> DataFrame:
     """Risk blocks of a register as candidates: prominence 1 for the main register and 2 for the other, the text of the
     description field where the block has one, else its whole text, and the named fields that are not empty."""

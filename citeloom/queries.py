@@ -347,6 +347,29 @@ def grounding_pass_rate(spark, d):
     return G.pass_rate(rows.join(records.select("id", "section"), "id"), ["section"])
 
 
+# --- Descriptions ---------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_REPLIES.format(kind='describe')}, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY call_id) AS n FROM v WHERE sample = 0) WHERE n = 1),
+c AS (SELECT id, category, count(*) AS n, min(sample) AS seen FROM v WHERE sample < 3 AND category IS NOT NULL GROUP BY ALL), w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, seen, category DESC) AS k FROM c) WHERE k = 1)
+SELECT f.id, f.call_id, CASE WHEN confidence < 0.6 AND w.category <> f.category THEN w.category ELSE f.category END AS category,
+CASE WHEN confidence < 0.6 AND w.category <> f.category THEN round(w.n / 3, 6) ELSE confidence END AS confidence, coalesce(confidence < 0.6 AND w.category <> f.category, false) AS changed FROM f LEFT JOIN w USING (id)""")
+def described_votes(spark, d):
+    rows = _replies(spark, d, "describe").select("id", "call_id", "sample", "reply.category", "reply.confidence")
+    return R.described(rows, "id").select("id", "call_id", "category", "confidence", "changed")
+
+
+_PRIORS = {"E1": ["climate"], "E2": ["regulatory", "operational"], "S1": ["operational"], "G1": ["regulatory"]}
+_PRIOR_SQL = "CASE source_taxonomy " + " ".join(f"WHEN '{k}' THEN '{', '.join(v)}'" for k, v in _PRIORS.items()) + " END"
+
+
+@query(f"""SELECT id, md5(concat_ws(chr(10), 'Register: ' || coalesce(source_register, 'none') || ', prominence ' || prominence, 'Section: ' || nullif(section, ''), 'Page: ' || page, 'Title: ' || nullif(title, ''), 'Topic: ' || nullif(source_taxonomy, ''),
+'Likely categories: ' || {_PRIOR_SQL}, 'Printed: ' || nullif(verbatim_span, ''), 'Impact: ' || nullif(potential_impact, ''), coalesce('Mitigation: ' || nullif(mitigation, ''), 'No mitigation is printed.'))) AS prompt FROM risk_instance""")
+def describe_prompts(spark, d):
+    rows = read_table(spark, d, "risk_instance")
+    return rows.select("id", F.md5(R.prompt_text({c: F.col(c) for c in rows.columns}, _PRIORS)).alias("prompt"))
+
+
 # --- Matching -------------------------------------------------------------------------------------------------------
 
 
@@ -645,6 +668,68 @@ def evaluator_scores(spark, d):
     return E.identification(golden, read_table(spark, d, "risk_instance").select("source_register", "id", "page"), ["id", "page"], ["source_register"])
 
 
+_GOLDEN = f"""k AS (SELECT canonical_risk_id, any_value(company_id) AS company_id, min(category) AS category, list_sort(list(DISTINCT category) FILTER (category IS NOT NULL)) AS cats, bool_or(coalesce(mitigation, '') <> '') AS stated
+  FROM risk_instance ri JOIN report r ON r.id = ri.report_id WHERE canonical_risk_id IS NOT NULL GROUP BY 1),
+g AS (SELECT k.*, [split_part(canonical_title, ' ', 1)] AS phrases FROM k JOIN canonical_risk c ON c.id = k.canonical_risk_id),
+w AS (SELECT report_id, canonical_risk_id, min(page) AS page, min(section) AS section FROM risk_instance WHERE canonical_risk_id IS NOT NULL GROUP BY ALL),
+ct AS (SELECT risk_instance_id, list(DISTINCT page) FILTER (page IS NOT NULL) AS pages, list(DISTINCT section) FILTER (section IS NOT NULL) AS sections FROM risk_citation GROUP BY 1),
+m AS (SELECT ri.*, g.canonical_risk_id AS golden_id, g.category AS g_category, g.cats, g.stated, g.phrases, w.page AS g_page, w.section AS g_section, coalesce(pages, []) || [ri.page] AS pages, coalesce(sections, []) || [ri.section] AS sections, src.page_text || ' ' || src.cited_pages AS cited_text
+  FROM risk_instance ri JOIN src USING (id) JOIN g ON g.canonical_risk_id = ri.canonical_risk_id JOIN w ON w.report_id = ri.report_id AND w.canonical_risk_id = ri.canonical_risk_id LEFT JOIN ct ON ct.risk_instance_id = ri.id),
+n AS (SELECT *, {_norm("concat_ws(' ', description, mitigation)")} AS own, ' ' || {_norm('cited_text')} || ' ' AS cited_norm, len({_sentences("trim(coalesce(description, ''))")}) AS sents FROM m),
+p AS (SELECT report_id, golden_id, id, 'provenance' AS evaluator, CAST(NOT coalesce(list_contains(pages, g_page), false) AS INT) + CAST(NOT coalesce(list_contains(sections, g_section), false) AS INT) AS problems FROM n
+ UNION ALL SELECT report_id, golden_id, id, 'grounding', len(list_filter(phrases, lambda x: NOT contains(own, {_norm('x')}))) + len(list_filter(regexp_extract_all(coalesce(description, ''), '[0-9]+(?:[.,][0-9]+)*'), lambda x: NOT regexp_matches(cited_norm, '[^0-9]' || {_norm('x')} || '[^0-9]'))) FROM n
+ UNION ALL SELECT report_id, golden_id, id, 'category', CAST(NOT coalesce(list_contains(cats[1:2], category), false) AS INT) FROM n
+ UNION ALL SELECT report_id, golden_id, id, 'fields', CAST(sents NOT BETWEEN 2 AND 3 AS INT) + CAST((coalesce(mitigation, '') <> '') <> stated AS INT) FROM n)"""
+
+
+def _matched(spark, d) -> DataFrame:
+    """Records with a golden row made of the other records of their canonical risk: its first two categories are accepted,
+    the first word of its title is a key phrase, its least page and section of the report are the right ones."""
+    ri, canonical = read_table(spark, d, "risk_instance").where("canonical_risk_id IS NOT NULL"), read_table(spark, d, "canonical_risk")
+    facts = ri.join(read_table(spark, d, "report").select(F.col("id").alias("report_id")), "report_id").groupBy("canonical_risk_id").agg(
+        F.min("category").alias("category"), F.array_sort(F.collect_set("category")).alias("cats"), F.bool_or(F.coalesce("mitigation", F.lit("")) != "").alias("stated")
+    )
+    place = ri.groupBy("report_id", "canonical_risk_id").agg(F.min("page").alias("g_page"), F.min("section").alias("g_section"))
+    cited = read_table(spark, d, "risk_citation").groupBy(F.col("risk_instance_id").alias("id")).agg(F.collect_set("page").alias("pages"), F.collect_set("section").alias("sections"))
+    texts = G._with_sources(ri.select("id", "report_id", "page"), read_table(spark, d, "page_text"), read_table(spark, d, "risk_citation")).select("id", F.concat_ws(" ", F.coalesce("page_text", F.lit("")), F.coalesce("cited_pages", F.lit(""))).alias("page_text"))
+    rows = ri.join(facts.withColumnsRenamed({"category": "g_category"}), "canonical_risk_id").join(canonical.select(F.col("id").alias("canonical_risk_id"), "canonical_title"), "canonical_risk_id")
+    rows = rows.join(place, ["report_id", "canonical_risk_id"]).join(cited, "id", "left").join(texts, "id")
+    golden = F.struct(
+        F.col("g_page").alias("page"), F.col("g_section").alias("section"), F.lit(None).cast("int").alias("also_on_page"), F.array(F.split_part("canonical_title", F.lit(" "), F.lit(1))).alias("key_phrases"),
+        F.slice("cats", 1, 2).alias("acceptable_categories"), F.col("g_category").alias("category"), F.col("stated").alias("mitigation_stated"), F.lit(None).cast("array<string>").alias("mitigation_phrases"),
+    )
+    return rows.select("report_id", F.col("canonical_risk_id").alias("golden_id"), "id", golden.alias("golden"), F.struct("page", "section", "pages", "sections", "description", "mitigation", "category", "page_text").alias("record"))
+
+
+@query(f"WITH {_PAGES}, {_TEXTS}, {_GOLDEN} SELECT golden_id, evaluator, CAST(sum(problems) AS BIGINT) AS problems FROM p GROUP BY ALL")
+def evaluator_problems(spark, d):
+    return E.match_problems(_matched(spark, d), "report_id").groupBy("golden_id", "evaluator").agg(F.sum(F.size("problems")).alias("problems"))
+
+
+@query(f"""WITH {_PAGES}, {_TEXTS}, {_GOLDEN} SELECT report_id, evaluator, CAST(count(*) AS BIGINT) AS matched, round(avg(CASE WHEN problems = 0 THEN 1.0 ELSE 0.0 END), 3) AS score,
+avg(CASE WHEN problems = 0 THEN 1.0 ELSE 0.0 END) >= CASE evaluator WHEN 'provenance' THEN 0.9 ELSE 0.8 END AS passed, CAST(count_if(problems > 0) AS INT) AS failures FROM p GROUP BY report_id, evaluator""")
+def evaluators(spark, d):
+    return E.evaluated(E.match_problems(_matched(spark, d), "report_id"), "report_id").withColumn("failures", F.size("failures"))
+
+
+_PARTS = "struct<categories:array<string>,companies:array<string>,years:array<int>,source_register:string,status:string,sector:string,free_text:string>"
+
+
+@query(f"""WITH c AS (SELECT DISTINCT call_id, model, response_content AS r FROM calls WHERE split_part(call_id, '-', 1) = 'intent' AND json_valid(response_content) AND json_type(response_content) = 'OBJECT'),
+f AS (SELECT call_id, model, list_sort(list_distinct(CAST(coalesce(r->'$.categories', '[]') AS VARCHAR[]))) AS categories, list_sort(list_distinct(list_transform(CAST(coalesce(r->'$.companies', '[]') AS VARCHAR[]), lambda x: lower(x)))) AS companies,
+  list_sort(CAST(coalesce(r->'$.years', '[]') AS INT[])) AS years, coalesce(r->>'$.source_register', '') AS reg, coalesce(r->>'$.status', '') AS status, {_norm("coalesce(r->>'$.sector', '')")} AS sector, list_sort(list_distinct({_words("coalesce(r->>'$.free_text', '')")})) AS free FROM c),
+p AS (SELECT *, lag(categories) OVER w AS categories2, lag(companies) OVER w AS companies2, lag(years) OVER w AS years2, lag(reg) OVER w AS reg2, lag(status) OVER w AS status2, lag(sector) OVER w AS sector2, lag(free) OVER w AS free2, lag(call_id) OVER w AS other FROM f WINDOW w AS (PARTITION BY model ORDER BY call_id)),
+e AS (SELECT model, CAST(categories <> categories2 AS INT) + CAST(companies <> companies2 AS INT) + CAST(years <> years2 AS INT) + CAST(reg <> reg2 AS INT) + CAST(status <> status2 AS INT) + CAST(sector <> sector2 AS INT) + CAST(free <> free2 AS INT) AS n FROM p WHERE other IS NOT NULL)
+SELECT model, CAST(count(*) AS BIGINT) AS questions, round(avg(CASE WHEN n = 0 THEN 1.0 ELSE 0.0 END), 3) AS score, avg(CASE WHEN n = 0 THEN 1.0 ELSE 0.0 END) >= 0.8 AS passed, CAST(sum(n) AS BIGINT) AS parts_differ FROM e GROUP BY model""")
+def intent_agreement(spark, d):
+    """Each intent against that of the call before it (by id) of the same model, as if the earlier one were expected."""
+    rows = read_table(spark, d, "calls").where((F.split_part("call_id", F.lit("-"), F.lit(1)) == "intent") & F.expr("try_parse_json(response_content)").isNotNull() & F.json_object_keys("response_content").isNotNull())
+    rows = rows.select("call_id", "model", "response_content").distinct().select(F.col("call_id").alias("id"), "model", F.from_json("response_content", _PARTS).alias("got"))
+    pairs = rows.withColumn("expected", F.lag("got").over(S.Window.partitionBy("model").orderBy("id"))).where("expected IS NOT NULL")
+    differ = F.aggregate("failures", F.lit(0).cast("long"), lambda a, x: a + F.size(x["problems"]))
+    return E.intent_scores(pairs, ["model"]).withColumn("parts_differ", differ).drop("failures")
+
+
 @query("""WITH r AS (SELECT section, 'title_length' AS "check", length(title) <= 80 AS ok FROM risk_instance WHERE title IS NOT NULL UNION ALL SELECT section, 'mitigation', coalesce(mitigation, '') <> '' FROM risk_instance)
 SELECT section, "check", CAST(count(*) AS BIGINT) AS n, round(avg(CAST(ok AS INT)), 6) AS score, CAST(count_if(NOT ok) AS BIGINT) AS failed FROM r GROUP BY ALL""")
 def check_scores(spark, d):
