@@ -24,12 +24,13 @@ def footer_numbers(words: DataFrame, height: float) -> DataFrame:
     return low.groupBy(*PAGE).agg(F.max_by("text", F.struct("x1", "seq")).cast("int").alias("printed_page"))
 
 
-def cluster_lines(words: DataFrame, tolerance: float = LINE_TOLERANCE) -> DataFrame:
+def cluster_lines(words: DataFrame, tolerance: float = LINE_TOLERANCE, keys: tuple[str, ...] = PAGE) -> DataFrame:
     """``words`` with ``line_no``: words in the order of (top, x0); a line takes words until one lies further than
-    ``tolerance`` from the line's *first* word. This is no gaps-and-islands: the anchor does not move along."""
+    ``tolerance`` from the line's *first* word. This is no gaps-and-islands: the anchor does not move along. ``keys`` may
+    name a part of a page, such as a table cell, whose words then make lines of their own."""
     first = ["top", "x0", "seq"]
-    fields = [*first, *(c for c in words.columns if c not in (*PAGE, *first))]
-    page = words.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("ws"))
+    fields = [*first, *(c for c in words.columns if c not in (*keys, *first))]
+    page = words.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("ws"))
     start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("line"), F.expr("cast(array() as array<int>)").alias("lines"))
 
     def step(state: Column, w: Column) -> Column:
@@ -37,19 +38,26 @@ def cluster_lines(words: DataFrame, tolerance: float = LINE_TOLERANCE) -> DataFr
         line = F.when(fresh, state["line"] + 1).otherwise(state["line"])
         return F.struct(F.when(fresh, w["top"]).otherwise(state["anchor"]).alias("anchor"), line.alias("line"), F.concat(state["lines"], F.array(line)).alias("lines"))
 
-    lines = page.select(*PAGE, "ws", F.aggregate("ws", start, step)["lines"].alias("lines"))
-    rows = lines.select(*PAGE, F.explode(F.arrays_zip("ws", "lines")).alias("r"))
-    return rows.select(*PAGE, *(F.col("r.ws")[f].alias(f) for f in fields), F.col("r.lines").alias("line_no"))
+    lines = page.select(*keys, "ws", F.aggregate("ws", start, step)["lines"].alias("lines"))
+    rows = lines.select(*keys, F.explode(F.arrays_zip("ws", "lines")).alias("r"))
+    return rows.select(*keys, *(F.col("r.ws")[f].alias(f) for f in fields), F.col("r.lines").alias("line_no"))
 
 
-def line_text(lined: DataFrame) -> DataFrame:
-    """One row per line: its words by x0 with one space between, and its top, left end and largest size."""
-    return lined.groupBy(*PAGE, "line_no").agg(
+def line_text(lined: DataFrame, keys: tuple[str, ...] = PAGE) -> DataFrame:
+    """One row per line: its words by x0 with one space between, its top, left end and largest size, and whether all of
+    its words stand in the medium font."""
+    return lined.groupBy(*keys, "line_no").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "seq", "text"))), lambda w: w["text"]), " ").alias("text"),
-        F.min("top").alias("top"), F.min("x0").alias("x0"), F.max("size").alias("size"),
+        F.min("top").alias("top"), F.max("bottom").alias("bottom"), F.min("x0").alias("x0"), F.max("size").alias("size"), F.bool_and(F.col("font") == "Medium").alias("medium"),
     )
 
 
+def block_text(words: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys, text``: the words of each key in lines of their own, one text."""
+    lined = cluster_lines(words, keys=keys)
+    return lined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "x0", "seq", "text"))), lambda w: w["text"]), " ").alias("text"))
+
+
 def cluster_heads(heads: DataFrame, gap: float = 40.0, near: float = 5.0) -> DataFrame:
     """Column heads of each page from heading words: a word joins the last group if it starts within ``gap`` of the
     group's right end or within ``near`` of its left end. Gives ``col_no, left, right`` per group."""
@@ -104,10 +112,15 @@ def in_bands(items: DataFrame, bands: DataFrame, at: str = "top") -> DataFrame:
 
 
 def nearest_above(items: DataFrame, heads: DataFrame, keys: list[str], at: str, head_at: str, value: str) -> DataFrame:
-    """Each item with the ``value`` of the last head of its key at or above it; null where none is."""
-    near = items.join(heads.select(*keys, F.col(head_at).alias("__at"), F.col(value).alias("__value")), keys, "left")
-    known = F.when(F.col("__at") <= F.col(at), F.struct("__at", "__value"))
-    return near.groupBy(*items.columns).agg(F.max(known).alias("__best")).select(*items.columns, F.col("__best.__value").alias(value))
+    """Each item with the ``value`` of the last head of its key at or above it (of several there, the greatest); null
+    where none is. Items and heads go through one window in the order of their positions, so no pair of them is made."""
+    kind = dict(items.dtypes)[at]
+    rest = [c for c in items.columns if c not in (*keys, at)]
+    a = items.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__item"), F.struct(*rest, F.lit(0).alias("__")).alias("__r"), F.lit(None).cast(dict(heads.dtypes)[value]).alias("__v"))
+    b = heads.where(F.col(head_at).isNotNull()).select(*keys, F.col(head_at).cast(kind).alias("__at"), F.lit(0).alias("__item"), F.lit(None).cast(a.schema["__r"].dataType).alias("__r"), F.col(value).alias("__v"))
+    before = Window.partitionBy(*keys).orderBy("__at", "__item", "__v").rowsBetween(Window.unboundedPreceding, 0)
+    both = a.unionByName(b).withColumn("__best", F.when(F.col("__at").isNotNull(), F.last("__v", ignorenulls=True).over(before))).where("__item = 1")
+    return both.select(*((F.col("__at") if c == at else F.col(c) if c in keys else F.col(f"__r.{c}")).alias(c) for c in items.columns), F.col("__best").alias(value))
 
 
 def numbered_entries(lines: DataFrame, keys: list[str], order: list[str], is_head: Column) -> DataFrame:
@@ -129,7 +142,7 @@ def with_suffixes(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return rows.withColumn("suffix", F.when(F.count("*").over(w) > 1, letter).otherwise(""))
 
 
-def arrow_markers(drawings: DataFrame, x_low: float, x_high: float) -> DataFrame:
+def arrow_markers(drawings: DataFrame, x_low: float = float("-inf"), x_high: float = float("inf")) -> DataFrame:
     """Arrow icons of a page: closed paths of ten line segments narrower than 8 points between two x positions; the
     arrow points up, an opportunity, if vertex 2 lies above vertex 7 (both counted from 0), else it is a risk.
 
@@ -138,7 +151,7 @@ def arrow_markers(drawings: DataFrame, x_low: float, x_high: float) -> DataFrame
     shape = (F.size("items") == 10) & F.forall("items", lambda i: i["kind"] == "l") & (F.array_max(xs) - F.array_min(xs) < 8)
     ys = F.transform("items", lambda i: i["y0"])
     return drawings.where(shape & F.array_min(xs).between(x_low, x_high)).select(
-        *PAGE, F.array_min(ys).alias("y"), F.when(ys[2] < ys[7], "opportunity").otherwise("risk").alias("marker")
+        *PAGE, F.array_min(xs).alias("x"), F.array_min(ys).alias("y"), F.when(ys[2] < ys[7], "opportunity").otherwise("risk").alias("marker")
     )
 
 
