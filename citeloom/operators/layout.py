@@ -82,6 +82,35 @@ def band_index(value: Column, bounds: Column, slack: float = 0.0) -> Column:
     return F.size(F.filter(bounds, lambda b: b <= top))
 
 
+#: Bounds up to which an as-of join sends them to every task.
+MOST_BOUNDS = 10_000
+
+
+def asof(items: DataFrame, bounds: DataFrame, at: str, value: str) -> DataFrame:
+    """Each item with the ``value`` of the greatest bound not above it; null where none is.
+
+    Up to ``MOST_BOUNDS`` bounds go as one sorted array to every task (their number is checked), and each item looks
+    itself up in it. More bounds are merged with the items in ranges, cut at quantiles of the bounds; what a range lacks
+    at its start is carried over from the ranges before it, one value each.
+    """
+    rows = bounds.where(F.col(at).isNotNull()).select(F.col(at).alias("__at"), F.col(value).alias("__v"))
+    if len(rows.limit(MOST_BOUNDS + 1).select(F.lit(1)).collect()) <= MOST_BOUNDS:
+        one = rows.groupBy("__at").agg(F.max("__v").alias("__v")).agg(F.array_sort(F.collect_list(F.struct("__at", "__v"))).alias("__b"))
+        found = F.element_at(F.filter("__b", lambda b: b["__at"] <= F.col(at)), -1)["__v"]
+        return items.crossJoin(F.broadcast(one)).withColumn(value, F.when(F.size(F.filter("__b", lambda b: b["__at"] <= F.col(at))) > 0, found)).drop("__b")
+    stamp = F.unix_micros("__at") if dict(rows.dtypes)["__at"].startswith("timestamp") else F.col("__at").cast("double")
+    marks = rows.select(stamp.cast("double").alias("x")).approxQuantile("x", [i / 64 for i in range(1, 64)], 0.01)
+    cut = F.array(*[F.lit(float(m)) for m in sorted(set(marks))])
+    part = lambda df, c: df.withColumn("__p", F.size(F.filter(cut, lambda m: m <= (F.unix_micros(c) if dict(df.dtypes)[c].startswith("timestamp") else F.col(c)).cast("double"))))
+    heads = part(rows, "__at")
+    first = heads.groupBy("__p").agg(F.max_by("__v", F.struct("__at", "__v")).alias("__v")).orderBy("__p").collect()
+    carried = {r["__p"]: r["__v"] for r in first}
+    before = {p: next((carried[q] for q in sorted(carried, reverse=True) if q < p), None) for p in range(len(set(marks)) + 1)}
+    done = nearest_above(part(items, at), heads, ["__p"], at, "__at", "__v")
+    start = F.create_map(*(x for p, v in before.items() for x in (F.lit(p), F.lit(v))))
+    return done.withColumn(value, F.coalesce("__v", F.element_at(start, F.col("__p")))).drop("__p", "__v")
+
+
 def cell_texts(words: DataFrame, columns: DataFrame, row_tops: DataFrame, left_slack: float = 15.0, top_slack: float = 4.0) -> DataFrame:
     """Table cells: each word goes to the last column that begins at most ``left_slack`` right of it and the last row
     that begins at most ``top_slack`` below it; a cell's words stand in line and reading order."""

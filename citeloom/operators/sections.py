@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions.similarity import block_ratio, can_reach
+from citeloom.functions.similarity import letter_counts, scored_pairs
 from citeloom.functions.text import norm_title
 
 # Fixed values of the contents scan.
@@ -41,18 +41,20 @@ def best_title(wanted: DataFrame, offered: DataFrame, keys: list[str]) -> DataFr
     ``SIMILARITY_FLOOR``. Ties go to the first offered title. Only pairs that can reach the floor go to Python.
     ``wanted`` has ``want_no, want_title``; ``offered`` has ``offer_no, title``.
     """
-    w, o = norm_title(F.col("want_title")), norm_title(F.col("title"))
-    pairs = wanted.join(offered, keys).select(*keys, "want_no", "want_title", "offer_no", "title", w.alias("w"), o.alias("o")).where("w <> '' AND o <> ''")
+    # The forms are made below the join, once per title.
+    left = wanted.withColumn("w", norm_title(F.col("want_title"))).where("w <> ''").withColumn("w_n", letter_counts(F.col("w")))
+    right = offered.withColumn("o", norm_title(F.col("title"))).where("o <> ''").withColumn("o_n", letter_counts(F.col("o")))
+    pairs = left.join(right, keys).select(*keys, "want_no", "want_title", "offer_no", "title", "w", "o", "w_n", "o_n")
     sure = F.when(F.col("w") == F.col("o"), 1.0).when(variant(F.col("w"), F.col("o")), 0.95)
     known = pairs.withColumn("sure", sure)
-    scored = known.where("sure IS NOT NULL").select(*keys, "want_no", "offer_no", "title", F.col("sure").alias("score")).unionByName(
-        known.where(F.col("sure").isNull() & can_reach(F.col("w"), F.col("o"), SIMILARITY_FLOOR))
-        .select(*keys, "want_no", "offer_no", "title", block_ratio("w", "o").alias("score")).where(F.col("score") >= SIMILARITY_FLOOR)
-    )
-    best = scored.groupBy(*keys, "want_no").agg(F.max_by(F.struct("title", "score"), F.struct("score", -F.col("offer_no"))).alias("b"))
+    like = scored_pairs(known.where("sure IS NULL"), "w", "o", SIMILARITY_FLOOR).select(*keys, "want_no", "offer_no", "title", "score")
+    scored = known.where("sure IS NOT NULL").select(*keys, "want_no", "offer_no", "title", F.col("sure").alias("score")).unionByName(like)
+    best = scored.groupBy(*keys, "want_no").agg(F.max_by(F.struct("title", "score", "offer_no"), F.struct("score", -F.col("offer_no"))).alias("b"))
     score = F.col("b.score")
     grade = F.when(score == 1.0, "exact").when(score == 0.95, "variant").when(score.isNotNull(), "similarity").otherwise("none")
-    return wanted.join(best, [*keys, "want_no"], "left").select(*keys, "want_no", "want_title", F.col("b.title").alias("matched_title"), grade.alias("match_grade"), score.alias("match_score"))
+    return wanted.join(best, [*keys, "want_no"], "left").select(
+        *keys, "want_no", "want_title", F.col("b.title").alias("matched_title"), grade.alias("match_grade"), score.alias("match_score"), F.col("b.offer_no").alias("matched_no")
+    )
 
 
 def variant(a: Column, b: Column) -> Column:

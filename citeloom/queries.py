@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import text as T
-from citeloom.functions.similarity import block_ratio, can_reach
+from citeloom.functions.similarity import letter_counts, scored_pairs
 from citeloom.operators import calls as C
 from citeloom.operators import evaluate as E
 from citeloom.operators import grounding as G
@@ -430,8 +430,10 @@ def record_numbers(spark, d):
 def golden_assignment(spark, d):
     wanted, offered = _titles(spark, d)
     reports = read_table(spark, d, "risk_instance").select(F.col("id").alias("want_no"), "report_id")
-    pairs = wanted.join(reports, "want_no").join(offered, "company_id").select("report_id", F.col("offer_no").alias("golden_no"), F.col("want_no").alias("record_no"), T.norm_title(F.col("want_title")).alias("a"), T.norm_title(F.col("title")).alias("b"))
-    scores = pairs.where(can_reach(F.col("a"), F.col("b"), E.MATCH_FLOOR)).select("report_id", "golden_no", "record_no", block_ratio("b", "a").alias("score"))
+    left, right = wanted.withColumn("a", T.norm_title(F.col("want_title"))), offered.withColumn("b", T.norm_title(F.col("title")))
+    left, right = left.withColumn("a_n", letter_counts(F.col("a"))), right.withColumn("b_n", letter_counts(F.col("b")))
+    pairs = left.join(reports, "want_no").join(right, "company_id").select("report_id", F.col("offer_no").alias("golden_no"), F.col("want_no").alias("record_no"), "a", "b", "a_n", "b_n")
+    scores = scored_pairs(pairs, "b", "a", E.MATCH_FLOOR).select("report_id", "golden_no", "record_no", "score")
     return E.assign(scores, "report_id")
 
 
@@ -466,10 +468,9 @@ _HOURS = "h AS (SELECT ts, row_number() OVER (ORDER BY ts) AS n FROM (SELECT DIS
 
 @query(f"WITH {_HOURS} SELECT e.event_id, CAST(h.n AS INT) AS band_no FROM events e ASOF JOIN h ON e.ts >= h.ts")
 def band_asof(spark, d):
-    events = read_table(spark, d, "events").where("ts IS NOT NULL").select("event_id", "ts", F.lit(0).alias("k"))
-    bounds = events.select("k", F.date_trunc("day", "ts").alias("ts")).distinct().groupBy("k").agg(F.array_sort(F.collect_list("ts")).alias("bounds"))
-    # The days of the log are one small array; every event looks itself up in it.
-    return events.join(bounds, "k").select("event_id", L.band_index(F.col("ts"), F.col("bounds")).alias("band_no"))
+    events = read_table(spark, d, "events").where("ts IS NOT NULL").select("event_id", "ts")
+    days = events.select(F.date_trunc("day", "ts").alias("ts")).distinct().withColumn("band_no", F.row_number().over(S.Window.orderBy("ts")))
+    return L.asof(events, days, "ts", "band_no").select("event_id", "band_no")
 
 
 @query("""WITH a AS (SELECT report_id, page, row_number() OVER w AS band_no, lead(page) OVER w AS nxt FROM (SELECT DISTINCT report_id, page FROM page_text) WINDOW w AS (PARTITION BY report_id ORDER BY page))

@@ -82,3 +82,17 @@ def test_rules_and_arrows(spark):
     rows = [("d", 0, arrow([5, 9, 1, 3, 4, 5, 1, 7, 8, 6])), ("d", 1, arrow([5, 1, 8, 3, 4, 5, 9, 2, 8, 6])), ("d", 2, arrow([1, 2]))]
     df = spark.createDataFrame(rows, f"doc_id string, pdf_index int, items {item}")
     assert {r.pdf_index: r.marker for r in L.arrow_markers(df, 90.0, 110.0).collect()} == {0: "opportunity", 1: "risk"}
+
+
+def test_asof_by_array_and_by_ranges(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(5)
+    items = [(i, rnd.choice([None, *[x / 4 for x in range(-20, 900)]])) for i in range(400)]
+    bounds = [(float(x), n) for n, x in enumerate(sorted(rnd.sample(range(200), 90)))]
+    df, bd = spark.createDataFrame(items, "i int, at double"), spark.createDataFrame([*bounds, (None, 7)], "at double, n int")
+    want = {i: None if at is None else max((n for x, n in bounds if x <= at), default=None) for i, at in items}
+    for most in (1000, 10):
+        monkeypatch.setattr(L, "MOST_BOUNDS", most)
+        assert {r.i: r.n for r in L.asof(df, bd, "at", "n").collect()} == want
+    assert L.asof(df, bd.limit(0), "at", "n").where("n IS NOT NULL").count() == 0
