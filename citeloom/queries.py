@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from citeloom.functions import text as T
 from citeloom.functions.similarity import letter_counts, scored_pairs
 from citeloom.operators import calls as C
+from citeloom.operators import checks as K
 from citeloom.operators import evaluate as E
 from citeloom.operators import grounding as G
 from citeloom.operators import layout as L
+from citeloom.operators import locate as LO
 from citeloom.operators import records as R
 from citeloom.operators import runlog as RL
 from citeloom.operators import sections as S
@@ -404,13 +406,15 @@ def candidate_agreement(spark, d):
     return R.agreement(a, b, ["report_id"])
 
 
-@query(f"""WITH r AS (SELECT id, report_id, source_register AS s, string_split({_norm('title')}, ' ') AS w, prominence, page FROM risk_instance),
+@query(f"""WITH r AS (SELECT id, report_id, source_register AS s, string_split({_norm("coalesce(title, '') || ' ' || category")}, ' ') AS w, prominence, page FROM risk_instance WHERE category IS NOT NULL),
 h AS (SELECT *, list_contains(w, 'cyber') AS h1, list_has_all(w, ['corruption', 'bribery']) AS h2 FROM r)
 SELECT b.id AS merged_id, arg_min(a.id, struct_pack(p := a.prominence, g := a.page, i := a.id)) AS anchor_id FROM h a JOIN h b USING (report_id)
 WHERE a.s = 'erm_main_risk' AND b.s = 'esrs_financial_risk' AND (a.h1 AND b.h1 OR a.h2 AND b.h2) GROUP BY b.id""")
 def hinted_pairs(spark, d):
-    a, b = _sides(spark, d)
-    pairs = a.select("report_id", F.col("id").alias("anchor_id"), F.col("title").alias("ta"), F.struct("prominence", "page", "id").alias("r")).join(b.select("report_id", F.col("id").alias("merged_id"), F.col("title").alias("tb")), "report_id")
+    """Pairs by hint words alone, sought in the title with the category behind it."""
+    named = read_table(spark, d, "risk_instance").where("category IS NOT NULL").select("id", F.concat_ws(" ", F.coalesce("title", F.lit("")), "category").alias("named"))
+    a, b = (side.join(named, "id") for side in _sides(spark, d))
+    pairs = a.select("report_id", F.col("id").alias("anchor_id"), F.col("named").alias("ta"), F.struct("prominence", "page", "id").alias("r")).join(b.select("report_id", F.col("id").alias("merged_id"), F.col("named").alias("tb")), "report_id")
     return pairs.where(R.hinted(F.col("ta"), F.col("tb"))).groupBy("merged_id").agg(F.min_by("anchor_id", "r").alias("anchor_id"))
 
 
@@ -752,6 +756,98 @@ def set_difference(spark, d):
     return rows.where("prominence = 1").select("id", "title").exceptAll(rows.where("page > 100").select("id", "title"))
 
 
+# --- Check catalogue, locating --------------------------------------------------------------------------------------
+
+
+def _blocks(spark, d) -> DataFrame:
+    """Records as blocks of their report: the span as text, three named fields, the marker that the description gives."""
+    field = lambda c: F.coalesce(c, F.lit(""))
+    fields = F.create_map(F.lit("description"), field("description"), F.lit("potential_impact"), field("potential_impact"), F.lit("how_we_manage_it"), field("mitigation"))
+    return read_table(spark, d, "risk_instance").select(
+        "report_id", F.col("id").alias("block_id"), "section", "page", F.when(F.col("source_register") == "erm_main_risk", "main_risks_table").otherwise("esrs_table").alias("strategy"), F.col("title").alias("heading"),
+        F.col("verbatim_span").alias("text"), fields.alias("fields"), F.coalesce(T.lexical_marker(F.col("description")), F.lit("none")).alias("marker"), "quality_flags", "prominence",
+    )
+
+
+_LEXICAL = """coalesce(CASE WHEN contains(lower(description), 'immaterial') THEN 'immaterial' WHEN contains(lower(description), 'opportunit') AND NOT contains(right(string_split(lower(description), 'opportunit')[1], 40), 'risk') THEN 'opportunity'
+  WHEN contains(lower(description), 'risk') THEN 'risk' END, 'none')"""
+
+
+@query(f"""WITH {_PAGES}, b AS (SELECT *, {_LEXICAL} AS marker, source_register = 'erm_main_risk' AS erm FROM risk_instance), reps AS (SELECT DISTINCT report_id FROM b),
+rng AS (SELECT ri.report_id, c.section, min(c.page) AS lo, max(c.page) AS hi FROM risk_citation c JOIN risk_instance ri ON ri.id = c.risk_instance_id WHERE c.section IS NOT NULL GROUP BY ALL),
+c1 AS (SELECT report_id, 'blocks_per_section' AS check_id, rng.section, count(b.id) AS n, CASE WHEN count(b.id) > 0 THEN 'ok' WHEN rng.section = 'material_iros' THEN 'error' ELSE 'warning' END AS outcome FROM rng LEFT JOIN b USING (report_id, section) GROUP BY report_id, rng.section),
+sh AS (SELECT report_id, count(*) AS n, max(CASE WHEN coalesce(description, '') <> '' THEN 1 ELSE 0 END) + max(CASE WHEN coalesce(potential_impact, '') <> '' THEN 1 ELSE 0 END) + max(CASE WHEN coalesce(mitigation, '') <> '' THEN 1 ELSE 0 END) AS names,
+  count_if(coalesce(description, '') = '' OR coalesce(potential_impact, '') = '' OR coalesce(mitigation, '') = '') AS gaps FROM b WHERE erm GROUP BY 1),
+c2 AS (SELECT report_id, 'main_risks_shape', NULL, n, CASE WHEN n = 3 AND names = 3 AND gaps = 0 THEN 'ok' ELSE 'error' END FROM sh),
+c3 AS (SELECT report_id, 'marker_missing', NULL, count_if(NOT erm AND marker <> 'none' AND list_contains(coalesce(quality_flags, []), 'marker_icon_missing')) AS n, 'ok' FROM b GROUP BY 1),
+t AS (SELECT report_id, id, {_tokens('verbatim_span')} AS a, {_tokens('page_text')} AS p FROM b JOIN pages USING (report_id, page) WHERE verbatim_span IS NOT NULL),
+g AS (SELECT report_id, id, a, p, {_TRIGRAMS.format('a')} AS ga, list_distinct({_TRIGRAMS.format('p')}) AS gp FROM t),
+f AS (SELECT report_id, CASE WHEN len(a) < 3 THEN CAST(contains(array_to_string(p, ' '), array_to_string(a, ' ')) AS DOUBLE) ELSE len(list_filter(ga, lambda x: list_contains(gp, x))) / len(ga) END AS share FROM g),
+c5 AS (SELECT report_id, 'text_not_on_page', NULL, count_if(share < 0.95) AS n, CASE WHEN count_if(share < 0.95) > 0 THEN 'error' ELSE 'ok' END FROM reps LEFT JOIN f USING (report_id) GROUP BY report_id),
+pw AS (SELECT report_id, page, unnest({_tokens('page_text')}) AS word FROM pages), bw AS (SELECT report_id, page, unnest({_tokens("concat_ws(' ', title, verbatim_span)")}) AS word FROM b),
+x AS (SELECT report_id, page, word, count(*) AS n FROM pw GROUP BY ALL), y AS (SELECT report_id, page, word, count(*) AS n FROM bw GROUP BY ALL), own AS (SELECT DISTINCT report_id, page FROM b),
+cov AS (SELECT report_id, page, round(sum(least(x.n, coalesce(y.n, 0))) / sum(x.n), 6) AS share FROM x JOIN own USING (report_id, page) LEFT JOIN y USING (report_id, page, word) GROUP BY ALL),
+c6 AS (SELECT report_id, 'page_coverage', NULL, count_if(share < 0.95) AS n, CASE WHEN count_if(share < 0.95) > 0 THEN 'warning' ELSE 'ok' END FROM reps LEFT JOIN cov USING (report_id) GROUP BY report_id),
+c7 AS (SELECT report_id, 'block_ids_and_ranges', NULL, count_if(NOT coalesce(page BETWEEN lo AND hi, false)) AS n, CASE WHEN count_if(NOT coalesce(page BETWEEN lo AND hi, false)) > 0 THEN 'error' ELSE 'ok' END FROM b LEFT JOIN rng USING (report_id, section) GROUP BY report_id),
+now_ AS (SELECT report_id, concat_ws(':', page, marker) AS k, count(*) AS n FROM b GROUP BY ALL), old AS (SELECT report_id, concat_ws(':', page, marker) AS k, count(*) AS n FROM b WHERE prominence = 1 GROUP BY ALL),
+dr AS (SELECT coalesce(a.report_id, o.report_id) AS report_id, count(*) AS n FROM (SELECT * FROM now_ WHERE report_id IN (SELECT report_id FROM old)) a FULL JOIN old o ON a.report_id = o.report_id AND a.k = o.k WHERE a.n IS DISTINCT FROM o.n GROUP BY 1),
+c8 AS (SELECT report_id, 'count_drift', NULL, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) > 0 THEN 'warning' ELSE 'ok' END FROM reps LEFT JOIN dr USING (report_id))
+SELECT report_id, check_id, section, CAST(n AS BIGINT) AS n, outcome FROM (FROM c1 UNION ALL FROM c2 UNION ALL FROM c3 UNION ALL (SELECT report_id, 'marker_disagreement', NULL, 0, 'ok' FROM reps) UNION ALL FROM c5 UNION ALL FROM c6 UNION ALL FROM c7 UNION ALL FROM c8)""")
+def extract_check_log(spark, d):
+    """The checks of extraction over the records as blocks; a section's pages are those cited for it, and the run before
+    had the most prominent records only."""
+    blocks, ri = _blocks(spark, d), read_table(spark, d, "risk_instance")
+    cited = read_table(spark, d, "risk_citation").where("section IS NOT NULL").select(F.col("risk_instance_id").alias("id"), "section", "page").join(ri.select("id", "report_id"), "id")
+    sections = cited.groupBy("report_id", "section").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page")).withColumn("required", F.col("section") == "material_iros").withColumn("outcome", F.lit("ok"))
+    pages = G.page_texts(read_table(spark, d, "page_text")).withColumnRenamed("page_text", "text")
+    words = pages.select("report_id", "page", F.col("text").alias("word"), F.lit(100.0).alias("top"))
+    log = K.extract_checks(sections, blocks, pages, words, K.marker_counts(blocks.where("prominence = 1")))
+    return log.select("report_id", "check_id", F.get_json_object("detail", "$.section").alias("section"), F.col("count").alias("n"), "outcome")
+
+
+@query(f"""WITH {_PAGES}, {_TEXTS}, {_GOLDEN}, {_checked_sql('src', 'gk')}, reps AS (SELECT DISTINCT report_id FROM risk_instance),
+c1 AS (SELECT report_id, 'identify_register' AS check_id, count(*) AS n, 'ok' AS outcome FROM risk_instance WHERE source_register IS NOT NULL GROUP BY 1),
+c2 AS (SELECT report_id, 'category_poor_fit', count_if(poor_fit), 'ok' FROM risk_instance GROUP BY 1),
+bad AS (SELECT report_id, count(*) AS n, count_if(({_FLAGGED}) > 0) AS bad FROM gk JOIN risk_instance USING (id) GROUP BY 1), c3 AS (SELECT report_id, 'grounding_failures', bad, CASE WHEN 1 - bad / n >= 0.8 THEN 'ok' ELSE 'warning' END FROM bad),
+tw AS (SELECT report_id, count(*) AS n FROM (SELECT report_id, canonical_risk_id FROM risk_instance WHERE canonical_risk_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1) GROUP BY 1),
+c4 AS (SELECT report_id, 'transform_set_checks', coalesce(n, 0), CASE WHEN coalesce(n, 0) > 0 THEN 'error' ELSE 'ok' END FROM reps LEFT JOIN tw USING (report_id)),
+sc AS (SELECT report_id, evaluator, avg(CASE WHEN problems = 0 THEN 1.0 ELSE 0.0 END) >= CASE evaluator WHEN 'provenance' THEN 0.9 ELSE 0.8 END AS passed FROM p GROUP BY report_id, evaluator),
+c5 AS (SELECT report_id, 'eval_scores', count_if(NOT passed), CASE WHEN count_if(NOT passed) > 0 THEN 'error' ELSE 'ok' END FROM sc GROUP BY 1),
+wr AS (SELECT ri.report_id, count(*) AS e, count(DISTINCT (c.risk_instance_id, c.page, c.section, c.source_register, c.span)) AS n FROM risk_citation c JOIN risk_instance ri ON ri.id = c.risk_instance_id GROUP BY 1),
+c6 AS (SELECT report_id, 'rows_written', n, CASE WHEN n = e THEN 'ok' ELSE 'error' END FROM wr)
+SELECT report_id, check_id, CAST(n AS BIGINT) AS n, outcome FROM (FROM c1 UNION ALL FROM c2 UNION ALL FROM c3 UNION ALL FROM c4 UNION ALL FROM c5 UNION ALL FROM c6)""")
+def transform_check_log(spark, d):
+    """The checks of transformation and load over the records; the citations count as stored once each."""
+    ri, cites = read_table(spark, d, "risk_instance"), read_table(spark, d, "risk_citation")
+    found = G.grounded(ri, read_table(spark, d, "page_text"), cites).withColumn("repaired", F.lit(False))
+    candidates = ri.where("source_register IS NOT NULL").groupBy("report_id", "source_register").agg(F.count("*").alias("n"))
+    whole = ri.groupBy("report_id").agg(F.count("*").alias("candidates")).withColumn("merges", F.lit(0))
+    placed = cites.join(ri.select(F.col("id").alias("risk_instance_id"), "report_id"), "risk_instance_id")
+    log = K.union([
+        K.identify_checks(candidates), K.counted(ri, "category_poor_fit", F.coalesce("poor_fit", F.lit(False)), F.col("id")), K.grounding_check(found), K.set_checks(ri, whole),
+        K.eval_check(E.evaluated(E.match_problems(_matched(spark, d), "report_id"), "report_id")), K.rows_check(placed.distinct(), placed),
+    ])
+    return log.select("report_id", "check_id", F.col("count").alias("n"), "outcome")
+
+
+@query("""WITH rp AS (SELECT DISTINCT p.report_id, p.page, p.page - 1 + r.page_offset AS i FROM page_text p JOIN report r ON r.id = p.report_id WHERE r.page_offset IS NOT NULL), sz AS (SELECT report_id, max(i) + 1 AS pages FROM rp GROUP BY 1),
+pr AS (SELECT report_id, section, min(page) AS printed FROM risk_instance WHERE section IS NOT NULL GROUP BY ALL), st AS (SELECT report_id, section, printed, pages, unnest(range(0, 6)) AS step FROM pr JOIN sz USING (report_id)),
+f AS (SELECT st.report_id, section, printed, pages, arg_min(rp.i - (rp.page - 1), step) AS o FROM st JOIN rp ON rp.report_id = st.report_id AND rp.i = printed - 1 + step GROUP BY ALL),
+v AS (SELECT f.report_id, section, o FROM f JOIN rp ON rp.report_id = f.report_id AND rp.i = printed - 1 + o WHERE rp.page = printed),
+m AS (SELECT report_id, o, count(*) AS n, min(section) AS s FROM v GROUP BY ALL)
+SELECT report_id, CAST(o AS INT) AS page_offset, CAST(n AS BIGINT) AS votes FROM (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY n DESC, s) AS k FROM m) WHERE k = 1""")
+def page_offsets(spark, d):
+    """The offset of each report's pages, measured from the numbers printed on those that are known."""
+    offset = read_table(spark, d, "report").where("page_offset IS NOT NULL").select(F.col("id").alias("report_id"), "page_offset")
+    known = read_table(spark, d, "page_text").select("report_id", "page").distinct().join(offset, "report_id").select("report_id", (F.col("page") - 1 + F.col("page_offset")).alias("pdf_index"), F.col("page").alias("number"))
+    sizes = known.groupBy("report_id").agg((F.max("pdf_index") + 1).alias("page_count"))
+    probes = read_table(spark, d, "risk_instance").where("section IS NOT NULL").groupBy("report_id", "section").agg(F.min("page").alias("printed_page")).withColumnRenamed("section", "seq")
+    return S.mode_first_seen(LO.measured_offsets(probes, known, sizes, "report_id"), ["report_id"], "page_offset", "seq")
+
+
+# --- Streams, enrichment --------------------------------------------------------------------------------------------
+
+
 @query(f"WITH {_WINS} SELECT run_id, report_id, phase, check_id, outcome, count FROM l")
 def streamed_last_wins(spark, d):
     """The check log read as a stream and merged micro-batch by micro-batch ends as the batch result."""
