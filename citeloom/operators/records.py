@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.similarity import block_ratio, can_reach
-from citeloom.functions.text import norm_loose, norm_text, unhyphenate
+from citeloom.functions.text import canonical_key, norm_loose, norm_text, unhyphenate
 
 # Fixed values of the matches.
 AGREE_RATIO, AGREE_PREFIX, SPAN_PREFIX = 0.6, 60, 80
@@ -85,6 +85,27 @@ def merged_citations(pairs: DataFrame, citations: DataFrame) -> DataFrame:
     return own.withColumn("risk_instance_id", F.coalesce("anchor_id", "risk_instance_id")).drop("anchor_id").distinct()
 
 
+def merged_records(candidates: DataFrame, pairs: DataFrame, report: str) -> DataFrame:
+    """The records that are left of described candidates after merging, numbered by prominence, page and name.
+
+    A record keeps the facts of its candidate; its citations are its own and those of the candidates merged into it, in
+    their order; its canonical id comes from the first of them (the topic register's twin keeps its id when a risk rises
+    into the main register), else from itself. A poor fit is flagged with its reason. ``candidates`` has ``report, id,
+    company_id, title, verbatim_title, source_taxonomy, source_register, section, page, prominence, verbatim_span,
+    poor_fit, poor_fit_reason`` and any other columns; ``pairs`` as from ``same_risk_pairs``.
+    """
+    rank = F.struct("prominence", "page", "id")
+    own = canonical_key(F.col("company_id"), F.col("source_taxonomy"), F.col("verbatim_title"))
+    cite = F.struct("section", "page", "source_register", F.col("verbatim_span").alias("span"))
+    joined = pairs.select(report, F.col("merged_id").alias("id"), "anchor_id").join(candidates, [report, "id"])
+    absorbed = joined.groupBy(report, F.col("anchor_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct(rank.alias("rank"), cite.alias("cite"), own.alias("key")))).alias("__m"))
+    kept = candidates.join(pairs.select(report, F.col("merged_id").alias("id")), [report, "id"], "left_anti").join(absorbed, [report, "id"], "left")
+    others = F.coalesce(F.transform("__m", lambda m: m["cite"]), F.array().cast("array<struct<section:string,page:int,source_register:string,span:string>>"))
+    flags = F.when(F.coalesce("poor_fit", F.lit(False)), F.array(F.concat(F.lit("poor_fit:"), F.coalesce("poor_fit_reason", F.lit(""))))).otherwise(F.array().cast("array<string>"))
+    rows = kept.select("*", F.coalesce(F.col("__m")[0]["key"], own).alias("canonical_risk_id"), F.concat(F.array(cite), others).alias("citations"), flags.alias("quality_flags")).drop("__m")
+    return numbered(rows, report)
+
+
 def paragraph_after(text: Column, heading: str) -> Column:
     """The paragraph below a heading line: lines until a short one without end mark that follows a finished sentence,
     joined across line ends and hyphens, cut at the last sentence end within ``PARAGRAPH_LONGEST``; null without it."""
@@ -104,18 +125,31 @@ def paragraph_after(text: Column, heading: str) -> Column:
     return F.nullif(cut, F.lit(""))
 
 
-def enriched(records: DataFrame, pages: DataFrame, heading: str) -> DataFrame:
-    """Records without mitigation take the paragraph below ``heading`` on their page, else on the next one; the source
-    page and a citation of at most ``CITATION_LONGEST`` characters come with it."""
-    para = pages.select("report_id", "page", paragraph_after(F.col("text"), heading).alias("paragraph")).where("paragraph IS NOT NULL").groupBy("report_id", "page").agg(F.min("paragraph").alias("paragraph"))
-    bare = records.where(F.coalesce("mitigation", F.lit("")) == "")
-    here = bare.join(para, ["report_id", "page"], "left").withColumnRenamed("paragraph", "p0")
-    after = para.select("report_id", (F.col("page") - 1).alias("page"), F.col("paragraph").alias("p1"))
+def enriched(records: DataFrame, pages: DataFrame, heading: str = "Actions and resources", phrase: str = "type of impact", register: str = "esrs_financial_risk") -> DataFrame:
+    """The mitigation that the topical pages of a report give records of ``register`` without one: ``id, mitigation,
+    mitigation_page, citation, quality_flags``.
+
+    A record's page is the first one (in page order) that holds its printed title, else its title, in normal form and also
+    ``phrase``; the paragraph below ``heading`` on that page, else on the next one, is its mitigation, cited with at most
+    ``CITATION_LONGEST`` characters and flagged. ``pages`` has ``report_id, page, text, section``.
+    """
+    of = lambda c: F.col(c) if c in records.columns else F.lit(None).cast("string")
+    bare = records.where((F.coalesce("mitigation", F.lit("")) == "") & (F.col("source_register") == register))
+    titles = bare.select("id", "report_id", norm_text(F.coalesce(of("verbatim_title"), F.lit(""))).alias("t1"), norm_text(F.coalesce(F.col("title"), F.lit(""))).alias("t2"))
+    topical = pages.where("text IS NOT NULL").groupBy("report_id", "page").agg(F.max(F.struct("text", "section")).alias("p")).select("report_id", "page", "p.text", "p.section")
+    shown = topical.select("report_id", "page", norm_text(F.col("text")).alias("shown")).where(F.contains("shown", F.lit(phrase)))
+    has = lambda t: (F.col(t) != "") & F.contains("shown", F.col(t))
+    found = titles.join(shown, "report_id").where(has("t1") | has("t2")).groupBy("id", "report_id").agg(F.min("page").alias("page"))
+    para = topical.select("report_id", "page", "section", paragraph_after(F.col("text"), heading).alias("paragraph")).where("paragraph IS NOT NULL")
+    here = found.join(para.withColumnsRenamed({"paragraph": "p0", "section": "s0"}), ["report_id", "page"], "left")
+    after = para.select("report_id", (F.col("page") - 1).alias("page"), F.col("paragraph").alias("p1"), F.col("section").alias("s1"))
     both = here.join(after, ["report_id", "page"], "left").where("p0 IS NOT NULL OR p1 IS NOT NULL")
-    return both.select(
-        "id", F.coalesce("p0", "p1").alias("mitigation"), F.when(F.col("p0").isNotNull(), F.col("page")).otherwise(F.col("page") + 1).alias("mitigation_page"),
-        F.substring(F.coalesce("p0", "p1"), 1, CITATION_LONGEST).alias("citation"),
-    )
+    first = F.col("p0").isNotNull()
+    rows = both.select("id", F.coalesce("p0", "p1").alias("mitigation"), F.when(first, F.col("page")).otherwise(F.col("page") + 1).alias("mitigation_page"), F.when(first, F.col("s0")).otherwise(F.col("s1")).alias("section"))
+    cite = F.struct("section", F.col("mitigation_page").alias("page"), F.lit(register).alias("source_register"), F.substring("mitigation", 1, CITATION_LONGEST).alias("span"))
+    old = bare.select("id", F.coalesce(F.col("quality_flags"), F.array().cast("array<string>")).alias("old") if "quality_flags" in records.columns else F.array().cast("array<string>").alias("old"))
+    flag = F.concat(F.lit("mitigation_from_topical_section:p"), F.col("mitigation_page").cast("string"))
+    return rows.join(old, "id").select("id", "mitigation", "mitigation_page", cite.alias("citation"), F.concat("old", F.array(flag)).alias("quality_flags"))
 
 
 def voted(samples: DataFrame, key: str, first_value: str, seq: str) -> DataFrame:

@@ -62,6 +62,45 @@ def write_reports(loaded: DataFrame, path: str) -> None:
     loaded.repartition("report_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_id").parquet(path)
 
 
+#: Stored tables: those with rows of a report, those whose rows are overwritten by id, and that of the first title.
+OF_REPORTS, BY_ID = ("risk_instance", "risk_citation", "risk_category", "run_record"), ("company", "report", "run")
+
+
+def load_reports(tables: dict[str, DataFrame], folder: str, load_id: str) -> None:
+    """Store the tables of one or more reports as a unit.
+
+    Every table is written under ``load=<load_id>``, beside the older loads; the last step is one small row per report in
+    ``loads``, and readers count only what is named there, so a load that fails half-way is never seen. Tables of reports
+    need ``report_id``; ``tables["report"]`` says which reports are loaded.
+    """
+    spark = tables["report"].sparkSession
+    known = {*OF_REPORTS, *BY_ID, "canonical_risk"}
+    if unknown := set(tables) - known:
+        raise ValueError(f"no stored tables: {', '.join(sorted(unknown))}")
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}/load={load_id}")
+    loads = tables["report"].select(F.col("id").alias("report_id"), F.lit(load_id).alias("load"), F.current_timestamp().alias("at"))
+    loads.coalesce(1).write.mode("append").parquet(f"{folder}/loads")
+    write_meta(spark, f"{folder}/meta")
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored table: rows of a report from its last load only; by id the last load's row; of a canonical risk the title of
+    its first load."""
+    check_meta(spark, f"{folder}/meta")
+    loads = spark.read.parquet(f"{folder}/loads")
+    rows = spark.read.parquet(f"{folder}/{name}")
+    plain = [c for c in rows.columns if c != "load"]
+    rows = rows.withColumn("load", F.col("load").cast("string"))
+    if name in OF_REPORTS:
+        last = loads.groupBy("report_id").agg(F.max_by("load", F.struct("at", "load")).alias("load"))
+        return rows.join(last, ["report_id", "load"], "left_semi").select(plain)
+    seen = rows.join(loads.groupBy("load").agg(F.min("at").alias("__at")), "load")
+    pick = F.min_by if name == "canonical_risk" else F.max_by
+    one = seen.groupBy("id").agg(pick(F.struct(*plain), F.struct("__at", "load")).alias("__r"))
+    return one.select(*(F.col(f"__r.{c}").alias(c) for c in plain))
+
+
 def write_meta(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([("schema_version", SCHEMA_VERSION)], "key string, value string").write.mode("overwrite").json(path)
 

@@ -13,6 +13,7 @@ from citeloom.functions import text as T
 from citeloom.functions.similarity import letter_counts, scored_pairs
 from citeloom.operators import calls as C
 from citeloom.operators import checks as K
+from citeloom.operators import compare as X
 from citeloom.operators import evaluate as E
 from citeloom.operators import grounding as G
 from citeloom.operators import layout as L
@@ -859,11 +860,21 @@ def streamed_last_wins(spark, d):
     schema = read_table(spark, d, "run_checks").schema
     stream = spark.readStream.schema(schema).parquet(f"{d}/run_checks.parquet*")
     checks.upsert_stream(stream, f"{base}/table", f"{base}/log")
-    return checks.latest_generation(spark, f"{base}/table").select("run_id", "report_id", "phase", "check_id", "outcome", "count")
+    return checks.latest_generation(spark, f"{base}/table", schema).select("run_id", "report_id", "phase", "check_id", "outcome", "count")
 
 
 @query()
 def mitigation_paragraphs(spark, d):
-    """The paragraph below a report's running head, as the enrichment finds it below its heading."""
-    pages = read_table(spark, d, "page_text").where("text IS NOT NULL")
-    return R.enriched(read_table(spark, d, "risk_instance"), pages, "[^\\n]+[Rr]eport[^\\n]*").select("id", "mitigation", "mitigation_page", "citation")
+    """The paragraph below a report's running head, on the first page that shows a record's title or the next one."""
+    pages = read_table(spark, d, "page_text").where("text IS NOT NULL").select("report_id", "page", "text", F.lit("pages").alias("section"))
+    return R.enriched(read_table(spark, d, "risk_instance"), pages, "[^\\n]+[Rr]eport[^\\n]*", "").select("id", "mitigation", "mitigation_page", F.col("citation.span").alias("citation"))
+
+
+@query()
+def identified_all(spark, d):
+    """Topic-register records as proposed candidates against the main register's as table risks."""
+    a, b = _sides(spark, d)
+    tables = a.select("report_id", F.dense_rank().over(S.Window.partitionBy("report_id").orderBy("id")).alias("table_no"), "title", "span", F.lit(None).cast("string").alias("impact"))
+    pages = G.page_texts(read_table(spark, d, "page_text")).withColumnRenamed("page_text", "text")
+    found = X.identified_all(b.select("report_id", F.col("id").alias("seq"), "page", "title", "span"), tables, pages, _blocks(spark, d), "report_id")
+    return found.select("seq", "table_no", "matched_by", "table_row", "type_above")

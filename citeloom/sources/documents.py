@@ -6,7 +6,7 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,10 +28,11 @@ def read_documents(spark: SparkSession, paths: str | list[str], schema: StructTy
 
 
 def read_recorded_calls(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Recorded calls, one per request hash: that of the last file by name."""
+    """Recorded calls, one per request hash: that of the last file by name (an aggregation that combines before the
+    shuffle)."""
     rows = spark.read.schema(schema).option("multiLine", True).json(pattern).select("*", F.col("_metadata.file_name").alias("file"))
-    order = Window.partitionBy("request_hash").orderBy(F.desc("file"))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    last = rows.groupBy("request_hash").agg(F.max_by(F.struct(*(c for c in rows.columns if c != "request_hash")), "file").alias("r"))
+    return last.select(*(F.col(c) if c == "request_hash" else F.col(f"r.{c}").alias(c) for c in rows.columns))
 
 
 def read_run_records(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
@@ -39,17 +40,15 @@ def read_run_records(spark: SparkSession, pattern: str, schema: str) -> DataFram
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(pattern)
 
 
+_BLOCK_HEAD = re.compile(r"^[ \t]*--[ \t]*name:[ \t]*(\w+)[ \t]*$", re.M)
+_COMMENT = re.compile(r"^[ \t]*--.*$\n?", re.M)
+
+
 def named_queries(text: str) -> dict[str, str]:
-    """``-- name: x`` blocks of a SQL file; comment lines are left out."""
-    out: dict[str, list[str]] = {}
-    name = None
-    for line in text.splitlines():
-        if m := re.match(r"--\s*name:\s*(\w+)\s*$", line.strip()):
-            name = m[1]
-            out[name] = []
-        elif name and not line.lstrip().startswith("--"):
-            out[name].append(line)
-    return {k: "\n".join(v).strip().rstrip(";") for k, v in out.items()}
+    """The queries of a SQL file by the name in the comment above each; other comment lines and the text before the
+    first name are left out."""
+    _, *parts = _BLOCK_HEAD.split(text)
+    return dict(zip(parts[::2], (_COMMENT.sub("", sql).strip().rstrip(";") for sql in parts[1::2])))
 
 
 def run_named(spark: SparkSession, queries: dict[str, str], name: str, **params) -> DataFrame:
@@ -58,41 +57,57 @@ def run_named(spark: SparkSession, queries: dict[str, str], name: str, **params)
     return spark.sql(queries[name], args={p: params.get(p) for p in wanted})
 
 
-def resolve_run(ref: str, roots: list[str]) -> Path:
-    """The folder of a recorded run: the path itself, else under one of the roots; it must hold recordings."""
-    for path in (Path(ref), *(Path(r) / ref for r in roots)):
-        if (path / "llm").is_dir():
-            return path
-    raise FileNotFoundError(f"no recorded run {ref!r}")
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(at) and files.getFileStatus(at).isDirectory()
+
+
+def resolve_run(spark: SparkSession, ref: str, roots: list[str]) -> str:
+    """The folder of a recorded run, on any file system that Spark reads: ``ref`` as a path, else as a name under the
+    roots, in their order. A run is a folder with recordings (``llm``) in it."""
+    places = [ref] + [root.rstrip("/") + "/" + ref for root in roots]
+    found = next((place for place in places if _is_folder(spark, place + "/llm")), None)
+    if found is None:
+        raise FileNotFoundError(f"no recorded run {ref!r}")
+    return found
 
 
 def load_prompt(folder: str, version: str, name: str) -> str:
     return (Path(folder) / version / f"{name}.md").read_text(encoding="utf-8")
 
 
-def strict_schema(schema: dict) -> dict:
-    """A JSON schema in which every object forbids other keys and requires all of its own, nested ones too."""
-    out = json.loads(json.dumps(schema))
+def _closed(node: dict) -> dict:
+    """An object schema that allows its own properties only, all of them required; any other node as it is."""
+    own = node.get("properties")
+    return {**node, "required": list(own), "additionalProperties": False} if node.get("type") == "object" and own is not None else node
 
-    def walk(node) -> None:
-        if isinstance(node, dict):
-            if node.get("type") == "object" and "properties" in node:
-                node["additionalProperties"] = False
-                node["required"] = list(node["properties"])
-            for v in node.values():
-                walk(v)
-        elif isinstance(node, list):
-            for v in node:
-                walk(v)
 
-    walk(out)
-    return out
+def strict_schema(schema: dict) -> dict:
+    """A JSON schema in which every object, at any depth, is closed. The JSON reader calls ``_closed`` on each object as
+    it leaves it, innermost first."""
+    return json.loads(json.dumps(schema), object_hook=_closed)
 
 
 def write_documents(df: DataFrame, path: str) -> None:
+    """One JSON line per row."""
     df.write.mode("overwrite").json(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """The rows of a small result (a step's outcome, an evaluation) as one readable JSON document each, in one file."""
+    df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def record_calls(calls: DataFrame, path: str) -> None:
+    """Append calls to the recordings; a request that is recorded already keeps its recording."""
+    spark = calls.sparkSession
+    fresh = calls.dropDuplicates(["request_hash"])
+    if _is_folder(spark, path):
+        fresh = fresh.join(spark.read.schema(calls.schema).parquet(path).select("request_hash"), "request_hash", "left_anti").select(calls.columns)
+    fresh.write.mode("append").parquet(path)
+
+
 def append_invocation(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

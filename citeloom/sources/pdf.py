@@ -5,6 +5,8 @@ One partition per file. The footer band is dropped inside the reader if the opti
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 WORDS = "doc_id string, pdf_index int, seq int, text string, x0 double, x1 double, top double, bottom double, size double, font string"
@@ -45,18 +47,21 @@ class _Reader(DataSourceReader):
 
         with pymupdf.open(partition.value) as doc:
             for index, page in enumerate(doc):
-                seq = 0
-                for block in page.get_text("dict")["blocks"]:
-                    for line in block.get("lines", []):
-                        for span in line["spans"]:
-                            x0, top, x1, bottom = span["bbox"]
-                            if self.drop_footer and top > page.rect.height - 30:
-                                continue
-                            words = span["text"].split()
-                            step = (x1 - x0) / max(1, len(span["text"]))
-                            at = 0
-                            for w in words:
-                                at = span["text"].index(w, at)
-                                yield (partition.value, index, seq, w, x0 + at * step, x0 + (at + len(w)) * step, top, bottom, span["size"], span["font"].rpartition("-")[2])
-                                at += len(w)
-                                seq += 1
+                limit = page.rect.height - 30 if self.drop_footer else float("inf")
+                spans = (s for b in page.get_text("rawdict")["blocks"] for line in b.get("lines", []) for s in line["spans"])
+                for seq, word in enumerate(w for s in spans for w in span_words(s) if w[3] <= limit):
+                    yield (partition.value, index, seq, *word)
+
+
+def span_words(span: dict) -> list[tuple]:
+    """The words of a span with the exact box of their characters: ``text, x0, x1, top, bottom, size, font``. Blanks and
+    characters without a shape (icons come as control characters) part words; the font is what follows the last hyphen."""
+    font = span["font"].rpartition("-")[2]
+    runs = groupby(span["chars"], key=lambda c: c["c"].isprintable() and not c["c"].isspace())
+    out = []
+    for shown, chars in runs:
+        if shown:
+            text, boxes = zip(*((c["c"], c["bbox"]) for c in chars))
+            left, top, right, bottom = zip(*boxes)
+            out.append(("".join(text), min(left), max(right), min(top), max(bottom), float(span["size"]), font))
+    return out

@@ -34,9 +34,10 @@ def test_named_queries(spark):
 
 def test_runs_prompts_schemas(spark, tmp_path):
     (tmp_path / "runs" / "r1" / "llm").mkdir(parents=True)
-    assert D.resolve_run("r1", [str(tmp_path / "x"), str(tmp_path / "runs")]).name == "r1"
+    assert D.resolve_run(spark, "r1", [str(tmp_path / "x"), str(tmp_path / "runs")]) == str(tmp_path / "runs" / "r1")
+    assert D.resolve_run(spark, str(tmp_path / "runs" / "r1"), []) == str(tmp_path / "runs" / "r1")
     with pytest.raises(FileNotFoundError):
-        D.resolve_run("r2", [str(tmp_path)])
+        D.resolve_run(spark, "r2", [str(tmp_path)])
     (tmp_path / "v1").mkdir()
     (tmp_path / "v1" / "intent.md").write_text("prompt")
     assert D.load_prompt(str(tmp_path), "v1", "intent") == "prompt"
@@ -47,6 +48,19 @@ def test_runs_prompts_schemas(spark, tmp_path):
     assert (got.model, got.started_at, got.phases) == ("m1", 1, ["extract", "transform", "load"])
 
 
+def test_reports_and_recordings(spark, tmp_path):
+    D.write_report(spark.createDataFrame([("r", 0.9)], "run_id string, score double"), str(tmp_path / "report"))
+    assert json.loads((next((tmp_path / "report").glob("part-*.txt"))).read_text()) == {"run_id": "r", "score": 0.9}
+    for rows in ([("h1", "a"), ("h1", "a")], [("h1", "later"), ("h2", "b")]):
+        D.record_calls(spark.createDataFrame(rows, "request_hash string, reply string"), str(tmp_path / "calls"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "calls")).collect())) == [("h1", "a"), ("h2", "b")]
+    D.write_documents(spark.range(3), str(tmp_path / "docs"))
+    assert spark.read.json(str(tmp_path / "docs")).count() == 3
+    for model in ("m1", "m2"):
+        D.append_invocation(spark.createDataFrame([(model,)], "model string"), str(tmp_path / "runs"))
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 2
+
+
 def test_staging_keeps_rows_and_cuts_the_plan(spark):
     df = staged(spark.range(10).withColumn("x", F.col("id") * 2), "t")
     assert df.agg(F.sum("x")).first()[0] == 90 and "Range" not in df._jdf.queryExecution().toString()
@@ -61,7 +75,7 @@ def test_stream_upserts(spark, tmp_path):
         rows.coalesce(1).write.mode("append").parquet(src)
     stream = checks.check_stream(spark, src, spark.read.parquet(src).schema)
     checks.upsert_stream(stream, str(tmp_path / "out"), str(tmp_path / "log"))
-    assert [r.outcome for r in checks.latest_generation(spark, str(tmp_path / "out")).collect()] == ["ok"]
+    assert [r.outcome for r in checks.latest_generation(spark, str(tmp_path / "out"), spark.read.parquet(src).schema).collect()] == ["ok"]
     counts = checks.outcome_counts(spark.readStream.schema(schema).parquet(src))
     query = counts.writeStream.format("memory").queryName("outcomes").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
