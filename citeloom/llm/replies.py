@@ -33,6 +33,7 @@ import unicodedata
 from collections import ChainMap, Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 TRAINING_CALLS, MIN_SHARE = 500, 2e-6
 #: Longest character n-gram, bits of its bucket, scale of n-gram shares, and log odds that tell two languages apart.
 LONGEST_GRAM, BUCKET_BITS, GRAM_SCALE, LANGUAGE_MARGIN = 4, 15, 8.0, 3.0
+#: Calls whose clauses are looked up at once.
+TOGETHER = 200
 #: Letters from which a clause that stands in the prompt counts as echoed.
 LEAST_ECHO = 8
 
@@ -98,10 +101,10 @@ _REFUSALS = {
 }
 #: Ordinary sentences by language, for training, so that no language alone sounds like declining.
 _ORDINARY = {
-    "en": ["The company sells parts to many customers.", "I can lose an order if the price of steel rises.", "We were not able to deliver on time last year.", "Sales fell by a tenth in the second quarter.", "The request for a permit was not granted."],
-    "de": ["Das Unternehmen verkauft Teile an viele Kunden.", "Wenn der Preis für Stahl steigt, kann der Gewinn sinken.", "Der Umsatz ist im zweiten Quartal leider nicht gestiegen.", "Die Anfrage der Behörde wurde beantwortet.", "Wir können nicht ausschließen, dass Lieferungen ausfallen."],
-    "fr": ["La société vend des pièces à de nombreux clients.", "Si le prix de l’acier monte, la marge peut baisser.", "La demande d’autorisation n’a pas été acceptée.", "Les ventes ont reculé au deuxième trimestre.", "Nous ne pouvons pas exclure un retard de livraison."],
-    "es": ["La empresa vende piezas a muchos clientes.", "Si sube el precio del acero, puede bajar el margen.", "La solicitud del permiso no fue aceptada.", "Las ventas cayeron en el segundo trimestre.", "No podemos descartar retrasos en las entregas."],
+    "en": ["The company sells parts to many customers.", "I can lose an order if the price of steel rises.", "We were not able to deliver on time last year.", "Sales fell by a tenth in the second quarter.", "The request for a permit was not granted.", "What happens if a supplier stops its deliveries?"],
+    "de": ["Das Unternehmen verkauft Teile an viele Kunden.", "Wenn der Preis für Stahl steigt, kann der Gewinn sinken.", "Der Umsatz ist im zweiten Quartal leider nicht gestiegen.", "Die Anfrage der Behörde wurde beantwortet.", "Wir können nicht ausschließen, dass Lieferungen ausfallen.", "Was geschieht, wenn ein Lieferant nicht mehr liefert?"],
+    "fr": ["La société vend des pièces à de nombreux clients.", "Si le prix de l’acier monte, la marge peut baisser.", "La demande d’autorisation n’a pas été acceptée.", "Les ventes ont reculé au deuxième trimestre.", "Nous ne pouvons pas exclure un retard de livraison.", "Que se passe-t-il si un fournisseur ne livre plus ?"],
+    "es": ["La empresa vende piezas a muchos clientes.", "Si sube el precio del acero, puede bajar el margen.", "La solicitud del permiso no fue aceptada.", "Las ventas cayeron en el segundo trimestre.", "No podemos descartar retrasos en las entregas.", "¿Qué ocurre si un proveedor deja de entregar?"],
     "zh": ["公司向许多客户销售零件。", "如果钢材价格上涨，利润可能下降。", "第二季度的销售额下降了一成。", "许可申请没有获得批准。", "我们无法排除交货延误的可能。"],
     "ja": ["会社は多くの顧客に部品を販売している。", "鋼材の価格が上がれば利益が減るおそれがある。", "第二四半期の売上は一割減少した。", "許可の申請は認められなかった。", "納期の遅れを避けることができない場合がある。"],
     "ru": ["Компания продаёт детали многим клиентам.", "Если цена стали вырастет, прибыль может снизиться.", "Во втором квартале продажи упали на десятую часть.", "Запрос на разрешение не был одобрен.", "Мы не можем исключить задержку поставок."],
@@ -396,11 +399,11 @@ def _ending(clause: str, counts: dict) -> list[float]:
     return [1.0, float(dots), *(max(-4.0, min(4.0, o)) for o in odds)]
 
 
-def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict, ngrams: Ngrams, bares: list[str] | None = None) -> np.ndarray:
+def features(parts: list[str], user_bare: str, wanted: str | None, counts: dict, ngrams: Ngrams, bares: list[str] | None = None, sums: np.ndarray | None = None) -> np.ndarray:
     """One row per clause: bias, echoed, language differs, language unknown, sounds like declining, and of the last one
-    ``_ending``."""
+    ``_ending``. ``sums`` are the clauses' ``Ngrams.sums`` where they are known."""
     out = np.zeros((len(parts), 9))
-    sums = ngrams.sums(parts)
+    sums = ngrams.sums(parts) if sums is None else sums
     declines, whole = ngrams.declining(sums), _by_script(" ".join(parts))
     whole = ngrams.tongue(sums.sum(axis=0)) if whole == "latin" else whole
     tongues = [ngrams.tongue(row) if (script := _by_script(part)) == "latin" else script for part, row in zip(parts, sums)]
@@ -543,8 +546,17 @@ def training_data(replies: list[tuple[list[str], str]], counts: dict, ngrams: Ng
     return data
 
 
-def defect(kind: str, users: list[str], reply: str | None, model: "tuple[ChainField, Ngrams] | None", counts: dict) -> str | None:
-    """The defect of one call, or None."""
+class _Pending(NamedTuple):
+    """A reply that the field has to judge: its clauses, bare and as they are, and what they are compared with."""
+
+    parts: list[str]
+    bares: list[str]
+    user_bare: str
+    language: bool
+
+
+def _by_rule(kind: str, users: list[str], reply: str | None) -> str | _Pending | None:
+    """The defect that the reply itself shows, None for a sound intent, else what the field has to judge."""
     text, broken = unwrap(reply, kind)
     if broken:
         return "truncated"
@@ -558,26 +570,35 @@ def defect(kind: str, users: list[str], reply: str | None, model: "tuple[ChainFi
     if mine in bare or mine and mine == bare.replace("\n", ""):
         return "copy"
     parts = clauses(text)
-    if not parts or model is None:
-        return None
+    return _Pending(parts, list(map(_bare, parts)), bare, kind != "intent") if parts else None
+
+
+def _by_field(p: _Pending, users: list[str], model: "tuple[ChainField, Ngrams]", counts: dict, sums: np.ndarray | None = None) -> str | None:
+    """The defect that the field's tags give, by the share of characters under each."""
     field, ngrams = model
-    bares = list(map(_bare, parts))
     share: Counter = Counter()
-    for own, tag in zip(bares, field.tag(features(parts, bare, None if kind == "intent" else wanted_language(users, ngrams), counts, ngrams, bares))):
+    wanted = wanted_language(users, ngrams) if p.language else None
+    for own, tag in zip(p.bares, field.tag(features(p.parts, p.user_bare, wanted, counts, ngrams, p.bares, sums))):
         share[TAGS[tag]] += max(1, len(own))
         final = TAGS[tag]
     total = sum(share.values())
     if share["refusal"] >= 0.5 * total:
         return "refusal"
-    if share["echo"] >= 0.999 * total and all(b in bare for b in bares):
+    if share["echo"] >= 0.999 * total and all(b in p.user_bare for b in p.bares):
         return "copy"  # and nothing of its own
     if final == "unfinished":
         return "truncated"
-    if kind != "intent" and share["foreign"] > 0.5 * total:
+    if p.language and share["foreign"] > 0.5 * total:
         return "language"
     return None
 
 
+def defect(kind: str, users: list[str], reply: str | None, model: "tuple[ChainField, Ngrams] | None", counts: dict) -> str | None:
+    """The defect of one call, or None."""
+    found = _by_rule(kind, users, reply)
+    return found if not isinstance(found, _Pending) else None if model is None else _by_field(found, users, model, counts)
+
+
 def judged_calls(calls: DataFrame) -> DataFrame:
     """One row per call: ``call_id, kind, users, response_content``."""
     users = F.transform(F.filter("messages", lambda m: m["role"] == "user"), lambda m: F.coalesce(m["content"], F.lit("")))
@@ -667,10 +688,17 @@ def defects(calls: DataFrame) -> DataFrame:
         model, known = shared.value
         for batch in batches:
             ids, found = [], []
-            for call, kind, users, reply, own in zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "users", "response_content", "rare"))):
-                extra = {(r["kind"], r["word"]): r["n"] for r in own or ()}
-                if d := defect(kind, users, reply, model, ChainMap(extra, known) if extra else known):
-                    ids.append(call), found.append(d)
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("call_id", "kind", "users", "response_content", "rare"))))
+            for at in range(0, len(rows), TOGETHER):
+                some = [(row, _by_rule(*row[1:4])) for row in rows[at : at + TOGETHER]]
+                asked = [p for _, p in some if isinstance(p, _Pending)]
+                sums = iter(np.split(model[1].sums([c for p in asked for c in p.parts]), np.cumsum([len(p.parts) for p in asked])[:-1]) if model and asked else ())
+                for (call, _, users, _, own), d in some:
+                    if isinstance(d, _Pending):
+                        extra = {(r["kind"], r["word"]): r["n"] for r in own or ()}
+                        d = _by_field(d, users, model, ChainMap(extra, known) if extra else known, next(sums)) if model else None
+                    if d:
+                        ids.append(call), found.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(found, pa.string())], names=["call_id", "defect"])
 
     return judged.mapInArrow(run, "call_id string, defect string")
