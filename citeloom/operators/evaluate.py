@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions.text import context_words, figures, norm_text, plain_sentences, stands_alone
+from citeloom.functions.text import context_words, figures, norm_text, plain_sentences, problem_kind, stands_alone
 
 # Fixed values of the golden match.
 MATCH_FLOOR, PAGE_BONUS, SPAN_HITS, SPAN_WEIGHT = 0.6, 0.85, 0.66, 0.6
@@ -183,19 +183,25 @@ def same_set(a: Column, b: Column) -> Column:
 
 def top_values(rows: DataFrame, label: str, value: str, n: int) -> DataFrame:
     """The ``n`` most frequent values of each label (ties by value), with their counts."""
-    from pyspark.sql import Window
-
     counts = rows.where(F.col(value).isNotNull()).groupBy(label, value).agg(F.count("*").alias("n"))
     order = Window.partitionBy(label).orderBy(F.desc("n"), value)
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
+def label_sizes(rows: DataFrame, label: str, value: str) -> DataFrame:
+    """Labels by the number of their different values, the largest first."""
+    return rows.where(F.col(value).isNotNull()).groupBy(label).agg(F.count_distinct(value).alias("values"), F.count("*").alias("n")).orderBy(F.desc("values"), label)
+
+
 def backends_compared(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Verdicts of two grounding backends on the same records: agreeing, both flagged, and flagged by one only."""
-    x, y = a.select(key, (F.size("problems") > 0).alias("x")), b.select(key, (F.size("problems") > 0).alias("y"))
+    """Verdicts of two grounding backends on the same records: agreeing, both flagged, flagged by one only, and by one for a
+    kind of problem that the other does not name."""
+    of = lambda df, v, k: df.select(key, (F.size("problems") > 0).alias(v), F.array_distinct(F.transform("problems", problem_kind)).alias(k))
+    x, y = of(a, "x", "kx"), of(b, "y", "ky")
     return x.join(y, key).agg(
         F.count("*").alias("records"), F.count_if(F.col("x") == F.col("y")).alias("agree"), F.count_if(F.col("x") & F.col("y")).alias("both_flagged"),
         F.count_if(F.col("x") & ~F.col("y")).alias("first_only"), F.count_if(~F.col("x") & F.col("y")).alias("second_only"),
+        F.sum(F.size(F.array_except("kx", "ky"))).alias("first_kinds"), F.sum(F.size(F.array_except("ky", "kx"))).alias("second_kinds"),
     )
 
 

@@ -49,9 +49,13 @@ def count_drift(checks: DataFrame, check_key: list[str]) -> DataFrame:
 
 
 def rendered(checks: DataFrame) -> DataFrame:
-    """One text line per check: mark, check, count, strategy."""
+    """One text line per check: mark, check, count, strategy, and the details that are single values."""
     mark = F.when(F.col("outcome") == "ok", "+").when(F.col("outcome") == "warning", "!").otherwise("x")
-    return checks.select("run_id", F.concat_ws(" ", mark, "check_id", F.col("count").cast("string"), F.concat(F.lit("["), F.col("strategy"), F.lit("]"))).alias("line"))
+    details = F.map_entries(F.from_json("detail", "map<string,string>")) if "detail" in checks.columns else F.array()
+    single = F.filter(details, lambda e: e["value"].isNotNull() & ~F.substring(e["value"], 1, 1).isin("{", "[")) if "detail" in checks.columns else F.array().cast("array<string>")
+    shown = F.array_join(F.array_sort(F.transform(single, lambda e: F.concat(e["key"], F.lit("="), e["value"]))), " ") if "detail" in checks.columns else F.lit("")
+    line = F.concat_ws(" ", mark, "check_id", F.col("count").cast("string"), F.concat(F.lit("["), F.col("strategy"), F.lit("]")), F.nullif(shown, F.lit("")))
+    return checks.select("run_id", line.alias("line"))
 
 
 def zero_filled(groups: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:

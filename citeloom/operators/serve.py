@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions.similarity import block_ratio
 from citeloom.functions.text import matches_any, norm_text
-from citeloom.operators.warehouse import categories, risk_status
+from citeloom.operators.warehouse import SCHEMA_VERSION, categories, check_meta, risk_status
 
 CATEGORIES = ("financial", "operational", "regulatory", "market", "climate", "cyber", "supply_chain")
 REGISTERS = ("erm_main_risk", "esrs_financial_risk")
 STATUSES = ("new", "elevated", "continuing", "removed")
-MOST_SECTORS = 100
+#: Matched sectors that an answer names (the filter itself counts all).
+MOST_NAMED = 1000
 # Fixed values of the sector cascade.
 STEM_LEAST, SECTOR_RATIO = 5, 0.8
 
@@ -147,11 +148,14 @@ def newly_elevated(t: Tables, company: str | None = None, year: int | None = Non
     return df.select("company", "fiscal_year", "canonical_risk_id", "canonical_title", "status").orderBy(F.desc("fiscal_year"), "company", "canonical_title")
 
 
-def companies_with_category(t: Tables, category: str, sector: str | None = None, year: int | None = None) -> DataFrame:
-    """Companies that list a category: distinct rows, in the order of company, latest year and best prominence."""
+def companies_with_category(t: Tables, category: str, sector: str | None = None, year: int | None = None, sectors: DataFrame | None = None) -> DataFrame:
+    """Companies that list a category: distinct rows, in the order of company, latest year and best prominence. ``sector``
+    is a part of a stored sector, ``sectors`` a table of whole ones."""
     df = star(t).join(categories(t.instance).where(F.col("category") == category).select(F.col("risk_instance_id").alias("id")), "id", "left_semi")
     if sector is not None:
         df = df.where(like(F.col("sector"), sector))
+    if sectors is not None:
+        df = df.join(sectors.select("sector").distinct(), "sector", "left_semi")
     if year is not None:
         df = df.where(F.col("fiscal_year") == year)
     best = df.groupBy("company", "sector", "fiscal_year", "title", "source_register", "page").agg(F.min("prominence").alias("__p"))
@@ -169,20 +173,9 @@ def question(t: Tables, name: str, **params) -> DataFrame:
 
 
 def question_for_sectors(t: Tables, name: str, sector: str, **params) -> DataFrame:
-    """A named question for every stored sector that the wanted one stands for, each row once; unknown sectors give none.
-
-    One plan holds a part for each sector; more than ``MOST_SECTORS`` of them are an error.
-    """
-    stored = [r["sector"] for r in sector_matches(t.company, sector).orderBy("sector").limit(MOST_SECTORS + 1).collect()]
-    if len(stored) > MOST_SECTORS:
-        raise ValueError(f"{sector!r} stands for more than {MOST_SECTORS} stored sectors")
-    runs = [question(t, name, sector=s, **params) for s in stored]
-    if not runs:
-        return question(t, name, sector=sector, **params).where(F.lit(False))
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    return out.dropDuplicates()
+    """A named question for all stored sectors that the wanted one stands for, each row once and in the question's order;
+    unknown sectors give no row. The matches stay a table, joined once."""
+    return question(t, name, sectors=sector_matches(t.company, sector), **params)
 
 
 def intent_of(reply: str | None) -> Intent:
@@ -208,7 +201,36 @@ def ask(t: Tables, calls: DataFrame, request_hash: str, limit: int = 100) -> Dat
 
 
 def health(spark: SparkSession, folder: str) -> dict:
-    return {"status": "ok", "spark": spark.version, "db": folder}
+    """Whether the stored tables can be read, and their schema version."""
+    try:
+        check_meta(spark, f"{folder}/meta")
+        return {"status": "ok", "schema_version": SCHEMA_VERSION, "spark": spark.version, "db": folder}
+    except Exception as problem:  # any unreadable store is a state to report
+        return {"status": "error", "problem": str(problem).split("\n")[0], "spark": spark.version, "db": folder}
+
+
+def risks(t: Tables, intent: Intent, limit: int = 100) -> dict:
+    """The answer to a filter: the intent, the stored sectors it matched, the number of records, and the records with their
+    citations and categories in the order of ``records``."""
+    rows = records(t, intent, checked(intent, limit))
+    named = with_citations(rows, t.citation).join(
+        categories(t.instance).groupBy(F.col("risk_instance_id").alias("id")).agg(F.array_sort(F.collect_set("category")).alias("categories")), "id", "left"
+    )
+    found = [r.asDict(recursive=True) for r in named.orderBy(F.desc("fiscal_year"), F.asc("prominence"), F.asc("page"), F.asc("id")).collect()]  # at most ``limit``, 1000
+    matched = None if intent.sector is None else [r["sector"] for r in sector_matches(t.company, intent.sector).orderBy("sector").limit(MOST_NAMED).collect()]
+    return {"intent": asdict(intent), "sector_matched": matched, "count": len(found), "records": found}
+
+
+class NotFound(LookupError):
+    """No record has the wanted id."""
+
+
+def risk(t: Tables, record_id: str) -> dict:
+    """One record with its citations; raises :class:`NotFound` without one."""
+    row = record(t, record_id).head()
+    if row is None:
+        raise NotFound(record_id)
+    return row.asDict(recursive=True)
 
 
 def companies(t: Tables) -> DataFrame:
@@ -220,6 +242,9 @@ def runs(checks: DataFrame) -> DataFrame:
     return checks.groupBy("run_id").agg(F.min("created_at").alias("started_at"), F.count("*").alias("checks")).orderBy(F.desc("started_at"), "run_id")
 
 
-def run_record(checks: DataFrame, run_id: str) -> DataFrame:
-    """The checks of a run in the order in which they were made."""
-    return checks.where(F.col("run_id") == run_id).orderBy("created_at", "phase", "check_id")
+def run_record(checks: DataFrame, run_id: str, phase: str | None = None) -> DataFrame:
+    """The checks of a run (of one phase) in the order in which they were made; ``detail`` is decoded, null where it is no
+    JSON object."""
+    rows = checks.where(F.col("run_id") == run_id)
+    rows = rows if phase is None else rows.where(F.col("phase") == phase)
+    return rows.orderBy("created_at", "phase", "check_id").withColumn("detail", F.when(F.json_object_keys("detail").isNotNull(), F.from_json("detail", "map<string,string>")))

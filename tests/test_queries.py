@@ -14,6 +14,10 @@ def plain(v):
     return repr(round(v, 6) + 0.0) if isinstance(v, float) else str(v)
 
 
+#: Queries without SQL that may find nothing on the smallest data.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.fixture(scope="module")
 def con(data):
     if not os.path.isdir(data):
@@ -29,7 +33,7 @@ def test_query(spark, con, data, name):
     df = QUERIES[name](spark, data)
     got = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
-        assert df.columns
+        assert got or name in MAY_BE_EMPTY
         return
     rel = con.execute(ORACLES[name])
     cols = [c[0] for c in rel.description]

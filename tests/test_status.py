@@ -64,10 +64,17 @@ def test_sector_cascade(tables):
     assert got("shipping") == [] and got("") == []
 
 
-def test_too_many_sectors_are_an_error(tables, monkeypatch):
-    monkeypatch.setattr(V, "MOST_SECTORS", 0)
-    with pytest.raises(ValueError):
-        V.question_for_sectors(tables, "companies_with_category", "utilities", category="market")
+def test_every_matching_sector_counts(spark, tables):
+    """More sectors than any fixed number: each is matched, none is left out."""
+    from dataclasses import replace
+
+    names = [f"renewable energy {i}" for i in range(150)]
+    company = spark.createDataFrame([(f"c{i}", f"Co {i}", n, None) for i, n in enumerate(names)], "id string, name string, sector string, country string")
+    report = spark.createDataFrame([(f"r{i}", f"c{i}", 2024, None, None) for i in range(150)], "id string, company_id string, fiscal_year int, review_bodies array<string>, review_frequency string")
+    rows = [(f"i{i}", f"r{i}", f"k{i}", f"t{i}", "d", "cyber", "erm_main_risk", 1, 1) for i in range(150)]
+    instance = spark.createDataFrame(rows, "id string, report_id string, canonical_risk_id string, title string, description string, category string, source_register string, page int, prominence int")
+    many = replace(tables, company=company, report=report, instance=instance)
+    assert V.question_for_sectors(many, "companies_with_category", "renewable energy", category="cyber").count() == 150
 
 
 def test_questions_and_citations(tables):
