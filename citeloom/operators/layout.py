@@ -189,7 +189,9 @@ def horizontal_rules(drawings: DataFrame, width: float = 100.0) -> DataFrame:
 
     ``drawings`` has ``kind`` (l or re) and ``x0, y0, x1, y1``."""
     flat = F.when(F.col("kind") == "l", F.abs(F.col("y1") - F.col("y0")) < 1).otherwise(F.abs(F.col("y1") - F.col("y0")) < 1.5)
-    return drawings.where(flat & (F.abs(F.col("x1") - F.col("x0")) >= width)).select(*PAGE, F.bround("y0", 1).alias("y"), "x0", "x1").distinct()
+    return drawings.where(flat & (F.abs(F.col("x1") - F.col("x0")) >= width)).select(
+        *PAGE, F.bround("y0", 1).alias("y"), F.least("x0", "x1").alias("x0"), F.greatest("x0", "x1").alias("x1")
+    ).distinct()
 
 
 def icon_in_band(bands: DataFrame, markers: DataFrame) -> DataFrame:

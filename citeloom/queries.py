@@ -463,9 +463,18 @@ def line_clusters(spark, d):
     return L.cluster_lines(_page_words(spark, d)).groupBy("doc_id", "pdf_index").agg(F.count_distinct("line_no").alias("lines"))
 
 
-@query()
+@query("""WITH p AS (SELECT report_id, page, max(text) AS text FROM page_text WHERE text IS NOT NULL GROUP BY ALL), l AS (SELECT report_id, page, i, array_to_string(list_filter(string_split(s[i], ' '), lambda w: w <> ''), ' ') AS line FROM (SELECT report_id, page, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT report_id, page, string_split(text, chr(10)) AS s FROM p)))
+SELECT report_id AS doc_id, page AS pdf_index, CAST(row_number() OVER (PARTITION BY report_id, page ORDER BY i) AS INT) AS line_no, line AS text FROM l WHERE line <> ''""")
 def page_lines(spark, d):
-    return L.line_text(L.cluster_lines(_page_words(spark, d)))
+    return L.line_text(L.cluster_lines(_page_words(spark, d))).select("doc_id", "pdf_index", "line_no", "text")
+
+
+_CODE_KEY = _slug("regexp_replace(title, '[''’]', '', 'g')", "-")
+
+
+@query(f"SELECT id, report_id || '-' || coalesce(nullif(lower(source_taxonomy), ''), 'erm') || CASE WHEN {_CODE_KEY} IS NULL THEN '' ELSE '-' || {_CODE_KEY} END AS canonical_key FROM risk_instance")
+def canonical_keys(spark, d):
+    return read_table(spark, d, "risk_instance").select("id", T.canonical_key(F.col("report_id"), F.col("source_taxonomy"), F.col("title")).alias("canonical_key"))
 
 
 _HOURS = "h AS (SELECT ts, row_number() OVER (ORDER BY ts) AS n FROM (SELECT DISTINCT date_trunc('day', ts) AS ts FROM events WHERE ts IS NOT NULL))"

@@ -76,6 +76,8 @@ def test_rules_and_arrows(spark):
     lines = [("d", 0, "l", 0.0, 10.04, 200.0, 10.0), ("d", 0, "l", 0.0, 10.0, 50.0, 10.0), ("d", 0, "re", 0.0, 20.0, 300.0, 21.0), ("d", 0, "re", 0.0, 20.0, 300.0, 29.0)]
     df = spark.createDataFrame(lines, "doc_id string, pdf_index int, kind string, x0 double, y0 double, x1 double, y1 double")
     assert sorted(r.y for r in L.horizontal_rules(df).collect()) == [10.0, 20.0]
+    back = spark.createDataFrame([("d", 0, "l", 200.0, 10.0, 0.0, 10.0)], df.schema)
+    assert [(r.x0, r.x1) for r in L.horizontal_rules(back).collect()] == [(0.0, 200.0)]
     item = "array<struct<kind:string,x0:double,y0:double,x1:double,y1:double>>"
     arrow = lambda ys: [("l", 100.0 + i % 3, float(y), 0.0, 0.0) for i, y in enumerate(ys)]
     # The vertices that decide are 2 and 7, counted from 0: the apex of the arrow's head and the end of its shaft.

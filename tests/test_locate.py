@@ -120,3 +120,16 @@ def test_transform_and_load_checks(spark):
     assert [tuple(r) for r in K.previous_counts(log, "run4").collect()] == [("r", "1:risk", 5)]
     stamp = spark.sql("SELECT timestamp'2026-01-02 03:04:05' AS t").select(K.run_id(F.col("t"))).first()[0]
     assert stamp == "20260102T030405Z" and K.stamped(K.eval_check(scores), "run9").columns[0] == "run_id"
+
+
+def test_contents_pages_and_linked_entries(spark):
+    from citeloom.operators import sections as S
+
+    listed = "\n".join(f"{t} ........ {n}" for n, t in enumerate(["Strategy", "Risks", "Climate", "People", "Accounts"], 3))
+    pages = spark.createDataFrame([("d", 2, listed), ("d", 3, "Strategy ..... 3\nprose"), ("d", 12, listed), ("d", 4, None)], "doc_id string, pdf_index int, text string")
+    assert [r.pdf_index for r in S.contents_pages(pages).collect()] == [2]
+    entries = spark.createDataFrame([("d", 1, "Strategy", 50.0, 100.0), ("d", 2, "Risks", 50.0, 130.0), ("d", 3, "People", 300.0, 160.0), ("e", 1, "Alone", 50.0, 100.0)], "doc_id string, entry_no int, title string, x0 double, y_mid double")
+    links = [("d", 1, 40.0, 200.0, 95.0, 105.0, 9), ("d", 2, 40.0, 200.0, 95.0, 132.0, 11), ("d", 3, 303.0, 400.0, 162.0, 170.0, 20), ("d", 4, 53.5, 200.0, 125.0, 135.0, 30)]
+    found = S.linked_entries(entries, spark.createDataFrame(links, "doc_id string, seq int, x0 double, x1 double, y0 double, y1 double, dest_index int"), ["doc_id"])
+    # The first link wins; two points above and below and three to the left are allowed.
+    assert {(r.doc_id, r.entry_no): r.pdf_index for r in found.collect()} == {("d", 1): 9, ("d", 2): 11, ("d", 3): 20, ("e", 1): None}
