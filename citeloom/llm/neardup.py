@@ -54,6 +54,8 @@ _TOP = np.uint32(0xFFFFFFFF)
 PART = 500
 #: Cells of one hash matrix; longer texts are hashed in blocks of columns.
 _CELLS = 4_000_000
+#: Characters of the texts that are sketched together.
+_CHARACTERS = 200_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,25 +64,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def kmers(text: str, k: int = K) -> np.ndarray:
-    """Hash of the k-mer at each position."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(codes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+def kmers(texts: list[str], k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the k-mers of texts laid end to end, and how many each text has."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = max(0, len(codes) - k + 1)
     out = np.zeros(n, np.uint64)
     for i in range(k):
         out = out * _B + codes[i : i + n] + np.uint64(1)
-    return _mix(out)
+    # K-mers that run over the end of a text are none.
+    room = np.repeat(np.cumsum(sizes), sizes)[:n] - np.arange(n)
+    return _mix(out[room >= k]), np.maximum(0, sizes - k + 1)
 
 
-def _labelled(grams: np.ndarray) -> np.ndarray:
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
+def _labelled(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """K-mers with the number of their occurrence in their own text mixed in."""
+    own = grams ^ _mix(np.repeat(np.arange(1, len(counts) + 1, dtype=np.uint64), counts))
+    order = np.argsort(own, kind="stable")
+    ranked = own[order]
     first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
     nth = np.arange(len(grams)) - np.maximum.accumulate(np.where(first, np.arange(len(grams)), 0))
     out = np.empty_like(grams)
-    out[order] = ranked + nth.astype(np.uint64) * _B
+    out[order] = grams[order] + nth.astype(np.uint64) * _B
     return _mix(out)
 
 
@@ -90,48 +95,67 @@ _SEEDS = ((_KEYS >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
 _FACTORS = ((_mix(np.arange(1001, 1001 + SIGNATURE_BITS, dtype=np.uint64) * _B) >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
 
 
-def sketch(text: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """The Order MinHash keys of a text and its signature in 64-bit words; nothing for a text without k-mers."""
-    grams = kmers(text)
-    if not len(grams):
-        return None
-    x, step = _labelled(grams), max(1, _CELLS // SIGNATURE_BITS)
-    rows = np.arange(SKETCHES)
-    best_v = np.zeros((SKETCHES, 0), np.uint32)
-    best_p = np.zeros((SKETCHES, 0), np.int64)
-    short = (x >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(x), step):
+def _least(short: np.ndarray) -> np.ndarray:
+    """The positions of the ``SMALLEST`` least hashes of each sketch, in text order."""
+    rows, step = np.arange(SKETCHES), max(1, _CELLS // SIGNATURE_BITS)
+    values, places = [], []
+    for at in range(0, len(short), step):
         h = short[None, at : at + step] * _SEEDS
         for _ in range(min(SMALLEST, h.shape[1])):
             p = h.argmin(axis=1)
-            best_v, best_p = np.column_stack((best_v, h[rows, p])), np.column_stack((best_p, p + at))
+            values.append(h[rows, p]), places.append(p + at)
             h[rows, p] = _TOP
-    if best_v.shape[1] > SMALLEST:
-        best_p = np.take_along_axis(best_p, np.argsort(best_v, axis=1, kind="stable")[:, :SMALLEST], 1)
-    key = _KEYS.copy()
-    for p in np.sort(best_p, axis=1).T:
-        key = _mix(key * _B + x[p])
-    short, least = (grams >> np.uint64(32)).astype(np.uint32), None
-    for at in range(0, len(grams), step):
-        h = (short[None, at : at + step] * _FACTORS).min(axis=1)
-        least = h if least is None else np.minimum(least, h)
+    out = np.stack(places, 1)
+    if len(places) > SMALLEST:
+        out = np.take_along_axis(out, np.argsort(np.stack(values, 1), axis=1, kind="stable")[:, :SMALLEST], 1)
+    out.sort(axis=1)
+    return out
+
+
+def _signature(short: np.ndarray) -> np.ndarray:
+    """The least hash of each bit's order."""
+    step = max(1, _CELLS // SIGNATURE_BITS)
+    return np.minimum.reduce([(short[None, at : at + step] * _FACTORS).min(axis=1) for at in range(0, len(short), step)])
+
+
+def sketches(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of the texts that have k-mers, their Order MinHash keys, and their signatures in 64-bit words."""
+    grams, counts = kmers(texts)
+    rows = np.flatnonzero(counts)
+    if not len(rows):
+        return rows, np.zeros((0, SKETCHES), np.uint64), np.zeros((0, _WORDS), np.uint64)
+    x = _labelled(grams, counts)
+    high, plain = (x >> np.uint64(32)).astype(np.uint32), (grams >> np.uint64(32)).astype(np.uint32)
+    ends = np.cumsum(counts)
+    key, least = np.tile(_KEYS, (len(rows), 1)), np.empty((len(rows), SIGNATURE_BITS), np.uint32)
+    places: dict[int, list] = {}
+    for n, row in enumerate(rows):
+        a, b = ends[row] - counts[row], ends[row]
+        least[n] = _signature(plain[a:b])
+        found = _least(high[a:b]) + a
+        places.setdefault(found.shape[1], []).append((n, found))
+    for width, some in places.items():  # shorter texts have fewer k-mers than a sketch holds
+        who, at = [n for n, _ in some], np.stack([found for _, found in some])
+        own = key[who]
+        for i in range(width):
+            own = _mix(own * _B + x[at[:, :, i]])
+        key[who] = own
     bits = (_mix(least.astype(np.uint64)) >> np.uint64(40)) & np.uint64(1)
-    words = (bits.reshape(-1, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-    return key, words
+    words = (bits.reshape(len(rows), -1, 64) << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+    return rows, key, words
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "tkey", *(f"b{i}" for i in range(_WORDS))]
     for batch in batches:
-        tkeys, keys, words, rows = batch.column("tkey"), [], [], []
-        for row, text in enumerate(batch.column("text").to_pylist()):
-            if (s := sketch(text)) is not None:
-                keys.append(s[0]), words.append(s[1]), rows.append(row)
-        if rows:
-            take = np.repeat(np.array(rows), SKETCHES)
-            wide = np.repeat(np.array(words), SKETCHES, axis=0).view(np.int64)
+        tkeys, texts = batch.column("tkey"), batch.column("text").to_pylist()
+        edges = np.flatnonzero(np.diff(np.cumsum([0, *map(len, texts)]) // _CHARACTERS)) + 1
+        for a, b in zip([0, *edges], [*edges, len(texts)]):
+            rows, keys, words = sketches(texts[a:b])
+            take = np.repeat(rows + a, SKETCHES)
+            wide = np.repeat(words, SKETCHES, axis=0).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), tkeys.take(pa.array(take)), *(pa.array(wide[:, i].copy()) for i in range(_WORDS))], names=names
+                [pa.array(keys.reshape(-1).view(np.int64)), tkeys.take(pa.array(take)), *(pa.array(wide[:, i].copy()) for i in range(_WORDS))], names=names
             )
 
 
