@@ -339,8 +339,15 @@ def shape(clause: str) -> list[str]:
     text = re.sub(r"\d[\d.,]*", "0", clause.strip().rstrip(_STOPS + _CLOSERS + "… "))
     if re.search("[぀-ヿ一-鿿ก-๛]", text):
         return list(re.sub(r"[^\W\d_぀-ヿ一-鿿ก-๛]+", "N", text).replace(" ", ""))
-    words = [w.rstrip(".,;:") or w for w in text.split()]
-    return words[:1] + ["N" if _NAME.match(w.lstrip("“«„(¿¡")) else w.casefold() for w in words[1:]]
+    first, *words = text.split() or [""]
+    return [first.rstrip(".,;:") or first, *map(_formed, words)] if first else []
+
+
+@lru_cache(1 << 16)
+def _formed(word: str) -> str:
+    """A word of a shape after its first one."""
+    word = word.rstrip(".,;:") or word
+    return "N" if _NAME.match(word.lstrip("“«„(¿¡")) else word.casefold()
 
 
 def _ends(tokens: list[str]) -> tuple[int, str, str, str]:
@@ -351,10 +358,10 @@ def _ends(tokens: list[str]) -> tuple[int, str, str, str]:
     return k, " ".join(tokens[-k:]), head, head + "|" + tokens[-1]
 
 
-def evidence(text: str, finished: bool) -> Counter:
-    """Counts of a text: ``e`` last tokens at an end, ``m`` the same tokens inside a clause, ``f`` start and last token
-    of a clause that ends, ``g`` its start. ``finished`` counts the last clause as ended though it has no stop."""
-    out: Counter = Counter()
+def evidence(text: str, finished: bool) -> list[tuple[str, str]]:
+    """What a text gives to the counts: ``e`` last tokens at an end, ``m`` the same tokens inside a clause, ``f`` start and
+    last token of a clause that ends, ``g`` its start. ``finished`` counts the last clause as ended though it has no stop."""
+    out: list[tuple[str, str]] = []
     parts = clauses(text)
     for n, clause in enumerate(parts):
         tokens = shape(clause)
@@ -362,14 +369,11 @@ def evidence(text: str, finished: bool) -> Counter:
             continue
         k, tail, head, both = _ends(tokens)
         for width in (k, 2 * k):
-            for i in range(width, len(tokens)):
-                out["m", " ".join(tokens[i - width : i])] += 1
+            out += [("m", " ".join(tokens[i - width : i])) for i in range(width, len(tokens))]
         if clause.rstrip(_CLOSERS)[-1:] in _STOPS or finished and n == len(parts) - 1:
-            out["e", tail] += 1
+            out += [("e", tail), ("f", both), ("g", head)]
             if len(tokens) >= 2 * k:
-                out["e", " ".join(tokens[-2 * k :])] += 1
-            out["f", both] += 1
-            out["g", head] += 1
+                out.append(("e", " ".join(tokens[-2 * k :])))
     return out
 
 
