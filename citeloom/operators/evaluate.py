@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeloom.functions.similarity import block_ratio, can_reach, letter_counts
 from citeloom.functions.text import context_words, figures, norm_text, plain_sentences, problem_kind, stands_alone
 
 # Fixed values of the golden match.
@@ -44,6 +45,27 @@ def match_score(title: Column, span_hits: Column, page_equal: Column) -> Column:
     return F.when(page_equal & (span_hits >= SPAN_HITS), F.greatest(mixed, F.lit(PAGE_BONUS))).otherwise(mixed)
 
 
+def golden_scores(golden: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """``key, golden_no, record_no, score`` of the pairs of golden rows and records that can be assigned.
+
+    A score mixes the best ratio of the record's title with the golden title and its aliases, the share of key phrases in
+    the record's span, and the page (``match_score``). Only pairs that share a phrase, or whose titles can reach the floor,
+    are scored. ``golden`` has ``golden_no, names, key_phrases, page``, ``records`` ``record_no, title, verbatim_span, page``.
+    """
+    names = golden.select(key, "golden_no", F.col("page").alias("g_page"), "key_phrases", F.explode("names").alias("name"))
+    left = names.withColumn("a", norm_text(F.col("name"))).withColumn("a_n", letter_counts(F.col("a"))).drop("name")
+    span = norm_text(F.coalesce("verbatim_span", F.lit("")))
+    right = records.select(key, "record_no", F.col("page").alias("r_page"), norm_text(F.col("title")).alias("b"), span.alias("span")).withColumn("b_n", letter_counts(F.col("b")))
+    phrases = F.coalesce("key_phrases", F.array().cast("array<string>"))
+    hits = F.size(F.filter(phrases, lambda k: F.contains(F.col("span"), norm_text(k)))) / F.greatest(F.lit(1), F.size(phrases))
+    pairs = left.join(right, key).withColumn("hits", hits)
+    common = F.aggregate(F.zip_with("a_n", "b_n", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    near = can_reach(F.col("a"), F.col("b"), MATCH_FLOOR) & (2.0 * common >= MATCH_FLOOR * (F.char_length("a") + F.char_length("b")))
+    scored = pairs.where((F.col("hits") > 0) | near).withColumn("t", F.coalesce(block_ratio("a", "b"), F.lit(0.0)))
+    best = scored.groupBy(key, "golden_no", "record_no").agg(F.max("t").alias("t"), F.first("hits").alias("hits"), F.first(F.coalesce(F.col("g_page") == F.col("r_page"), F.lit(False))).alias("same_page"))
+    return best.select(key, "golden_no", "record_no", match_score(F.col("t"), F.col("hits"), F.col("same_page")).alias("score")).where(F.col("score") >= MATCH_FLOOR)
+
+
 def identification(golden: DataFrame, found: DataFrame, keys: list[str], group: list[str]) -> DataFrame:
     """Precision, recall and F1 of found keys against golden keys, per group."""
     a = golden.select(*group, *keys).distinct().withColumn("in_golden", F.lit(1))

@@ -163,6 +163,28 @@ def test_run_log(spark):
     assert [tuple(r) for r in RL.same_rows(a, a.distinct()).collect()] == [(1, "left")] and RL.same_rows(a, a).count() == 0
 
 
+def test_golden_scores_equal_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(2)
+    vocabulary = ["cyber", "attacks", "river", "floods", "strike", "steel", "prices", "permit", "delay", "loss"]
+    some = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    golden = [("r", i, [some(2) for _ in range(rnd.randint(1, 3))], [some(1) for _ in range(rnd.randint(0, 3))], rnd.randint(1, 3)) for i in range(12)]
+    records = [("r", i, some(2), rnd.choice([None, some(6)]), rnd.randint(1, 3)) for i in range(12)]
+    want = {}
+    for _, g, names, phrases, page in golden:
+        for _, n, title, span, at in records:
+            t = max(SequenceMatcher(None, x, title).ratio() for x in names)
+            h = sum(k in (span or "") for k in phrases) / max(1, len(phrases))
+            score = max(t, 0.6 * h + 0.4 * t)
+            score = max(score, 0.85) if page == at and h >= 0.66 else score
+            if score >= 0.6:
+                want[g, n] = round(score, 9)
+    g = spark.createDataFrame(golden, "k string, golden_no int, names array<string>, key_phrases array<string>, page int")
+    r = spark.createDataFrame(records, "k string, record_no int, title string, verbatim_span string, page int")
+    assert {(x.golden_no, x.record_no): round(x.score, 9) for x in E.golden_scores(g, r, "k").collect()} == want and len(want) > 10
+
+
 def test_assignment_is_greedy_and_one_to_one(spark):
     rows = [("k", 1, 1, 0.9), ("k", 1, 2, 0.9), ("k", 2, 1, 0.95), ("k", 2, 2, 0.7), ("k", 3, 3, 0.5)]
     df = spark.createDataFrame(rows, "k string, golden_no int, record_no int, score double")
