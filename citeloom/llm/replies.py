@@ -14,9 +14,9 @@ same sample: declining by logistic regression of the refusals against clauses of
 learns from scores of a model that has not seen the sentence; languages by naive Bayes on texts of the sample that hold
 small words of one language. Other languages are told by their script.
 
-The corpus counts are made in one pass over all calls. Every shape seen twice counts, at any size: those with at least
-``MIN_SHARE`` of all, at most 1 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to the final
-clauses.
+The corpus counts are made in one pass over all calls. Every shape seen twice counts, at any size: up to
+``MOST_SHAPES`` are broadcast (their number is checked); of more, those with at least ``MIN_SHARE`` of all counts, which
+cannot be more than 1 / MIN_SHARE, and the rarer ones stay in a table that is joined to the final clauses.
 
 All user messages of a call are read: a reply may copy any of them, and the last paragraph that names a language says
 which one is asked for; if none does, it is that of the instructions (the last paragraphs).
@@ -46,6 +46,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 TRAINING_CALLS, MIN_SHARE = 500, 2e-6
 #: Longest character n-gram, bits of its bucket, scale of n-gram shares, and log odds that tell two languages apart.
 LONGEST_GRAM, BUCKET_BITS, GRAM_SCALE, LANGUAGE_MARGIN = 4, 15, 8.0, 3.0
+#: Shapes that are all broadcast.
+MOST_SHAPES = 200_000
 #: Calls whose clauses are looked up at once.
 TOGETHER = 200
 #: Letters from which a clause that stands in the prompt counts as echoed.
@@ -642,6 +644,8 @@ def corpus_counts(judged: DataFrame) -> tuple[dict[tuple[str, str], int], DataFr
     counts = judged.select("kind", "users", "response_content").mapInArrow(run, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
     counts = staged(counts.where("n >= 2"), "shapes")
     total = counts.agg(F.sum("n")).first()[0] or 0
+    if counts.limit(MOST_SHAPES + 1).count() <= min(MOST_SHAPES, 1 / MIN_SHARE if MIN_SHARE else MOST_SHAPES):
+        return {(r[0], r[1]): r[2] for r in counts.collect()}, None
     least = max(2.0, MIN_SHARE * total)
     rare = counts.where((F.col("n") >= 2) & (F.col("n") < least)) if least > 2 else None
     return {(r[0], r[1]): r[2] for r in counts.where(F.col("n") >= least).collect()}, rare

@@ -11,9 +11,9 @@ Units run from the first to the last non-blank character, closing quotes and bra
 sentence does not end it; a sentence that ends with its quotation ends there. A list item is one unit with its mark;
 a line break ends a complete item and the line before a list, and nothing else.
 
-Every word with at least ``MIN_COUNT`` occurrences counts, whatever the size of the corpus. Those that make up at least
-``MIN_SHARE`` of all periods counted, at most 2 / MIN_SHARE, are broadcast; rarer ones stay in a table that is joined to
-the words of the texts.
+Every word with at least ``MIN_COUNT`` occurrences counts, whatever the size of the corpus. Up to 2 / MIN_SHARE such words
+are broadcast (their number is checked); of more, those that make up at least ``MIN_SHARE`` of all periods counted, which
+cannot be more than that, and the rarer ones stay in a table that is joined to the words of the texts.
 
 Defined results: null, empty and blank texts have no sentences; zero-width characters belong to the text around them
 and are never a first or last character; extra columns are ignored; texts of any length are read whole.
@@ -241,9 +241,10 @@ def _corpus(texts: DataFrame, column: str = "text") -> tuple[dict[tuple[str, str
     ordinary = (F.length("word") > 1) & (F.col("a") + F.col("n") < 0.3 * F.col("p"))
     sums = words.agg(F.sum("p"), F.sum("s"), *(F.sum(F.when(ordinary, F.col(k))) for k in "ue")).first()
     least_p, least_s = max(MIN_COUNT, MIN_SHARE * (sums[0] or 0)), max(MIN_COUNT, MIN_SHARE * (sums[1] or 0))
-    frequent = (F.col("p") >= least_p) | (F.col("s") >= least_s)
-    kept = words.where(frequent).collect()
-    rare = words.where(~frequent & ((F.col("p") >= MIN_COUNT) | (F.col("s") >= MIN_COUNT))) if max(least_p, least_s) > MIN_COUNT else None
+    counted, frequent = (F.col("p") >= MIN_COUNT) | (F.col("s") >= MIN_COUNT), (F.col("p") >= least_p) | (F.col("s") >= least_s)
+    few = words.where(counted).limit(int(2 / MIN_SHARE) + 1).count() <= 2 / MIN_SHARE if MIN_SHARE else True
+    kept = words.where(counted if few else frequent).collect()
+    rare = None if few else words.where(~frequent & counted)
     total = {("u", ""): sums[2], ("e", ""): sums[3]} if sums[3] else {}  # of ordinary words
     return {(k, r["word"]): r[k] for r in kept for k in _KINDS if r[k]} | total, rare
 
