@@ -236,7 +236,7 @@ def test_located_sections(spark):
 def test_backends_and_seeded_faults(spark):
     flags = lambda rows: spark.createDataFrame(rows, "id string, problems array<string>")
     row = E.backends_compared(flags([("a", []), ("b", ["x"]), ("c", ["x"])]), flags([("a", []), ("b", ["y"]), ("c", [])]), "id").first()
-    assert tuple(row) == (3, 2, 1, 1, 0)
+    assert tuple(row) == (3, 2, 1, 1, 0, 2, 1)  # the last two: kinds that only one of them names
     recs = spark.createDataFrame([("a", "Text."), ("b", None)], "id string, description string")
     got = {(r.id, r.fault): r.description for r in E.seeded_faults(recs, [("number", "It was 77."), ("name", "Ask Ruritania.")]).collect()}
     assert got[("a", "number")] == "Text. It was 77." and got[("b", "name")] == "Ask Ruritania." and len(got) == 4
